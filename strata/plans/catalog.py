@@ -419,3 +419,344 @@ def q_sort_panel(spark, sf):
 def q_top_missing(spark, sf):
     from ..operators.topk import top_missing_entities
     return top_missing_entities(fx.panel(spark, sf), "thin", n=15)
+
+
+# ---------------------------------------------------------------- A: record store
+
+REC_COLS = ["id", "client_id", "income", "expenses", "debt", "assets", "prediction", "risk_level"]
+
+
+@register("append_predictions", W("""SELECT id, client_id, income, expenses, debt, assets, prediction, risk_level FROM r_existing
+UNION ALL
+SELECT mx.m + row_number() OVER (ORDER BY fresh.client_id) AS id, client_id, income, expenses, debt, assets,
+       CAST(NULL AS DOUBLE) AS prediction, CAST(NULL AS VARCHAR) AS risk_level
+FROM (SELECT DISTINCT * FROM r_new WHERE client_id NOT IN (SELECT client_id FROM r_existing)) fresh,
+     (SELECT max(id) AS m FROM r_existing) mx""", "r_existing", "r_new"))
+def q_append_predictions(spark, sf):
+    from ..sources.records import append_predictions
+    existing, new = fx.prediction_records(spark, sf)
+    return append_predictions(existing, new).select(*REC_COLS)
+
+
+@register("page_predictions", W(
+    "SELECT * FROM r_existing ORDER BY id LIMIT 100 OFFSET 10", "r_existing"))
+def q_page_predictions(spark, sf):
+    from ..sources.records import page
+    existing, _ = fx.prediction_records(spark, sf)
+    return page(existing.select(*REC_COLS), skip=10, limit=100)
+
+
+# ---------------------------------------------------------------- D: evaluation
+
+@register("prediction_counts", W("SELECT pred, count(*) AS \"count\" FROM m GROUP BY pred", "m"))
+def q_prediction_counts(spark, sf):
+    from ..operators.metrics import prediction_counts
+    return prediction_counts(fx.scored(spark, sf), "pred")
+
+
+@register("kpis", W("SELECT (SELECT count(*) FROM p) AS row_count, (SELECT count(DISTINCT entity_id) FROM p) AS entity_count, "
+                    "(SELECT count(*) FROM m) AS prediction_count", "p", "m"))
+def q_kpis(spark, sf):
+    from ..operators.metrics import kpis
+    return kpis(fx.panel(spark, sf), fx.scored(spark, sf))
+
+
+@register("confusion_counts", W("SELECT y, pred, count(*) AS n FROM m GROUP BY y, pred", "m"))
+def q_confusion_counts(spark, sf):
+    from ..operators.metrics import confusion_counts
+    return confusion_counts(fx.scored(spark, sf))
+
+
+REPORT_SQL = """, conf AS (SELECT y, pred, count(*) AS n FROM m GROUP BY y, pred),
+labs AS (SELECT y AS label FROM conf UNION SELECT pred FROM conf),
+per AS (SELECT l.label,
+          coalesce((SELECT sum(n) FROM conf WHERE y = l.label AND pred = l.label), 0) AS tp,
+          coalesce((SELECT sum(n) FROM conf WHERE y = l.label), 0) AS support,
+          coalesce((SELECT sum(n) FROM conf WHERE pred = l.label), 0) AS predicted FROM labs l),
+per2 AS (SELECT CAST(label AS VARCHAR) AS label,
+          CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS precision,
+          CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0 END AS recall,
+          CAST(support AS DOUBLE) AS support, tp FROM per),
+per3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1_score FROM per2),
+rep AS (
+SELECT label, precision, recall, f1_score, support FROM per3
+UNION ALL SELECT 'macro avg', sum(precision) / count(*), sum(recall) / count(*), sum(f1_score) / count(*), sum(support) FROM per3
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                 sum(f1_score * support) / sum(support), sum(support) FROM per3
+UNION ALL SELECT 'accuracy', NULL, NULL, CAST(sum(tp) AS DOUBLE) / sum(support), sum(support) FROM per3),
+rep6 AS (SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score,
+                support FROM rep)
+"""
+
+
+def _m_with(body: str) -> str:
+    text = W("SELECT 1", "m")
+    return text[: text.rindex("SELECT 1")].rstrip() + REPORT_SQL + body
+
+
+def _report(spark, sf):
+    from ..operators.metrics import classification_report
+    rep = classification_report(fx.scored(spark, sf))
+    return rep.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")], "support")
+
+
+@register("classification_report", _m_with("SELECT * FROM rep6"))
+def q_classification_report(spark, sf):
+    return _report(spark, sf)
+
+
+@register("metrics_long", _m_with(" UNION ALL ".join(
+    f"SELECT 'm_fixture' AS run_id, 'rule' AS model, 'metric' AS kind, "
+    f"label || '_{m}' AS key, "
+    f"CAST({m} AS DOUBLE) AS value FROM rep6 WHERE {m} IS NOT NULL"
+    for m in ("precision", "recall", "f1_score", "support"))))
+def q_metrics_long(spark, sf):
+    from ..operators.metrics import metrics_long
+    return metrics_long(_report(spark, sf), "m_fixture", "rule")
+
+
+ROC_BASE = """, s AS (SELECT score AS threshold, sum(y) AS tp, sum(1 - y) AS fp FROM m WHERE score IS NOT NULL GROUP BY score),
+c AS (SELECT threshold, tp, fp, row_number() OVER (ORDER BY threshold DESC) - 1 AS i,
+             sum(tp) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ctp,
+             sum(fp) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cfp FROM s),
+tot AS (SELECT CAST(sum(y) AS DOUBLE) AS P, CAST(sum(1 - y) AS DOUBLE) AS N FROM m)
+"""
+
+
+def _roc_with(body: str) -> str:
+    text = W("SELECT 1", "m")
+    return text[: text.rindex("SELECT 1")].rstrip() + ROC_BASE + body
+
+
+@register("roc_curve", _roc_with("""
+, k AS (SELECT *, lag(ctp) OVER (ORDER BY i) AS p_tp, lag(cfp) OVER (ORDER BY i) AS p_fp,
+               lead(ctp) OVER (ORDER BY i) AS n_tp, lead(cfp) OVER (ORDER BY i) AS n_fp, max(i) OVER () AS last_i FROM c),
+kept AS (SELECT threshold, i, ctp, cfp FROM k WHERE i = 0 OR i = last_i OR n_fp - 2 * cfp + p_fp <> 0 OR n_tp - 2 * ctp + p_tp <> 0
+         UNION ALL SELECT CAST(NULL AS DOUBLE), -1, 0, 0)
+SELECT CAST(i + 1 AS BIGINT) AS idx, threshold, round(CAST(cfp AS DOUBLE) / N, 6) AS fpr, round(CAST(ctp AS DOUBLE) / P, 6) AS tpr
+FROM kept, tot"""))
+def q_roc_curve(spark, sf):
+    from ..operators.metrics import roc_curve
+    r = roc_curve(fx.scored(spark, sf))
+    return r.select("idx", "threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
+
+
+@register("roc_auc", _roc_with(
+    "SELECT round(sum(fp * (ctp - CAST(tp AS DOUBLE) / 2.0)) / CAST(sum(tp) * sum(fp) AS DOUBLE), 6) AS auc FROM c"))
+def q_roc_auc(spark, sf):
+    from ..operators.metrics import roc_auc
+    return roc_auc(fx.scored(spark, sf)).select(F.round("auc", 6).alias("auc"))
+
+
+# ---------------------------------------------------------------- G: splits and folds
+
+def _u_sql(key: str, seed: int = 42) -> str:
+    from ..functions.exprs import hash_uniform_sql
+    return hash_uniform_sql(key, seed)
+
+
+D_COLS = ["doc_id", "n_chars", "n_words", "n_lines", "lang", "quality", "toxic"]
+
+
+@register("stratified_split", W(
+    f"SELECT {', '.join(D_COLS)}, CASE WHEN row_number() OVER (PARTITION BY toxic ORDER BY u, doc_id) - 1 "
+    f"< round(0.2 * count(*) OVER (PARTITION BY toxic)) THEN 'test' ELSE 'train' END AS split "
+    f"FROM (SELECT *, {_u_sql('doc_id')} AS u FROM d)", "d"))
+def q_stratified_split(spark, sf):
+    from ..operators.split import stratified_split
+    return stratified_split(fx.doc_classes(spark, sf), "toxic", "doc_id", 0.2, 42)
+
+
+@register("stratified_folds", W(
+    f"SELECT {', '.join(D_COLS)}, CAST((row_number() OVER (PARTITION BY toxic ORDER BY u, doc_id) - 1) % 5 AS INTEGER) AS fold "
+    f"FROM (SELECT *, {_u_sql('doc_id')} AS u FROM d)", "d"))
+def q_stratified_folds(spark, sf):
+    from ..operators.split import stratified_folds
+    return stratified_folds(fx.doc_classes(spark, sf), "toxic", "doc_id", 5, 42)
+
+
+@register("temporal_split", W(
+    "SELECT entity_id, entity_name, units, spend, disc_pct, thin, "
+    "CASE WHEN period < 1999 THEN 'train' ELSE 'test' END AS split FROM p WHERE period IS NOT NULL", "p"))
+def q_temporal_split(spark, sf):
+    from ..operators.split import temporal_split
+    return temporal_split(fx.panel(spark, sf), "period", 1999)
+
+
+@register("expanding_folds", W("""SELECT fold, role, period, count(*) AS n_rows FROM p JOIN (
+  SELECT CAST(fold AS INTEGER) AS fold, period,
+         CASE WHEN pi < np - 5 * (np // 6) + fold * (np // 6) THEN 'train'
+              WHEN pi < np - 5 * (np // 6) + (fold + 1) * (np // 6) THEN 'test' END AS role
+  FROM (SELECT period, row_number() OVER (ORDER BY period) - 1 AS pi, count(*) OVER () AS np
+        FROM (SELECT DISTINCT period FROM p WHERE period IS NOT NULL)) per,
+       (SELECT range AS fold FROM range(5)) folds) fp USING (period)
+WHERE role IS NOT NULL GROUP BY fold, role, period""", "p"))
+def q_expanding_folds(spark, sf):
+    from ..operators.split import expanding_folds, fold_rows
+    p = fx.panel(spark, sf)
+    return fold_rows(p, expanding_folds(p, "period", 5)).groupBy("fold", "role", "period") \
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---------------------------------------------------------------- H: feature preparation
+
+def _h1_sql():
+    med = ", ".join(f"median({c}) AS md_{c}" for c in P_MEASURES)
+    fill = ", ".join(f"coalesce({c}, md_{c}) AS {c}" for c in P_MEASURES)
+    mom = ", ".join(f"avg({c}) AS mn_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS sd_{c}"
+                    for c in P_MEASURES)
+    out = ", ".join(f"round((coalesce({c}, md_{c}) - mn_{c}) / sd_{c}, 6) AS {c}" for c in P_MEASURES)
+    return W(f"SELECT entity_id, entity_name, period, {out} FROM p, (SELECT {med} FROM p WHERE period < 1999) med, "
+             f"(SELECT {mom} FROM (SELECT {fill} FROM p, (SELECT {med} FROM p WHERE period < 1999) m2 "
+             f"WHERE period < 1999)) mom", "p")
+
+
+@register("median_impute_scale", _h1_sql())
+def q_median_impute_scale(spark, sf):
+    p = fx.panel(spark, sf)
+    out = features.median_impute_scale(p.where(F.col("period") < 1999), p, P_MEASURES)
+    return out.select(*[F.round(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
+
+
+@register("standard_scale", W(
+    "SELECT entity_id, entity_name, period, " + ", ".join(
+        f"round(({c} - mn_{c}) / sd_{c}, 6) AS {c}" for c in P_MEASURES) + " FROM p, (SELECT " + ", ".join(
+        f"avg({c}) AS mn_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS sd_{c}"
+        for c in P_MEASURES) + " FROM p) s", "p"))
+def q_standard_scale(spark, sf):
+    out = features.standard_scale(fx.panel(spark, sf), P_MEASURES)
+    return out.select(*[F.round(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("one_hot", W("SELECT event_id, " + ", ".join(
+    f"CAST(event_type = '{v}' AS INTEGER) AS event_type_{v}" for v in EVENT_TYPES) + " FROM e", "e"))
+def q_one_hot(spark, sf):
+    return features.one_hot(fx.events_defects(spark, sf).select("event_id", "event_type"), ["event_type"])
+
+
+# ---------------------------------------------------------------- I: forecasting (linear model)
+
+SLOPE_DP, ICPT_DP = 10, 4
+LIN_SQL = (f", lin AS (SELECT round(regr_slope(spend, spend_lag1), {SLOPE_DP}) AS b, "
+           f"round(regr_intercept(spend, spend_lag1), {ICPT_DP}) AS a, "
+           f"round(regr_slope(spend, units), {SLOPE_DP}) AS g FROM f)\n")
+
+
+def _f_with(body: str) -> str:
+    text = W("SELECT 1", "f")
+    return text[: text.rindex("SELECT 1")].rstrip() + LIN_SQL + body
+
+
+def _lin_model(fdf):
+    from ..operators.forecast import LinearModel
+    row = fdf.agg(F.round(F.regr_slope("spend", "spend_lag1"), SLOPE_DP).alias("b"),
+                  F.round(F.regr_intercept("spend", "spend_lag1"), ICPT_DP).alias("a"),
+                  F.round(F.regr_slope("spend", "units"), SLOPE_DP).alias("g")).first()
+    return row, LinearModel(row["a"], {"spend_lag1": row["b"]})
+
+
+@register("linear_fit", _f_with("SELECT b AS slope, a AS intercept FROM lin"))
+def q_linear_fit(spark, sf):
+    row, _ = _lin_model(fx.forecast_base(spark, sf))
+    return spark.createDataFrame([(row["b"], row["a"])], "slope double, intercept double")
+
+
+@register("regression_metrics", _f_with(
+    "SELECT round(1 - avg((spend - (a + b * spend_lag1)) * (spend - (a + b * spend_lag1))) / var_pop(spend), 6) AS r2, "
+    "round(avg(abs(spend - (a + b * spend_lag1))), 6) AS mae, "
+    "round(sqrt(avg((spend - (a + b * spend_lag1)) * (spend - (a + b * spend_lag1)))), 6) AS rmse "
+    "FROM f, lin WHERE spend_lag1 IS NOT NULL"))
+def q_regression_metrics(spark, sf):
+    from ..operators.metrics import regression_metrics
+    fdf = fx.forecast_base(spark, sf)
+    _, model = _lin_model(fdf)
+    scored = model.predict(fdf.where(F.col("spend_lag1").isNotNull()), "prediction")
+    m = regression_metrics(scored, "spend", "prediction")
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+FC_SQL = """, last AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY period DESC) AS rn FROM f) WHERE rn = 1),
+s1 AS (SELECT entity_id, period, a + b * spend_lag1 AS p1, spend AS y0, a, b FROM last, lin),
+s2 AS (SELECT *, a + b * y0 AS p2 FROM s1),
+s3 AS (SELECT *, a + b * p1 AS p3 FROM s2),
+s4 AS (SELECT *, a + b * p2 AS p4 FROM s3),
+s5 AS (SELECT *, a + b * p3 AS p5 FROM s4),
+fc AS (SELECT entity_id, CAST(period + 1 AS INTEGER) AS period, 1 AS step, p1 AS prediction FROM s5
+  UNION ALL SELECT entity_id, CAST(period + 2 AS INTEGER), 2, p2 FROM s5
+  UNION ALL SELECT entity_id, CAST(period + 3 AS INTEGER), 3, p3 FROM s5
+  UNION ALL SELECT entity_id, CAST(period + 4 AS INTEGER), 4, p4 FROM s5
+  UNION ALL SELECT entity_id, CAST(period + 5 AS INTEGER), 5, p5 FROM s5)
+"""
+
+
+def _forecast(spark, sf, fdf=None):
+    from ..operators.forecast import forecast_recursive
+    fdf = fdf if fdf is not None else fx.forecast_base(spark, sf)
+    _, model = _lin_model(fdf)
+    return forecast_recursive(fdf, model, 5, "spend", {"spend": 1}, align="reference")
+
+
+@register("forecast_recursive", _f_with(FC_SQL + "SELECT entity_id, period, CAST(step AS INTEGER) AS step, "
+                                        "round(prediction, 4) AS prediction FROM fc"))
+def q_forecast_recursive(spark, sf):
+    return _forecast(spark, sf).withColumn("prediction", F.round("prediction", 4))
+
+
+@register("latest_forecast", _f_with(FC_SQL + "SELECT entity_id, max(period) AS period, "
+                                     "round(arg_max(prediction, period), 4) AS prediction FROM fc GROUP BY entity_id"))
+def q_latest_forecast(spark, sf):
+    from ..operators.topk import latest_forecast
+    return latest_forecast(_forecast(spark, sf)).withColumn("prediction", F.round("prediction", 4))
+
+
+@register("history_with_forecast", _f_with(FC_SQL + """SELECT entity_id, period, spend AS actual, CAST(NULL AS DOUBLE) AS fitted, CAST(NULL AS DOUBLE) AS forecast FROM f
+UNION ALL SELECT entity_id, period, NULL, round(a + b * spend_lag1, 4), NULL FROM f, lin
+UNION ALL SELECT entity_id, period, NULL, NULL, round(prediction, 4) FROM fc"""))
+def q_history_with_forecast(spark, sf):
+    from ..operators.forecast import history_with_forecast
+    fdf = fx.forecast_base(spark, sf)
+    _, model = _lin_model(fdf)
+    fitted = model.predict(fdf, "prediction").withColumn("prediction", F.round("prediction", 4))
+    fut = _forecast(spark, sf, fdf).withColumn("prediction", F.round("prediction", 4))
+    return history_with_forecast(fdf, fitted, fut, "spend")
+
+
+STRESS_SQL = """, last AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY period DESC) AS rn FROM f) WHERE rn = 1),
+sc AS (SELECT * FROM (VALUES ('base', NULL), ('stress', -2.0)) t(scenario, shock)),
+y1 AS (SELECT entity_id, scenario, period, coalesce(CAST(shock AS DOUBLE), units) AS shock,
+              a + b * spend_lag1 + g * units AS p1, a, b, g FROM last, sc, lin),
+y2 AS (SELECT *, a + b * p1 + g * shock AS p2 FROM y1),
+y3 AS (SELECT *, a + b * p2 + g * shock AS p3 FROM y2)
+"""
+
+
+@register("stress_scenarios", _f_with(STRESS_SQL + """SELECT entity_id, scenario, CAST(period + 1 AS INTEGER) AS period, 1 AS step, round(p1, 4) AS prediction FROM y3
+UNION ALL SELECT entity_id, scenario, CAST(period + 2 AS INTEGER), 2, round(p2, 4) FROM y3
+UNION ALL SELECT entity_id, scenario, CAST(period + 3 AS INTEGER), 3, round(p3, 4) FROM y3"""))
+def q_stress_scenarios(spark, sf):
+    from ..operators.forecast import LinearModel, stress_scenarios
+    fdf = fx.forecast_base(spark, sf)
+    row, _ = _lin_model(fdf)
+    model = LinearModel(row["a"], {"spend_lag1": row["b"], "units": row["g"]})
+    out = stress_scenarios(fdf, model, {"base": None, "stress": -2.0}, 3, target="spend", driver="units",
+                           carried_lags={"units": "units_lag1", "disc_pct": "disc_pct_lag1"},
+                           target_lag="spend_lag1")
+    return out.withColumn("prediction", F.round("prediction", 4))
+
+
+@register("attributions_linear", _f_with("""SELECT entity_id, period, 'spend_lag1' AS feature,
+  round(b * (spend_lag1 - (SELECT avg(spend_lag1) FROM f WHERE spend_lag1 IS NOT NULL)), 4) AS contribution
+FROM f, lin WHERE spend_lag1 IS NOT NULL
+UNION ALL SELECT entity_id, period, 'units', round(g * (units - (SELECT avg(units) FROM f WHERE spend_lag1 IS NOT NULL)), 4)
+FROM f, lin WHERE spend_lag1 IS NOT NULL"""))
+def q_attributions_linear(spark, sf):
+    from ..operators.forecast import LinearModel
+    from ..operators.models import linear_attributions
+    fdf = fx.forecast_base(spark, sf).where(F.col("spend_lag1").isNotNull())
+    row, _ = _lin_model(fx.forecast_base(spark, sf))
+    model = LinearModel(row["a"], {"spend_lag1": row["b"], "units": row["g"]})
+    out = linear_attributions(fdf, model, ["entity_id", "period"])
+    return out.withColumn("contribution", F.round("contribution", 4))

@@ -74,7 +74,7 @@ SELECT c_name AS client_id, c_acctbal AS income, c_acctbal * 0.5 AS expenses, c_
 
 def with_ctes(body: str, *names: str) -> str:
     """``WITH`` clause of the named fixtures (in dependency order) followed by ``body``."""
-    deps = {"n": ["p"], "t": ["p", "n"]}
+    deps = {"n": ["p"], "t": ["p", "n"], "f": ["p"]}
     order: list[str] = []
     for n in names:
         for d in deps.get(n, []) + [n]:
@@ -89,4 +89,13 @@ def with_ctes(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
-EXTRA: dict[str, str] = {}
+def _f_sql() -> str:
+    from .sqlgen import interp_sql
+    cols = ["entity_id", "entity_name", "period", "units", "spend", "disc_pct"]
+    imp = interp_sql(["units", "spend", "disc_pct"], "p", "entity_id", "period", cols, mode="impute")
+    lags = ", ".join(f"lag({c}, 1) OVER (PARTITION BY entity_id ORDER BY period) AS {c}_lag1"
+                     for c in ("spend", "disc_pct", "units"))
+    return f"SELECT *, {lags} FROM ({imp}) fi"
+
+
+EXTRA: dict[str, str] = {"f": _f_sql()}
