@@ -760,3 +760,49 @@ def q_attributions_linear(spark, sf):
     model = LinearModel(row["a"], {"spend_lag1": row["b"], "units": row["g"]})
     out = linear_attributions(fdf, model, ["entity_id", "period"])
     return out.withColumn("contribution", F.round("contribution", 4))
+
+
+# ---------------------------------------------------------------- H: balancing
+
+SMOTE_COLS = ["n_chars", "n_words", "n_lines"]
+
+
+def _smote_sql() -> str:
+    from ..functions.exprs import hash_uniform_sql
+    u = lambda salt: hash_uniform_sql("j", 42, f"1:{salt}")
+    feats = ", ".join(SMOTE_COLS)
+    dist = " + ".join(f"(b.{c} - a.{c}) * (b.{c} - a.{c})" for c in SMOTE_COLS)
+    syn = ", ".join(f"round(x.{c} + dr.step * (nb.{c} - x.{c}), 6) AS {c}" for c in SMOTE_COLS)
+    body = f""", mn AS (SELECT doc_id, {feats}, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM d WHERE toxic = 1),
+cnt AS (SELECT CAST(count_if(toxic = 0) - count_if(toxic = 1) AS BIGINT) AS n_new, CAST(count_if(toxic = 1) AS BIGINT) AS n_min FROM d),
+dr AS (SELECT j, CAST(floor({u('row')} * n_min) AS BIGINT) AS pos, CAST(floor({u('nn')} * 5) + 1 AS INTEGER) AS rnk,
+              {u('step')} AS step FROM cnt, (SELECT range AS j FROM range((SELECT n_new FROM cnt))) g),
+nnr AS (SELECT a.pos, b.doc_id, {', '.join('b.' + c for c in SMOTE_COLS)},
+               row_number() OVER (PARTITION BY a.pos ORDER BY {dist}, b.doc_id) AS rk
+        FROM mn a JOIN mn b ON a.doc_id <> b.doc_id WHERE a.pos IN (SELECT pos FROM dr))
+SELECT CAST(doc_id AS BIGINT) AS sample_id, {', '.join(f'round({c}, 6) AS {c}' for c in SMOTE_COLS)}, toxic, false AS synthetic FROM d
+UNION ALL
+SELECT -(dr.j + 1) AS sample_id, {syn}, 1 AS toxic, true AS synthetic
+FROM dr JOIN mn x ON x.pos = dr.pos JOIN nnr nb ON nb.pos = dr.pos AND nb.rk = dr.rnk"""
+    text = W("SELECT 1", "d")
+    return text[: text.rindex("SELECT 1")].rstrip() + body
+
+
+def _smote(spark, sf):
+    from ..operators.balance import smote
+    return smote(fx.doc_classes(spark, sf), "toxic", SMOTE_COLS, "doc_id", k=5, seed=42)
+
+
+@register("smote", _smote_sql())
+def q_smote(spark, sf):
+    out = _smote(spark, sf)
+    return out.select("sample_id", *[F.round(c, 6).alias(c) for c in SMOTE_COLS], "toxic", "synthetic")
+
+
+@register("balance_counts", W(
+    "SELECT toxic, count(*) AS rows_before, max(n_maj) AS rows_after FROM d, "
+    "(SELECT max(c) AS n_maj FROM (SELECT count(*) AS c FROM d GROUP BY toxic)) GROUP BY toxic", "d"))
+def q_balance_counts(spark, sf):
+    from ..operators.balance import balance_counts
+    d = fx.doc_classes(spark, sf)
+    return balance_counts(d, _smote(spark, sf), "toxic")
