@@ -20,6 +20,15 @@ from pyspark.sql import functions as F
 
 DEFAULT_EXACT_ROWS = 2_000_000
 DEFAULT_ACCURACY = 10_000
+EXACT_BYTES_LIMIT = 32 * 1024 * 1024  # planner size estimate under which exact percentiles are safe
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (no job runs); conservative without CBO."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
+        return None
 
 
 def _spark(df: DataFrame):
@@ -40,8 +49,12 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], method:
     ``"auto"`` (count first; exact when every column has at most ``max_exact_rows`` values).
     """
     if method == "auto":
-        counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-        method = "exact" if max(counts[c] for c in cols) <= max_exact_rows else "bracket"
+        est = estimated_bytes(df.select(*cols))
+        if est is not None and est <= EXACT_BYTES_LIMIT:
+            method = "exact"  # provably small input: no counting pass needed
+        else:
+            counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
+            method = "exact" if max(counts[c] for c in cols) <= max_exact_rows else "bracket"
     if method == "exact":
         exprs = []
         for c in cols:

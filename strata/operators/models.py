@@ -119,7 +119,7 @@ def score_records(records: DataFrame, models: dict, model_name: str, features: l
         raise KeyError(f"model {model_name!r} not loaded; known: {sorted(models)}")
     cols = records.select(*keys, *[F.col(map_col).getItem(f).cast("double").alias(f) for f in features])
     out = score_batch(cols, models[model_name])
-    return out.withColumn("prediction", F.col("prediction").cast("int"))
+    return out.select(*keys, F.col("prediction").cast("int").alias("prediction"))
 
 
 def feature_importance(model, names: list[str], spark=None) -> DataFrame | None:

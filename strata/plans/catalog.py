@@ -806,3 +806,188 @@ def q_balance_counts(spark, sf):
     from ..operators.balance import balance_counts
     d = fx.doc_classes(spark, sf)
     return balance_counts(d, _smote(spark, sf), "toxic")
+
+
+# ---------------------------------------------------------------- J: streaming (rows-only check)
+
+def _event_rule(df: DataFrame) -> DataFrame:
+    """Rule scorer shared by the stream and the batch check: high-value events are risky."""
+    return df.select("user_id", "event_id", "event_type", "value",
+                     F.when(F.col("value") >= 50, 1.0).otherwise(0.0).alias("prediction"))
+
+
+@register("stream_score", None)
+def q_stream_score(spark, sf):
+    from ..streaming.scoring import stream_score
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    root = scratch_path(spark, "stream")
+    return stream_score(spark, sf, schema, _event_rule, f"{root}/store", f"{root}/_checkpoint",
+                        key="user_id", event_time="ts", watermark="365 days", path_glob="events.parquet")
+
+
+# ---------------------------------------------------------------- H: Spark ML models (rows-only checks)
+
+D_FEATS = ["n_chars", "n_words", "n_lines", "quality"]
+
+
+def _d_split(spark, sf):
+    from ..operators.split import stratified_split, train_test
+    return train_test(stratified_split(fx.doc_classes(spark, sf), "toxic", "doc_id", 0.2, 42))
+
+
+def _scored_test(model, test, keys):
+    from ..operators.models import score_batch
+    return score_batch(test.select(*keys, *D_FEATS), model).select(*keys, "prediction")
+
+
+@register("train_boosted", None)
+def q_train_boosted(spark, sf):
+    from ..operators.models import train_boosted
+    from ..operators.profile import positive_weight
+    train, test = _d_split(spark, sf)
+    w = positive_weight(train, "toxic").first()["pos_weight"]
+    model = train_boosted(train, "toxic", D_FEATS, {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.1},
+                          pos_weight=w)
+    return _scored_test(model, test, ["doc_id", "toxic"])
+
+
+@register("train_additive", None)
+def q_train_additive(spark, sf):
+    from ..operators.models import train_additive
+    train, test = _d_split(spark, sf)
+    return _scored_test(train_additive(train, "toxic", D_FEATS, {"n_estimators": 10}), test, ["doc_id", "toxic"])
+
+
+@register("train_mlp", None)
+def q_train_mlp(spark, sf):
+    from ..operators.models import train_mlp
+    from ..operators.features import standard_scale
+    d = standard_scale(fx.doc_classes(spark, sf), D_FEATS)
+    from ..operators.split import stratified_split, train_test
+    train, test = train_test(stratified_split(d, "toxic", "doc_id", 0.2, 42))
+    return _scored_test(train_mlp(train, "toxic", D_FEATS, hidden=(8, 4), max_iter=30), test, ["doc_id", "toxic"])
+
+
+F_FEATS = ["spend_lag1", "units_lag1", "disc_pct_lag1", "units", "disc_pct"]
+
+
+def _f_temporal(spark, sf):
+    fdf = fx.forecast_base(spark, sf).where(F.col("spend_lag1").isNotNull())
+    return fdf.where(F.col("period") < 2000), fdf.where(F.col("period") >= 2000)
+
+
+@register("train_forest_regressor", None)
+def q_train_forest_regressor(spark, sf):
+    from ..operators.metrics import regression_metrics
+    from ..operators.models import score_batch, train_forest_regressor
+    train, test = _f_temporal(spark, sf)
+    model = train_forest_regressor(train, "spend", F_FEATS, {"n_estimators": 10, "maxDepth": 5})
+    return regression_metrics(score_batch(test, model), "spend", "prediction")
+
+
+@register("train_boosted_regressor", None)
+def q_train_boosted_regressor(spark, sf):
+    from ..operators.models import score_batch, train_boosted_regressor
+    train, test = _f_temporal(spark, sf)
+    model = train_boosted_regressor(train, "spend", F_FEATS, {"n_estimators": 10})
+    return score_batch(test.select("entity_id", "period", "spend", *F_FEATS), model)
+
+
+@register("train_linear_ml", None)
+def q_train_linear_ml(spark, sf):
+    from ..operators.models import train_linear
+    train, _ = _f_temporal(spark, sf)
+    lr = train_linear(train, "spend", F_FEATS).stages[-1]
+    rows = [("intercept", float(lr.intercept))] + [(f, float(c)) for f, c in zip(F_FEATS, lr.coefficients.toArray())]
+    return spark.createDataFrame(rows, "term string, coefficient double")
+
+
+def _boosted_model(spark, sf):
+    from ..operators.models import train_boosted
+    train, test = _d_split(spark, sf)
+    return train_boosted(train, "toxic", D_FEATS, {"n_estimators": 10, "max_depth": 3}), train, test
+
+
+@register("feature_importance", None)
+def q_feature_importance(spark, sf):
+    from ..operators.models import feature_importance
+    model, _, _ = _boosted_model(spark, sf)
+    return feature_importance(model, D_FEATS, spark)
+
+
+@register("top_importances", None)
+def q_top_importances(spark, sf):
+    from ..operators.models import feature_importance
+    from ..operators.topk import top_importances
+    model, _, _ = _boosted_model(spark, sf)
+    return top_importances(feature_importance(model, D_FEATS, spark), 15)
+
+
+@register("attributions_stumps", None)
+def q_attributions_stumps(spark, sf):
+    from ..operators.models import mean_abs_attribution, stump_attributions, train_additive
+    train, test = _d_split(spark, sf)
+    model = train_additive(train, "toxic", D_FEATS, {"n_estimators": 10})
+    return mean_abs_attribution(stump_attributions(test, model, D_FEATS, ["doc_id"]))
+
+
+RULE_SQL = "SELECT *, CASE WHEN disc_pct > 5.0 THEN 1.0 ELSE 0.0 END AS prediction FROM __THIS__"
+
+
+@register("score_batch_rule", W(
+    "SELECT entity_id, period, units, spend, disc_pct, CASE WHEN disc_pct > 5.0 THEN 1.0 ELSE 0.0 END AS prediction "
+    "FROM p", "p"))
+def q_score_batch_rule(spark, sf):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    from ..operators.models import score_batch
+    model = PipelineModel(stages=[SQLTransformer(statement=RULE_SQL)])
+    return score_batch(fx.panel(spark, sf), model, drop=["entity_name", "thin"])
+
+
+@register("score_records", """SELECT c_name AS client_id,
+  CAST(CASE WHEN c_acctbal * 0.25 > c_acctbal * 2.0 - 1000.0 THEN 1.0 ELSE 0.0 END AS INTEGER) AS prediction
+FROM customer""")
+def q_score_records(spark, sf):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+    from ..operators.models import score_records
+    from ..sources.tables import read_table
+    cust = read_table(spark, sf, "customer", ["c_name", "c_acctbal"])
+    bal = F.col("c_acctbal")
+    records = cust.select(F.col("c_name").alias("client_id"),
+                          F.create_map(F.lit("income"), bal, F.lit("expenses"), bal * 0.5,
+                                       F.lit("debt"), bal * 0.25, F.lit("assets"), bal * 2.0).alias("features"))
+    rule = PipelineModel(stages=[SQLTransformer(
+        statement="SELECT *, CASE WHEN debt > assets - 1000.0 THEN 1.0 ELSE 0.0 END AS prediction FROM __THIS__")])
+    return score_records(records, {"rule": rule}, "rule", ["income", "expenses", "debt", "assets"])
+
+
+@register("tune_cv", None)
+def q_tune_cv(spark, sf):
+    from ..operators.models import tune
+    from ..operators.split import grid_params, stratified_folds
+    d = stratified_folds(fx.doc_classes(spark, sf), "toxic", "doc_id", 3, 42)
+    maps = grid_params({"max_depth": [2, 3], "n_estimators": [5]})
+    _, scores = tune(d, "toxic", D_FEATS, "xgb", maps, "fold", parallelism=2)
+    return spark.createDataFrame([(i, str(m), float(s)) for i, (m, s) in enumerate(zip(maps, scores))],
+                                 "param_map int, params string, mean_auc double")
+
+
+@register("forecast_ml", None)
+def q_forecast_ml(spark, sf):
+    from ..operators.forecast import SparkModelAdapter, forecast_recursive
+    from ..operators.models import train_boosted_regressor
+    fdf = fx.forecast_base(spark, sf)
+    train = fdf.where(F.col("spend_lag1").isNotNull())
+    model = train_boosted_regressor(train, "spend", ["spend_lag1", "units"], {"n_estimators": 5}).stages[-1]
+    return forecast_recursive(fdf, SparkModelAdapter(model, ["spend_lag1", "units"]), 4, "spend", {"spend": 1})
+
+
+@register("train_pipeline", None)
+def q_train_pipeline(spark, sf):
+    from ..operators.workflow import train_pipeline
+    res = train_pipeline(fx.doc_classes(spark, sf), "toxic", ["n_chars", "n_words", "n_lines"], "doc_id",
+                         model="xgb", param_maps=[{"max_depth": 2, "n_estimators": 5}], folds=3,
+                         registry_root=None)
+    return res.metrics

@@ -19,6 +19,12 @@ from .tables import read_table
 MAX_PERIODS = 100_000  # bound checked before the period list is broadcast
 
 
+def _cents(c):
+    """x as an exact integer number of hundredths: equal to the unscaled value of
+    CAST(x AS DECIMAL(p, 2)) (both round half up from the shortest decimal form of x)."""
+    return F.round(F.round(c, 2) * 100, 0).cast("long")
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P.  Lineitem is pre-aggregated per order (partial aggregation before the shuffle), joined
     1:1 to its order, then both order and line measures are summed per (customer, year) in one
@@ -26,17 +32,22 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     uses the distinct years of the data (a small, checked list)."""
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
     lines = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_extendedprice", "l_discount"])
-    ext = F.col("l_extendedprice").cast("decimal(18,2)")
+    # Exact decimal arithmetic on integer units: cents (x 100) and basis points of a cent
+    # (x 10^4) summed as longs.  Dividing the exact integer sum by the power of ten in
+    # double is correctly rounded, i.e. equal to CAST(SUM(DECIMAL) AS DOUBLE), while staying
+    # in codegen'd long arithmetic instead of wide decimals.
+    ext_c = _cents(F.col("l_extendedprice"))
     per_order = lines.groupBy("l_orderkey").agg(
-        F.sum(ext * F.col("l_discount").cast("decimal(4,2)")).alias("_disc_amt"),
-        F.sum(ext).alias("_ext"))
+        F.sum(ext_c * _cents(F.col("l_discount"))).alias("_disc_amt"),
+        F.sum(ext_c).alias("_ext"))
     o = orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("int").alias("period"),
-                      F.col("o_totalprice").cast("decimal(18,2)").alias("_price"))
+                      _cents(F.col("o_totalprice")).alias("_price"))
     joined = o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
     agg = joined.groupBy(F.col("o_custkey").alias("entity_id"), "period").agg(
         F.count(F.lit(1)).cast("double").alias("units"),
-        F.sum("_price").cast("double").alias("spend"),
-        (F.sum("_disc_amt").cast("double") * 100 / F.sum("_ext").cast("double")).alias("disc_pct"))
+        (F.sum("_price").cast("double") / F.lit(100.0)).alias("spend"),
+        ((F.sum("_disc_amt").cast("double") / F.lit(10000.0)) * 100
+         / (F.sum("_ext").cast("double") / F.lit(100.0))).alias("disc_pct"))
     years = o.agg(F.sort_array(F.collect_set("period")).alias("_years"))
     n_years = years.select(F.size("_years")).first()[0]
     if n_years > MAX_PERIODS:
