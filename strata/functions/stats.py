@@ -113,11 +113,15 @@ def _bracket_quantiles(df, cols, probs, max_exact_rows, accuracy):
 
 def _kth_smallest(vdf: DataFrame, n: int, ranks: list[int], max_exact_rows: int, accuracy: int,
                   depth: int = 0) -> dict[int, float]:
-    """0-based order statistics of column ``v`` (n non-null rows) by bracketing."""
+    """0-based order statistics of column ``v`` (n non-null rows) by bracketing.
+
+    Rows equal to the bracket's lower bound are counted separately, so heavily tied values
+    resolve without gathering anything; otherwise the search continues strictly above it.
+    """
     if n <= max_exact_rows:
         arr = vdf.agg(F.sort_array(F.collect_list("v")).alias("a")).first()["a"]
         return {k: arr[k] for k in ranks}
-    if depth >= 8:
+    if depth >= 12:
         raise RuntimeError("order statistic bracket did not narrow below the exact-row limit")
     margin = 2.0 * n / accuracy + 2
     lo_p = [max(0.0, (k - margin) / (n - 1)) for k in ranks]
@@ -133,15 +137,22 @@ def _kth_smallest(vdf: DataFrame, n: int, ranks: list[int], max_exact_rows: int,
             a = approx["mn"]
         if hi_p[i] == 1.0:
             b = approx["mx"]
-        cnt = vdf.agg(F.count_if(F.col("v") < a).alias("lt"),
-                      F.count_if((F.col("v") >= a) & (F.col("v") <= b)).alias("inb")).first()
-        lt, inb = cnt["lt"], cnt["inb"]
+        v = F.col("v")
+        cnt = vdf.agg(F.count_if(v < a).alias("lt"), F.count_if(v == a).alias("eq"),
+                      F.count_if((v >= a) & (v <= b)).alias("inb")).first()
+        lt, eq, inb = cnt["lt"], cnt["eq"], cnt["inb"]
         if not (lt <= k < lt + inb):  # the sketch missed: fall back to the full range
-            a, b, lt, inb = approx["mn"], approx["mx"], 0, n
-        sub = vdf.where((F.col("v") >= a) & (F.col("v") <= b))
-        acc = min(accuracy * 10, 2_000_000_000) if inb == n else accuracy  # no narrowing: sharper sketch
-        local = _kth_smallest(sub, inb, [k - lt], max_exact_rows, acc, depth + 1)
-        result[k] = local[k - lt]
+            a, b = approx["mn"], approx["mx"]
+            cnt = vdf.agg(F.count_if(v == a).alias("eq")).first()
+            lt, eq, inb = 0, cnt["eq"], n
+        if k < lt + eq:
+            result[k] = a
+            continue
+        sub = vdf.where((v > a) & (v <= b))
+        n_sub = inb - eq
+        acc = min(accuracy * 10, 2_000_000_000) if n_sub >= n - 1 else accuracy  # no narrowing: sharper sketch
+        local = _kth_smallest(sub, n_sub, [k - lt - eq], max_exact_rows, acc, depth + 1)
+        result[k] = local[k - lt - eq]
     return result
 
 
