@@ -43,7 +43,7 @@ def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str
     n = st["n"]
     spans = [max(float(st[f"hi{i}"] - st[f"lo{i}"]), 0.0) for i in range(d)]
     live = [v for v in spans if v > 0]
-    per_cell = target_per_cell or float(k + 1)
+    per_cell = target_per_cell or float(4 * (k + 1))
     h0 = (math.prod(live) * per_cell / max(n, 1)) ** (1.0 / len(live)) if live else 1.0
     h0 = max(h0, (max(live) if live else 1.0) / 2 ** 40)
     lo = [float(st[f"lo{i}"]) for i in range(d)]
