@@ -18,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 DEFAULT_EXACT_ROWS = 2_000_000
 DEFAULT_ACCURACY = 10_000
 EXACT_BYTES_LIMIT = 32 * 1024 * 1024  # planner size estimate under which exact percentiles are safe
@@ -169,7 +171,7 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str] = ()
     ordered = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order_cols]
     tagged = (df.repartitionByRange(n, *ordered)
               .withColumn("_bucket", F.spark_partition_id()))
-    tagged = tagged.checkpoint(eager=True)  # freezes bucket membership; lineage cut on shared storage
+    tagged = reliable_checkpoint(tagged)  # freezes bucket membership; lineage cut on shared storage
     totals = tagged.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

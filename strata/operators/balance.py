@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_uniform
 from ..functions.stats import global_index
+from ..session import reliable_checkpoint
 
 
 def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str, k: int,
@@ -66,12 +67,12 @@ def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str
                 .where(F.col("_pkey") != F.col("_skey"))
                 .select("_sid", "_pkey", d2.alias("_d2"), *[f"p_{c}" for c in cols]))
         w = Window.partitionBy("_sid").orderBy("_d2", "_pkey")
-        top = cand.withColumn("_rnk", F.row_number().over(w)).where(F.col("_rnk") <= k).checkpoint(eager=True)
+        top = reliable_checkpoint(cand.withColumn("_rnk", F.row_number().over(w)).where(F.col("_rnk") <= k))
         everything = h > max_span
         ok = (top.groupBy("_sid").agg(F.count(F.lit(1)).alias("_m"), F.max("_d2").alias("_kd2"))
               .where((F.col("_m") >= k) & ((F.col("_kd2") <= F.lit(h * h)) | F.lit(everything))).select("_sid"))
         done.append(top.join(ok, "_sid", "left_semi"))
-        pending = pending.join(ok, "_sid", "left_anti").checkpoint(eager=True)
+        pending = reliable_checkpoint(pending.join(ok, "_sid", "left_anti"))
         if pending.limit(1).count() == 0:
             break
     else:

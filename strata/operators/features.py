@@ -28,40 +28,41 @@ def latest_per_entity(df: DataFrame, entity: str = "entity_id", period: str = "p
 
 
 class MedianScalerModel:
-    """Fitted H1 parameters: a one-row table of median, mean and sd per kept column."""
+    """Fitted H1 parameters (median, mean and sd per kept column) held as plain numbers: the
+    fit is an estimator, its tiny result is applied as literals (no re-evaluation of the
+    training plan when the model is applied)."""
 
-    def __init__(self, params: DataFrame, cols: list[str]):
+    def __init__(self, params: dict[str, tuple[float, float, float]]):
         self.params = params
-        self.cols = cols
+        self.cols = list(params)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        p = F.broadcast(self.params)
-        joined = df.crossJoin(p)
-        keep = [c for c in df.columns if c in self.cols or c not in self.params.columns]
         out = []
         for c in df.columns:
-            if c in self.cols:
-                filled = F.coalesce(_c(c).cast("double"), F.col(f"`_med_{c}`"))
-                out.append(((filled - F.col(f"`_mean_{c}`")) / F.col(f"`_sd_{c}`")).alias(c))
-            elif c in keep:
+            if c in self.params:
+                med, mean, sd = self.params[c]
+                filled = F.coalesce(_c(c).cast("double"), F.lit(med))
+                out.append(((filled - F.lit(mean)) / F.lit(sd)).alias(c))
+            else:
                 out.append(_c(c))
-        return joined.select(*out)
+        return df.select(*out)
+
+    def params_frame(self, spark) -> DataFrame:
+        return spark.createDataFrame([(c, *v) for c, v in self.params.items()],
+                                     "column string, median double, mean double, sd double")
 
 
 def fit_median_scaler(train: DataFrame, cols: list[str], median_method: str = "auto") -> MedianScalerModel:
     """H1 fit: medians of the train rows; mean and population sd of the median-filled train
     rows (sd 0 -> 1).  Columns with no value at all are dropped."""
-    med = column_medians(train.select(*[_c(c).cast("double").alias(c) for c in cols]), cols, method=median_method)
-    med_row = med.first()
+    med_row = column_medians(train.select(*[_c(c).cast("double").alias(c) for c in cols]), cols,
+                             method=median_method).first()
     kept = [c for c in cols if med_row[c] is not None]
-    med = med.select(*[F.col(f"`{c}`").alias(f"_med_{c}") for c in kept])
-    filled = train.crossJoin(F.broadcast(med)).select(
-        *[F.coalesce(_c(c).cast("double"), F.col(f"`_med_{c}`")).alias(c) for c in kept])
-    moments = filled.agg(*[e for c in kept for e in (
-        F.avg(_c(c)).alias(f"_mean_{c}"),
-        F.when(F.stddev_pop(_c(c)) == 0, F.lit(1.0)).otherwise(F.stddev_pop(_c(c))).alias(f"_sd_{c}"))])
-    params = med.crossJoin(moments)
-    return MedianScalerModel(params, kept)
+    filled = train.select(*[F.coalesce(_c(c).cast("double"), F.lit(med_row[c])).alias(c) for c in kept])
+    mom = filled.agg(*[e for c in kept for e in (
+        F.avg(_c(c)).alias(f"m_{c}"),
+        F.when(F.stddev_pop(_c(c)) == 0, F.lit(1.0)).otherwise(F.stddev_pop(_c(c))).alias(f"s_{c}"))]).first()
+    return MedianScalerModel({c: (float(med_row[c]), float(mom[f"m_{c}"]), float(mom[f"s_{c}"])) for c in kept})
 
 
 def median_impute_scale(train: DataFrame, apply: DataFrame, cols: list[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from .features import latest_per_entity
 
 
@@ -76,7 +77,7 @@ def fit_linear_1d(df: DataFrame, y: str, x: str, slope_decimals: int | None = No
 
 def _maybe_checkpoint(state: DataFrame, model, step: int, every: int) -> DataFrame:
     if model.needs_checkpoint() and step % every == 0:
-        return state.checkpoint(eager=True)
+        return reliable_checkpoint(state)
     return state
 
 

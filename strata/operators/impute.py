@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import numeric_columns
 from ..functions.stats import column_medians
+from ..session import reliable_checkpoint
 
 
 def _c(name: str):
@@ -89,7 +90,7 @@ def impute_panel(df: DataFrame, entity: str = "entity_id", period: str = "period
     cols = cols or numeric_columns(df, exclude=[period, entity])
     filled = temporal_fill(df, cols, entity, period, null_entity)
     if materialize:
-        filled = filled.checkpoint(eager=True)
+        filled = reliable_checkpoint(filled)
     med = column_medians(filled.select(*cols), cols, method=median_method)
     med = med.select(*[F.col(f"`{c}`").alias(f"_med_{i}") for i, c in enumerate(cols)])
     idx = {c: i for i, c in enumerate(cols)}

@@ -120,29 +120,58 @@ def positive_weight(df: DataFrame, y: str) -> DataFrame:
 
 def describe_panel(df: DataFrame, cols: list[str] | None = None, decimals: int = 2,
                    quantile_method: str = "auto") -> DataFrame:
-    """Count, mean, sample sd, min, quartiles (linear), max per column, rounded."""
+    """Count, mean, sample sd, min, quartiles (linear), max per column, rounded.
+
+    Values are unpivoted to (column, value) and aggregated per column in one pass, so columns
+    are summarised in parallel.  The exact quartiles of one column are gathered in its group,
+    which is safe only when the input is small (planner estimate); otherwise the quartiles
+    come from the scalable bracketing helper (K1).
+    """
+    from ..functions.stats import EXACT_BYTES_LIMIT, estimated_bytes
     cols = cols or numeric_columns(df)
-    moments = df.agg(*[e for c in cols for e in (
-        F.count(_c(c)).alias(f"{c}__count"), F.avg(_c(c)).alias(f"{c}__mean"),
-        F.stddev_samp(_c(c)).alias(f"{c}__std"), F.min(_c(c)).cast("double").alias(f"{c}__min"),
-        F.max(_c(c)).cast("double").alias(f"{c}__max"))])
-    quants = column_quantiles(df, cols, [0.25, 0.5, 0.75], method=quantile_method)
-    wide = moments.crossJoin(quants)
-    rows = ", ".join(
-        f"'{c}', CAST(`{c}__count` AS BIGINT), `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__q0.25`,"
-        f" `{c}__q0.5`, `{c}__q0.75`, `{c}__max`" for c in cols)
-    long = wide.selectExpr(f"stack({len(cols)}, {rows}) AS (`column`, `count`, mean, std, `min`, p25, p50, p75, `max`)")
-    return long.select("column", "count", *[F.round(F.col(s), decimals).alias(s)
-                                            for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+    est = estimated_bytes(df.select(*[_c(c) for c in cols]))
+    small = quantile_method == "exact" or (quantile_method == "auto" and est is not None and est <= EXACT_BYTES_LIMIT)
+    body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {body}) AS (`column`, v)")
+    v = F.col("v")
+    stats = [F.count(v).cast("long").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+             F.min(v).alias("min"), F.max(v).alias("max")]
+    if small:
+        stats.append(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+        g = long.groupBy("column").agg(*stats).select(
+            "*", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"))
+    else:
+        quants = column_quantiles(df, cols, [0.25, 0.5, 0.75], method=quantile_method)
+        qbody = ", ".join(f"'{c}', `{c}__q0.25`, `{c}__q0.5`, `{c}__q0.75`" for c in cols)
+        qlong = quants.selectExpr(f"stack({len(cols)}, {qbody}) AS (`column`, p25, p50, p75)")
+        g = long.groupBy("column").agg(*stats).join(F.broadcast(qlong), "column")
+    return g.select("column", "count", *[F.round(F.col(s), decimals).alias(s)
+                                         for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None, decimals: int | None = 6) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete), long form, mirrored."""
+    """Pearson correlation of every pair (pairwise complete), long form, mirrored.
+
+    Each row is expanded into one (pair, x, y) record per column pair on the fly and the
+    moments are aggregated per pair: a handful of aggregate functions per group keeps the
+    aggregation inside whole-stage codegen (one wide aggregate with hundreds of functions
+    falls back to interpreted evaluation), and partial aggregation shrinks the expanded
+    stream to one row per pair and task before the shuffle.
+    """
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[safe_corr(_c(a), _c(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    body = ", ".join(f"'{a}', '{b}', p{i}" for i, (a, b) in enumerate(pairs))
-    upper = wide.selectExpr(f"stack({len(pairs)}, {body}) AS (col_a, col_b, corr)")
+    recs = []
+    for a, b in pairs:
+        both = _c(a).isNotNull() & _c(b).isNotNull()
+        recs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                             F.when(both, _c(a).cast("double")).alias("xa"),
+                             F.when(both, _c(b).cast("double")).alias("xb")))
+    long = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
+    xa, xb = F.col("xa"), F.col("xb")
+    degenerate = (F.count(xa) < 2) | (F.min(xa) == F.max(xa)) | (F.min(xb) == F.max(xb))
+    corr = F.when(degenerate, F.lit(None).cast("double")).otherwise(
+        F.try_divide(F.covar_pop(xa, xb), F.nullif(F.stddev_pop(xa) * F.stddev_pop(xb), F.lit(0.0))))
+    upper = long.groupBy("col_a", "col_b").agg(corr.alias("corr"))
     mirrored = upper.where("col_a <> col_b").select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
     out = upper.unionByName(mirrored)
     return out.withColumn("corr", F.round("corr", decimals)) if decimals is not None else out

@@ -60,3 +60,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def reliable_checkpoint(df):
+    """Materialize ``df`` in the shared checkpoint folder and cut its lineage (never a local,
+    executor-bound checkpoint: lost executors must not lose the data)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
