@@ -24,6 +24,21 @@ from ..functions.stats import global_index
 from ..session import reliable_checkpoint
 
 
+def thin_duplicates(points: DataFrame, cols: list[str], key: str, keep: int) -> DataFrame:
+    """Keep at most ``keep`` copies (smallest keys) of every distinct coordinate tuple.
+
+    In (distance, key) order the copies of one tuple are contiguous and sorted by key, so
+    with ``keep = k + 1`` (one spare for the excluded seed itself) no k-NN result changes,
+    while a hot duplicate group no longer reaches the neighbour search.  Copy ranks come from
+    a global position over (coordinates, key) and a per-tuple minimum (partial aggregate), so
+    a group holding a third of the rows is still spread over many tasks.
+    """
+    pos = global_index(points.select(key, *cols), [*cols, key], index_col="_g")
+    starts = pos.groupBy(*cols).agg(F.min("_g").alias("_g0"))
+    return (pos.join(starts, cols).where(F.col("_g") - F.col("_g0") < keep)
+            .select(key, *cols))
+
+
 def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str, k: int,
                   seed_id: str = "_pos", target_per_cell: float | None = None, max_levels: int = 80) -> DataFrame:
     """Exact k nearest neighbours (Euclidean, ties by ``key``, self excluded) of every seed.
@@ -38,6 +53,7 @@ def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str
     block of level L-1, so every level starts afresh and only uncertified seeds go on.
     """
     d = len(cols)
+    points = thin_duplicates(points, cols, key, k + 1)
     st = points.agg(F.count(F.lit(1)).alias("n"),
                     *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                     *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()

@@ -129,3 +129,19 @@ def test_expanding_folds_follow_time(spark):
         tr = [r["period"] for r in f if r["fold"] == fold and r["role"] == "train"]
         te = [r["period"] for r in f if r["fold"] == fold and r["role"] == "test"]
         assert te and max(tr) < min(te)
+
+
+def test_knn_exact_with_a_hot_duplicate_group(spark):
+    from strata.operators.balance import knn_for_seeds, thin_duplicates
+    import random
+    rnd = random.Random(5)
+    pts = [(i, 10.0, 10.0) for i in range(400)]                                   # a third+ identical
+    pts += [(400 + i, float(rnd.randint(0, 40)), float(rnd.randint(0, 40))) for i in range(600)]
+    df = spark.createDataFrame(pts, "k long, a double, b double")
+    assert thin_duplicates(df, ["a", "b"], "k", 4).where("a = 10.0 AND b = 10.0").count() <= 4 + 1
+    seeds = df.where("k % 37 = 0").withColumn("_pos", F.col("k"))
+    got = {(r["_pos"], r["_rnk"]): (r["n_a"], r["n_b"]) for r in knn_for_seeds(df, seeds, ["a", "b"], "k", 3).collect()}
+    for s in [p for p in pts if p[0] % 37 == 0]:
+        ranked = sorted((p for p in pts if p[0] != s[0]), key=lambda p: ((p[1] - s[1]) ** 2 + (p[2] - s[2]) ** 2, p[0]))
+        for r in range(3):
+            assert got[(s[0], r + 1)] == (ranked[r][1], ranked[r][2])
