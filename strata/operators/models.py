@@ -199,3 +199,28 @@ def tune(df: DataFrame, label: str, features: list[str], kind: str, param_maps:
     cvm = cv.fit(data)
     from pyspark.ml import PipelineModel
     return PipelineModel(stages=[assembler(features), cvm.bestModel]), list(cvm.avgMetrics)
+
+
+def permutation_importance(df: DataFrame, model, features: list[str], label: str, key: str,
+                           kind: str = "classifier", seed: int = 42) -> DataFrame:
+    """H14 for models without exact attributions: drop in score when one feature's values are
+    permuted across rows.  The permutation pairs the i-th row in key order with the i-th row
+    in md5-draw order (two global positions, equi-join on position), so it is reproducible
+    and never gathers a column in one task."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+    from ..functions.exprs import hash_uniform
+    from ..functions.stats import global_index
+    if kind == "classifier":
+        ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
+    else:
+        ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
+    data = df.select(key, label, *features)
+    base = ev.evaluate(model.transform(data))
+    rows = global_index(data, [key], index_col="_i")
+    out = []
+    for f in features:
+        donor = global_index(data.select(key, f, hash_uniform(key, seed, f).alias("_u")), ["_u", key], index_col="_i")
+        permuted = rows.drop(f).join(donor.select("_i", f), "_i").drop("_i")
+        out.append((f, float(base - ev.evaluate(model.transform(permuted)))))
+    spark = df.sparkSession
+    return spark.createDataFrame(out, "feature string, importance double")

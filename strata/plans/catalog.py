@@ -991,3 +991,10 @@ def q_train_pipeline(spark, sf):
                          model="xgb", param_maps=[{"max_depth": 2, "n_estimators": 5}], folds=3,
                          registry_root=None)
     return res.metrics
+
+
+@register("permutation_importance", None)
+def q_permutation_importance(spark, sf):
+    from ..operators.models import permutation_importance
+    model, _, test = _boosted_model(spark, sf)
+    return permutation_importance(test, model, D_FEATS, "toxic", "doc_id", kind="classifier")
