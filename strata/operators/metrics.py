@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import prefix_sums
+from ..session import reliable_checkpoint
 
 
 def prediction_counts(df: DataFrame, col: str = "prediction") -> DataFrame:
@@ -94,6 +95,8 @@ def roc_curve(df: DataFrame, y: str = "y", score: str = "score", drop_intermedia
     n = df.agg(F.sum(F.col(y).cast("long")).alias("P"), F.sum((1 - F.col(y)).cast("long")).alias("N"))
     pts = pts.select("threshold", F.col("_gidx").alias("i"), F.col("cum_tp").alias("ctp"), F.col("cum_fp").alias("cfp"))
     if drop_intermediate:
+        # read four times below (points, previous, next, last index): written once
+        pts = reliable_checkpoint(pts)
         last = pts.agg(F.max("i").alias("last_i"))
         prev = pts.select((F.col("i") + 1).alias("i"), F.col("ctp").alias("p_tp"), F.col("cfp").alias("p_fp"))
         nxt = pts.select((F.col("i") - 1).alias("i"), F.col("ctp").alias("n_tp"), F.col("cfp").alias("n_fp"))
