@@ -224,3 +224,26 @@ def permutation_importance(df: DataFrame, model, features: list[str], label: str
         out.append((f, float(base - ev.evaluate(model.transform(permuted)))))
     spark = df.sparkSession
     return spark.createDataFrame(out, "feature string, importance double")
+
+
+def tune_expanding(df: DataFrame, label: str, features: list[str], param_maps: list[dict], folds: DataFrame,
+                   period: str = "period", kind: str = "forest", seed: int = 42):
+    """G7 with expanding time folds (G4): ``CrossValidator(foldCol)`` cannot express a
+    training set that grows with the fold, so each (param map, fold) pair is fitted on the
+    fold's past periods and scored (R^2) on its next block; the best map is refit on all rows.
+    Returns (model, [(param_map_index, mean_r2)])."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
+    build = {"forest": train_forest_regressor, "boosted": train_boosted_regressor}[kind]
+    tagged = df.join(F.broadcast(folds), period)   # fold table: one row per (fold, period)
+    fold_ids = sorted(r[0] for r in folds.select("fold").distinct().collect())
+    scores = []
+    for i, pm in enumerate(param_maps):
+        vals = []
+        for f in fold_ids:
+            part = tagged.where(F.col("fold") == f)
+            model = build(part.where(F.col("role") == "train"), label, features, pm, seed=seed)
+            vals.append(ev.evaluate(model.transform(part.where(F.col("role") == "test"))))
+        scores.append((i, sum(vals) / len(vals)))
+    best = max(scores, key=lambda t: t[1])[0]
+    return build(df, label, features, param_maps[best], seed=seed), scores

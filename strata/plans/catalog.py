@@ -998,3 +998,15 @@ def q_permutation_importance(spark, sf):
     from ..operators.models import permutation_importance
     model, _, test = _boosted_model(spark, sf)
     return permutation_importance(test, model, D_FEATS, "toxic", "doc_id", kind="classifier")
+
+
+@register("tune_expanding", None)
+def q_tune_expanding(spark, sf):
+    from ..operators.models import tune_expanding
+    from ..operators.split import expanding_folds, grid_params
+    fdf = fx.forecast_base(spark, sf).where(F.col("spend_lag1").isNotNull())
+    folds = expanding_folds(fdf, "period", 3)
+    maps = grid_params({"n_estimators": [5], "maxDepth": [3, 5]})
+    _, scores = tune_expanding(fdf, "spend", F_FEATS, maps, folds, kind="forest")
+    return spark.createDataFrame([(i, str(maps[i]), float(s)) for i, s in scores],
+                                 "param_map int, params string, mean_r2 double")
