@@ -181,7 +181,9 @@ def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str] = ()
         *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in value_cols])
     w = Window.partitionBy("_bucket").orderBy(*ordered)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = tagged.join(F.broadcast(offsets), "_bucket")
+    # range partitioning on the bucket id puts about one bucket per task and already satisfies
+    # the window's clustering (hash partitioning of bucket ids would collide)
+    out = tagged.repartitionByRange(n, "_bucket").join(F.broadcast(offsets), "_bucket")
     cols = [c for c in df.columns]
     sel = [F.col(c) for c in cols]
     sel.append((F.col("_off_n") + F.row_number().over(w) - 1).alias(index_col))
