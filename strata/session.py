@@ -67,3 +67,21 @@ def reliable_checkpoint(df):
     executor-bound checkpoint: lost executors must not lose the data)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 * 1024 * 1024,
+                     max_split_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a cluster run: enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the input (AQE coalesces the small ones and splits skewed
+    join partitions), at least two waves of tasks, and scan splits bounded so a task's input
+    fits executor memory.  Apply with ``get_session(extra=recommended_conf(...))``."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    split = max(32 * 1024 * 1024, min(max_split_bytes, input_bytes // max(1, 2 * total_cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }

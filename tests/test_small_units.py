@@ -89,3 +89,12 @@ def test_score_records_unknown_model(spark):
     from strata.operators.models import score_records
     with pytest.raises(KeyError):
         score_records(spark.range(1), {}, "xgb", ["a"])
+
+
+def test_recommended_conf_scales_with_input():
+    from strata.session import recommended_conf
+    big = recommended_conf(100 * 1024 ** 4, 8000)
+    small = recommended_conf(10 * 1024 ** 2, 8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 819200
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
