@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import fround
 from ..session import reliable_checkpoint
 from .features import latest_per_entity
 
@@ -68,9 +69,9 @@ def fit_linear_1d(df: DataFrame, y: str, x: str, slope_decimals: int | None = No
     with rounded coefficients so that other engines reproduce every prediction bit for bit."""
     slope, icpt = F.regr_slope(y, x), F.regr_intercept(y, x)
     if slope_decimals is not None:
-        slope = F.round(slope, slope_decimals)
+        slope = fround(slope, slope_decimals)
     if intercept_decimals is not None:
-        icpt = F.round(icpt, intercept_decimals)
+        icpt = fround(icpt, intercept_decimals)
     row = df.agg(slope.alias("b"), icpt.alias("a")).first()
     return LinearModel(row["a"], {x: row["b"]})
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import numeric_columns, safe_corr
+from ..functions.exprs import fround, numeric_columns, safe_corr
 from ..functions.stats import column_quantiles
 
 log = logging.getLogger(__name__)
@@ -54,7 +54,7 @@ def missing_by_column(df: DataFrame) -> DataFrame:
     long = _unpivot_row(wide, df.columns, "missing_count", "BIGINT", carry=["__rows"])
     return (long.where(F.col("missing_count") > 0)
             .select("column", "missing_count",
-                    F.round(F.col("missing_count") / F.col("__rows") * 100, 2).alias("missing_pct")))
+                    fround(F.col("missing_count") / F.col("__rows") * 100, 2).alias("missing_pct")))
 
 
 def missing_cells(df: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def describe_panel(df: DataFrame, cols: list[str] | None = None, decimals: int =
         qbody = ", ".join(f"'{c}', `{c}__q0.25`, `{c}__q0.5`, `{c}__q0.75`" for c in cols)
         qlong = quants.selectExpr(f"stack({len(cols)}, {qbody}) AS (`column`, p25, p50, p75)")
         g = long.groupBy("column").agg(*stats).join(F.broadcast(qlong), "column")
-    return g.select("column", "count", *[F.round(F.col(s), decimals).alias(s)
+    return g.select("column", "count", *[fround(F.col(s), decimals).alias(s)
                                          for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
@@ -174,7 +174,7 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None, decimals: i
     upper = long.groupBy("col_a", "col_b").agg(corr.alias("corr"))
     mirrored = upper.where("col_a <> col_b").select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
     out = upper.unionByName(mirrored)
-    return out.withColumn("corr", F.round("corr", decimals)) if decimals is not None else out
+    return out.withColumn("corr", fround("corr", decimals)) if decimals is not None else out
 
 
 def nullity_correlation(df: DataFrame, cols: list[str] | None = None, decimals: int | None = 6) -> DataFrame:
@@ -204,7 +204,7 @@ def nullity_correlation(df: DataFrame, cols: list[str] | None = None, decimals:
     upper = wide.select(F.explode(F.array(*exprs)).alias("r")).select("r.*")
     mirrored = upper.where("col_a <> col_b").select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
     out = upper.unionByName(mirrored)
-    return out.withColumn("corr", F.round("corr", decimals)) if decimals is not None else out
+    return out.withColumn("corr", fround("corr", decimals)) if decimals is not None else out
 
 
 def cleaning_report(before: DataFrame, after: DataFrame, entity: str = "entity_id",
@@ -223,7 +223,7 @@ def cleaning_report(before: DataFrame, after: DataFrame, entity: str = "entity_i
     years = ",".join(str(y) for y in (removed_years or [])) or "none"
     for tag in ("before", "after"):
         cells = F.col(f"rows_{tag}") * F.col(f"cols_{tag}")
-        rep = rep.withColumn(f"null_pct_{tag}", F.round(F.when(cells > 0, F.col(f"null_cells_{tag}") / cells * 100)
+        rep = rep.withColumn(f"null_pct_{tag}", fround(F.when(cells > 0, F.col(f"null_cells_{tag}") / cells * 100)
                                                        .otherwise(F.lit(0.0)), 2))
     return rep.withColumn("entities_removed", F.col("entities_before") - F.col("entities_after")) \
               .withColumn("removed_years", F.lit(years))
@@ -242,7 +242,7 @@ def nullity_distance(df: DataFrame, cols: list[str] | None = None, decimals: int
     wide = df.agg(*[F.count_if(_c(a).isNull() != _c(b).isNull()).alias(f"d{i}") for i, (a, b) in enumerate(pairs)])
     body = ", ".join(f"'{a}', '{b}', SQRT(CAST(d{i} AS DOUBLE))" for i, (a, b) in enumerate(pairs))
     out = wide.selectExpr(f"stack({len(pairs)}, {body}) AS (col_a, col_b, distance)")
-    return out.withColumn("distance", F.round("distance", decimals)) if decimals is not None else out
+    return out.withColumn("distance", fround("distance", decimals)) if decimals is not None else out
 
 
 def nullity_clusters(distances: DataFrame) -> list[tuple[str, str, float, int]]:
@@ -328,7 +328,7 @@ def integrity_report(df: DataFrame) -> DataFrame:
     long = _unpivot_row(wide, cols, "missing_count", "BIGINT", carry=["__dups", "__rows"])
     return (long.where(F.col("missing_count") > 0)
             .select(F.col("__dups").alias("duplicate_rows"), "column", "missing_count",
-                    F.round(F.col("missing_count") / F.col("__rows") * 100, 2).alias("missing_pct")))
+                    fround(F.col("missing_count") / F.col("__rows") * 100, 2).alias("missing_pct")))
 
 
 def assert_complete(df: DataFrame) -> None:

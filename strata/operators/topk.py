@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import fround
 from .profile import missing_by_entity
 
 
@@ -20,7 +21,7 @@ def top_missing_entities(df: DataFrame, col: str, n: int = 15, entity: str = "en
     """
     return (missing_by_entity(df, col, entity)
             .orderBy(F.col("missing_pct").desc(), F.col(entity).asc_nulls_last()).limit(n)
-            .select(entity, F.round("missing_pct", decimals).alias("missing_pct")))
+            .select(entity, fround("missing_pct", decimals).alias("missing_pct")))
 
 
 def top_importances(importances: DataFrame, n: int = 15) -> DataFrame:

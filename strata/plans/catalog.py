@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import fround, rewrite_round_sql
 from ..operators import clean, joins, profile, impute, features
 from ..session import scratch_path
 from ..sources import fixtures as fx
@@ -29,7 +30,7 @@ P_MEASURES = ["units", "spend", "disc_pct", "thin"]
 
 def register(name: str, sql: str | None):
     def deco(fn: Builder) -> Builder:
-        REGISTRY[name] = (fn, sql)
+        REGISTRY[name] = (fn, rewrite_round_sql(sql) if sql is not None else None)
         return fn
     return deco
 
@@ -227,13 +228,13 @@ def q_entity_directory(spark, sf):
     "SELECT entity_id, round(avg(CAST(thin IS NULL AS DOUBLE)) * 100, 6) AS missing_pct FROM p GROUP BY entity_id",
     "p"))
 def q_missing_by_entity(spark, sf):
-    return profile.missing_by_entity(fx.panel(spark, sf), "thin").withColumn("missing_pct", F.round("missing_pct", 6))
+    return profile.missing_by_entity(fx.panel(spark, sf), "thin").withColumn("missing_pct", fround("missing_pct", 6))
 
 
 @register("missing_by_period", W(
     "SELECT period, round(avg(CAST(thin IS NULL AS DOUBLE)) * 100, 6) AS missing_pct FROM p GROUP BY period", "p"))
 def q_missing_by_period(spark, sf):
-    return profile.missing_by_period(fx.panel(spark, sf), "thin").withColumn("missing_pct", F.round("missing_pct", 6))
+    return profile.missing_by_period(fx.panel(spark, sf), "thin").withColumn("missing_pct", fround("missing_pct", 6))
 
 
 @register("missing_by_column", W(
@@ -289,7 +290,7 @@ def q_null_target_count(spark, sf):
 @register("class_distribution", W(
     "SELECT toxic, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM d GROUP BY toxic", "d"))
 def q_class_distribution(spark, sf):
-    return profile.class_distribution(fx.doc_classes(spark, sf), "toxic").withColumn("share", F.round("share", 6))
+    return profile.class_distribution(fx.doc_classes(spark, sf), "toxic").withColumn("share", fround("share", 6))
 
 
 @register("positive_weight", W(
@@ -297,7 +298,7 @@ def q_class_distribution(spark, sf):
     "round(CASE WHEN count_if(toxic = 1) > 0 THEN count_if(toxic = 0) / count_if(toxic = 1) ELSE 1.0 END, 6) "
     "AS pos_weight FROM d", "d"))
 def q_positive_weight(spark, sf):
-    return profile.positive_weight(fx.doc_classes(spark, sf), "toxic").withColumn("pos_weight", F.round("pos_weight", 6))
+    return profile.positive_weight(fx.doc_classes(spark, sf), "toxic").withColumn("pos_weight", fround("pos_weight", 6))
 
 
 @register("describe_panel", W(union_per_column(
@@ -497,7 +498,7 @@ def _m_with(body: str) -> str:
 def _report(spark, sf):
     from ..operators.metrics import classification_report
     rep = classification_report(fx.scored(spark, sf))
-    return rep.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")], "support")
+    return rep.select("label", *[fround(c, 6).alias(c) for c in ("precision", "recall", "f1_score")], "support")
 
 
 @register("classification_report", _m_with("SELECT * FROM rep6"))
@@ -538,14 +539,14 @@ FROM kept, tot"""))
 def q_roc_curve(spark, sf):
     from ..operators.metrics import roc_curve
     r = roc_curve(fx.scored(spark, sf))
-    return r.select("idx", "threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
+    return r.select("idx", "threshold", fround("fpr", 6).alias("fpr"), fround("tpr", 6).alias("tpr"))
 
 
 @register("roc_auc", _roc_with(
     "SELECT round(sum(fp * (ctp - CAST(tp AS DOUBLE) / 2.0)) / CAST(sum(tp) * sum(fp) AS DOUBLE), 6) AS auc FROM c"))
 def q_roc_auc(spark, sf):
     from ..operators.metrics import roc_auc
-    return roc_auc(fx.scored(spark, sf)).select(F.round("auc", 6).alias("auc"))
+    return roc_auc(fx.scored(spark, sf)).select(fround("auc", 6).alias("auc"))
 
 
 # ---------------------------------------------------------------- G: splits and folds
@@ -615,7 +616,7 @@ def _h1_sql():
 def q_median_impute_scale(spark, sf):
     p = fx.panel(spark, sf)
     out = features.median_impute_scale(p.where(F.col("period") < 1999), p, P_MEASURES)
-    return out.select(*[F.round(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
+    return out.select(*[fround(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
 
 
 @register("standard_scale", W(
@@ -625,7 +626,7 @@ def q_median_impute_scale(spark, sf):
         for c in P_MEASURES) + " FROM p) s", "p"))
 def q_standard_scale(spark, sf):
     out = features.standard_scale(fx.panel(spark, sf), P_MEASURES)
-    return out.select(*[F.round(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
+    return out.select(*[fround(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
 
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -639,10 +640,14 @@ def q_one_hot(spark, sf):
 
 # ---------------------------------------------------------------- I: forecasting (linear model)
 
-SLOPE_DP, ICPT_DP = 10, 4
+# Model coefficients are rounded to about ten significant digits so that both engines apply
+# the identical model (their regression sums agree only to ~1e-15 relative):
+# spend on spend_lag1 slope ~0.3 -> 10 decimals; intercept and the spend-per-unit slope
+# ~1e5 -> 4 decimals.
+SLOPE_DP, ICPT_DP, UNIT_SLOPE_DP = 10, 4, 4
 LIN_SQL = (f", lin AS (SELECT round(regr_slope(spend, spend_lag1), {SLOPE_DP}) AS b, "
            f"round(regr_intercept(spend, spend_lag1), {ICPT_DP}) AS a, "
-           f"round(regr_slope(spend, units), {SLOPE_DP}) AS g FROM f)\n")
+           f"round(regr_slope(spend, units), {UNIT_SLOPE_DP}) AS g FROM f)\n")
 
 
 def _f_with(body: str) -> str:
@@ -652,9 +657,9 @@ def _f_with(body: str) -> str:
 
 def _lin_model(fdf):
     from ..operators.forecast import LinearModel
-    row = fdf.agg(F.round(F.regr_slope("spend", "spend_lag1"), SLOPE_DP).alias("b"),
-                  F.round(F.regr_intercept("spend", "spend_lag1"), ICPT_DP).alias("a"),
-                  F.round(F.regr_slope("spend", "units"), SLOPE_DP).alias("g")).first()
+    row = fdf.agg(fround(F.regr_slope("spend", "spend_lag1"), SLOPE_DP).alias("b"),
+                  fround(F.regr_intercept("spend", "spend_lag1"), ICPT_DP).alias("a"),
+                  fround(F.regr_slope("spend", "units"), UNIT_SLOPE_DP).alias("g")).first()
     return row, LinearModel(row["a"], {"spend_lag1": row["b"]})
 
 
@@ -675,7 +680,7 @@ def q_regression_metrics(spark, sf):
     _, model = _lin_model(fdf)
     scored = model.predict(fdf.where(F.col("spend_lag1").isNotNull()), "prediction")
     m = regression_metrics(scored, "spend", "prediction")
-    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+    return m.select(*[fround(c, 6).alias(c) for c in m.columns])
 
 
 FC_SQL = """, last AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY period DESC) AS rn FROM f) WHERE rn = 1),
@@ -702,14 +707,14 @@ def _forecast(spark, sf, fdf=None):
 @register("forecast_recursive", _f_with(FC_SQL + "SELECT entity_id, period, CAST(step AS INTEGER) AS step, "
                                         "round(prediction, 4) AS prediction FROM fc"))
 def q_forecast_recursive(spark, sf):
-    return _forecast(spark, sf).withColumn("prediction", F.round("prediction", 4))
+    return _forecast(spark, sf).withColumn("prediction", fround("prediction", 4))
 
 
 @register("latest_forecast", _f_with(FC_SQL + "SELECT entity_id, max(period) AS period, "
                                      "round(arg_max(prediction, period), 4) AS prediction FROM fc GROUP BY entity_id"))
 def q_latest_forecast(spark, sf):
     from ..operators.topk import latest_forecast
-    return latest_forecast(_forecast(spark, sf)).withColumn("prediction", F.round("prediction", 4))
+    return latest_forecast(_forecast(spark, sf)).withColumn("prediction", fround("prediction", 4))
 
 
 @register("history_with_forecast", _f_with(FC_SQL + """SELECT entity_id, period, spend AS actual, CAST(NULL AS DOUBLE) AS fitted, CAST(NULL AS DOUBLE) AS forecast FROM f
@@ -719,8 +724,8 @@ def q_history_with_forecast(spark, sf):
     from ..operators.forecast import history_with_forecast
     fdf = fx.forecast_base(spark, sf)
     _, model = _lin_model(fdf)
-    fitted = model.predict(fdf, "prediction").withColumn("prediction", F.round("prediction", 4))
-    fut = _forecast(spark, sf, fdf).withColumn("prediction", F.round("prediction", 4))
+    fitted = model.predict(fdf, "prediction").withColumn("prediction", fround("prediction", 4))
+    fut = _forecast(spark, sf, fdf).withColumn("prediction", fround("prediction", 4))
     return history_with_forecast(fdf, fitted, fut, "spend")
 
 
@@ -744,7 +749,7 @@ def q_stress_scenarios(spark, sf):
     out = stress_scenarios(fdf, model, {"base": None, "stress": -2.0}, 3, target="spend", driver="units",
                            carried_lags={"units": "units_lag1", "disc_pct": "disc_pct_lag1"},
                            target_lag="spend_lag1")
-    return out.withColumn("prediction", F.round("prediction", 4))
+    return out.withColumn("prediction", fround("prediction", 4))
 
 
 @register("attributions_linear", _f_with("""SELECT entity_id, period, 'spend_lag1' AS feature,
@@ -759,7 +764,7 @@ def q_attributions_linear(spark, sf):
     row, _ = _lin_model(fx.forecast_base(spark, sf))
     model = LinearModel(row["a"], {"spend_lag1": row["b"], "units": row["g"]})
     out = linear_attributions(fdf, model, ["entity_id", "period"])
-    return out.withColumn("contribution", F.round("contribution", 4))
+    return out.withColumn("contribution", fround("contribution", 4))
 
 
 # ---------------------------------------------------------------- H: balancing
@@ -796,7 +801,7 @@ def _smote(spark, sf):
 @register("smote", _smote_sql())
 def q_smote(spark, sf):
     out = _smote(spark, sf)
-    return out.select("sample_id", *[F.round(c, 6).alias(c) for c in SMOTE_COLS], "toxic", "synthetic")
+    return out.select("sample_id", *[fround(c, 6).alias(c) for c in SMOTE_COLS], "toxic", "synthetic")
 
 
 @register("balance_counts", W(
