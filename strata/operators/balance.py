@@ -8,7 +8,7 @@ Neighbours are exact and only searched for the drawn seeds, without enumerating
 rows are bucketed into a grid of cubic cells; each pending seed is joined (equi-join on cell
 ids) with the rows of the 3^d cells around its own cell and is *certified* once its k-th
 distance is at most the cell width (every row outside the block is farther).  Uncertified
-seeds retry on a grid with twice the cell width, so rounds grow with log(span / cell).
+seeds retry on a grid with four times the cell width, so rounds grow with log4(span / cell).
 Ties are broken by key.
 """
 from __future__ import annotations
@@ -33,6 +33,9 @@ def thin_duplicates(points: DataFrame, cols: list[str], key: str, keep: int) ->
     a global position over (coordinates, key) and a per-tuple minimum (partial aggregate), so
     a group holding a third of the rows is still spread over many tasks.
     """
+    heavy = points.groupBy(*cols).count().where(F.col("count") > keep).limit(1).count()
+    if heavy == 0:  # no tuple has spare copies (one partial aggregate decides)
+        return points.select(key, *cols)
     pos = global_index(points.select(key, *cols), [*cols, key], index_col="_g")
     starts = pos.groupBy(*cols).agg(F.min("_g").alias("_g0"))
     return (pos.join(starts, cols).where(F.col("_g") - F.col("_g0") < keep)
@@ -46,7 +49,7 @@ def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str
     ``points``: (key, *cols); ``seeds``: (seed_id, key, *cols).  Returns (seed_id, _rnk 1..k,
     n_<col> for each col).
 
-    Level L uses cubic cells of width h * 2^L.  A pending seed is joined (equi-join on cell
+    Level L uses cubic cells of width h * 4^L.  A pending seed is joined (equi-join on cell
     ids) with the rows of the 3^d cells around its own cell; its k best candidates are
     certified when the k-th distance is at most the cell width (any row outside the block
     is farther) or when one cell spans the whole data.  The block of level L contains the
@@ -72,7 +75,7 @@ def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str
                            *[F.col(c).alias(f"s_{c}") for c in cols])
     done = []
     for level in range(max_levels):
-        h = h0 * (2.0 ** level)
+        h = h0 * (4.0 ** level)
         pts = pts0.select("*", *[F.floor((F.col(f"p_{c}") - F.lit(lo[i])) / F.lit(h)).cast("long").alias(f"c{i}")
                                  for i, c in enumerate(cols)])
         probe = pending.select("*", F.explode(block).alias("_o")).select(
