@@ -98,3 +98,10 @@ def test_recommended_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 819200
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
+
+
+def test_period_bound_is_enforced(spark, monkeypatch):
+    from strata.sources import fixtures as fx
+    monkeypatch.setattr(fx, "MAX_PERIODS", 2)
+    with pytest.raises(Exception, match="distinct periods"):
+        fx.panel(spark, "/root/testdata/sf0.001").count()
