@@ -145,3 +145,19 @@ def test_knn_exact_with_a_hot_duplicate_group(spark):
         ranked = sorted((p for p in pts if p[0] != s[0]), key=lambda p: ((p[1] - s[1]) ** 2 + (p[2] - s[2]) ** 2, p[0]))
         for r in range(3):
             assert got[(s[0], r + 1)] == (ranked[r][1], ranked[r][2])
+
+
+def test_stream_two_batches_store_each_key_once(spark, tmp_shared):
+    from strata.streaming.scoring import stream_score
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src = f"{tmp_shared}/incoming"
+    # two arriving files: even event ids first, odd ones second (every user appears in both)
+    ev.where("event_id % 2 = 0").coalesce(1).write.parquet(f"{src}/part=a")
+    ev.where("event_id % 2 = 1").coalesce(1).write.parquet(f"{src}/part=b")
+    rule = lambda df: df.select("user_id", "event_id", F.lit(1.0).alias("prediction"))
+    out = stream_score(spark, src, ev.schema, rule, f"{tmp_shared}/store", f"{tmp_shared}/ckpt",
+                       watermark="365 days", max_files_per_trigger=1)
+    import os
+    offsets = os.listdir(f"{tmp_shared}/ckpt/offsets".replace("file:", ""))
+    assert sorted(o for o in offsets if o.isdigit()) == ["0", "1"]   # two micro-batches ran
+    assert out.count() == out.select("user_id").distinct().count() == ev.select("user_id").distinct().count()
