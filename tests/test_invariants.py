@@ -159,5 +159,5 @@ def test_stream_two_batches_store_each_key_once(spark, tmp_shared):
                        watermark="365 days", max_files_per_trigger=1)
     import os
     offsets = os.listdir(f"{tmp_shared}/ckpt/offsets".replace("file:", ""))
-    assert sorted(o for o in offsets if o.isdigit()) == ["0", "1"]   # two micro-batches ran
+    assert len([o for o in offsets if o.isdigit()]) >= 2   # one micro-batch per file (+ a no-data batch)
     assert out.count() == out.select("user_id").distinct().count() == ev.select("user_id").distinct().count()
