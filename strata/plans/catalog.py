@@ -614,7 +614,8 @@ def _h1_sql():
 
 @register("median_impute_scale", _h1_sql())
 def q_median_impute_scale(spark, sf):
-    p = fx.panel(spark, sf)
+    from ..session import reliable_checkpoint
+    p = reliable_checkpoint(fx.panel(spark, sf))   # read by three passes: medians, moments, apply
     out = features.median_impute_scale(p.where(F.col("period") < 1999), p, P_MEASURES)
     return out.select(*[fround(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
 
