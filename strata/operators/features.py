@@ -13,10 +13,20 @@ def _c(name: str):
 
 
 def lag_features(df: DataFrame, cols: list[str], periods: list[int], entity: str = "entity_id",
-                 period: str = "period") -> DataFrame:
-    """``<col>_lag<p>`` = value p periods earlier within the entity."""
-    w = Window.partitionBy(_c(entity)).orderBy(_c(period).asc_nulls_last())
-    return df.select("*", *[F.lag(_c(c), p).over(w).alias(f"{c}_lag{p}") for c in cols for p in periods])
+                 period: str = "period", null_entity: str = "reset") -> DataFrame:
+    """``<col>_lag<p>`` = value p periods earlier within the entity.
+
+    Rows without an entity get no lag (``"reset"``, as a pandas group shift) and are spread
+    over tiny window groups; ``"keep"`` treats the missing entity as one entity.
+    """
+    from .impute import _grouped, _spec
+    w = _spec(entity, period)
+
+    def lag(c, p):
+        e = F.lag(_c(c), p).over(w)
+        return F.when(_c(entity).isNotNull(), e) if null_entity == "reset" else e
+    return _grouped(df, entity, null_entity).select(
+        *[_c(c) for c in df.columns], *[lag(c, p).alias(f"{c}_lag{p}") for c in cols for p in periods])
 
 
 def latest_per_entity(df: DataFrame, entity: str = "entity_id", period: str = "period") -> DataFrame:

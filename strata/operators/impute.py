@@ -18,8 +18,21 @@ def _c(name: str):
     return F.col(f"`{name}`")
 
 
+def _grouped(df: DataFrame, entity: str, null_entity: str) -> DataFrame:
+    """Add the window group column ``_grp``.
+
+    With ``null_entity="reset"`` the rows without an entity get nothing from the window, so
+    they must not form one (possibly huge) partition either: ``_grp`` is a hash of the row for
+    them (null otherwise), which spreads them into tiny groups that never meet a real
+    entity's rows.  Computed once, so every window of the pass shares one partitioning.
+    """
+    if null_entity == "reset":
+        return df.withColumn("_grp", F.when(_c(entity).isNull(), F.xxhash64(*[_c(c) for c in df.columns])))
+    return df.withColumn("_grp", F.lit(None).cast("long"))
+
+
 def _spec(entity: str, period: str):
-    return Window.partitionBy(_c(entity)).orderBy(_c(period).asc_nulls_last())
+    return Window.partitionBy(_c(entity), F.col("_grp")).orderBy(_c(period).asc_nulls_last())
 
 
 def _reset_null_entity(expr, entity: str, null_entity: str):
@@ -48,7 +61,7 @@ def _interp_exprs(cols, entity, period, rn="_rn"):
 def interpolate_linear(df: DataFrame, cols: list[str], entity: str = "entity_id", period: str = "period",
                        null_entity: str = "reset") -> DataFrame:
     """Inner gaps linear by position, edges by the nearest known value; all-null groups stay null."""
-    ranked = df.withColumn("_rn", F.row_number().over(_spec(entity, period)))
+    ranked = _grouped(df, entity, null_entity).withColumn("_rn", F.row_number().over(_spec(entity, period)))
     ex = _interp_exprs(cols, entity, period)
     return ranked.select(*[(_reset_null_entity(ex[c], entity, null_entity).alias(c) if c in ex else _c(c))
                            for c in df.columns])
@@ -58,7 +71,7 @@ def forward_fill(df: DataFrame, cols: list[str], entity: str = "entity_id", peri
                  null_entity: str = "reset") -> DataFrame:
     """Last known value within the entity."""
     back = _spec(entity, period).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.select(*[(_reset_null_entity(F.last(_c(c), True).over(back), entity, null_entity).alias(c)
+    return _grouped(df, entity, null_entity).select(*[(_reset_null_entity(F.last(_c(c), True).over(back), entity, null_entity).alias(c)
                         if c in cols else _c(c)) for c in df.columns])
 
 
@@ -66,7 +79,7 @@ def backward_fill(df: DataFrame, cols: list[str], entity: str = "entity_id", per
                   null_entity: str = "reset") -> DataFrame:
     """Next known value within the entity."""
     ahead = _spec(entity, period).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return df.select(*[(_reset_null_entity(F.first(_c(c), True).over(ahead), entity, null_entity).alias(c)
+    return _grouped(df, entity, null_entity).select(*[(_reset_null_entity(F.first(_c(c), True).over(ahead), entity, null_entity).alias(c)
                         if c in cols else _c(c)) for c in df.columns])
 
 

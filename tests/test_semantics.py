@@ -123,3 +123,17 @@ def test_quantize_clamps(spark):
     from strata.functions.exprs import quantize
     df = spark.createDataFrame([(-0.5,), (0.0,), (0.5,), (1.0,), (None,)], "s double")
     assert [r[0] for r in df.select(quantize("s")).collect()] == [0, 0, 4, 8, None]
+
+
+def test_null_entities_do_not_share_a_window_group(spark):
+    # a third of the rows without an entity: they get no fill and no lag, and the window
+    # groups them by row hash instead of one big null group
+    rows_ = [(None, p, float(p)) for p in range(30)] + [("a", p, None if p % 2 else float(p)) for p in range(60)]
+    df = spark.createDataFrame(rows_, PANEL_SCHEMA)
+    out = impute.interpolate_linear(df, ["x"])
+    assert out.where("entity_id IS NULL AND x IS NOT NULL").count() == 0
+    assert out.where("entity_id = 'a' AND x IS NULL").count() == 0
+    lagged = features.lag_features(df, ["x"], [1])
+    assert lagged.where("entity_id IS NULL AND x_lag1 IS NOT NULL").count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan
