@@ -16,10 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _stored_keys(spark: SparkSession, sink_path: str, key: str) -> DataFrame | None:
+    if not _path_exists(spark, sink_path):
+        return None
     try:
         return spark.read.parquet(sink_path).select(key)
-    except AnalysisException:
+    except AnalysisException:  # folder without data files yet
         return None
 
 
