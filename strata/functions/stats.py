@@ -196,12 +196,3 @@ def global_index(df: DataFrame, order_cols: list[str], descending: bool = False,
                  index_col: str = "_gidx") -> DataFrame:
     """0-based global row position in the order of ``order_cols`` (K2 without values)."""
     return prefix_sums(df, order_cols, [], descending=descending, index_col=index_col)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only for a side whose row count is proven small (checked by an action)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def as_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
