@@ -105,3 +105,18 @@ def test_period_bound_is_enforced(spark, monkeypatch):
     monkeypatch.setattr(fx, "MAX_PERIODS", 2)
     with pytest.raises(Exception, match="distinct periods"):
         fx.panel(spark, "/root/testdata/sf0.001").count()
+
+
+def test_rounding_is_identical_in_spark_and_sql(spark):
+    import duckdb
+    from strata.functions.exprs import fround, fround_sql, rewrite_round_sql
+    vals = [470186.02325, 0.145, 123.455, -2.675, 1.005, 2.5, -0.5, 1e17, float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for d in (2, 4, 6):
+        ours = [r[0] for r in df.select(fround("x", d)).collect()]
+        con = duckdb.connect()
+        sql = ", ".join(f"({'NULL' if v is None else repr(v) if v != float('inf') else chr(39) + 'inf' + chr(39)}::DOUBLE)"
+                        for v in vals)
+        theirs = [r[0] for r in con.execute(f"SELECT {fround_sql('x', d)} FROM (VALUES {sql}) t(x)").fetchall()]
+        assert ours == theirs
+    assert rewrite_round_sql("SELECT round(a, 0), 'round(b, 2)' AS s") == "SELECT round(a, 0), 'round(b, 2)' AS s"
