@@ -18,9 +18,13 @@ from ..functions.exprs import hash_uniform
 from ..functions.stats import global_index
 
 
-def _rank_in_class(df: DataFrame, y: str, key: str, seed: int) -> DataFrame:
+def _rank_in_class(df: DataFrame, y: str, key: str, seed: int, min_rows: int = 0) -> DataFrame:
     drawn = df.withColumn("_u", hash_uniform(key, seed))
     counts = drawn.groupBy(y).agg(F.count(F.lit(1)).alias("_n_class"))
+    if min_rows:
+        # checked inside the plan (no extra job): fails the query when a class is too small
+        counts = counts.where(F.assert_true(F.col("_n_class") >= min_rows,
+                                            f"a class has fewer than {min_rows} rows").isNull())
     # class offsets from the per-class counts (one row per class): smaller labels come first
     before = Window.orderBy(F.col(y).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(y, "_n_class", F.coalesce(F.sum("_n_class").over(before), F.lit(0)).alias("_off"))
@@ -35,14 +39,11 @@ def stratified_split(df: DataFrame, y: str, key: str, test: float = 0.2, seed: i
     """G1: per class, the round(test x n_class) rows with the smallest draw go to ``test``.
 
     ``mode="approx"`` keeps only the hash threshold (draw < test): no exact counts, no extra
-    pass.  A class with fewer than two rows is an error (as in scikit-learn).
+    pass.  A class with fewer than two rows fails the query (as scikit-learn refuses it).
     """
     if mode == "approx":
         return df.withColumn(split_col, F.when(hash_uniform(key, seed) < F.lit(test), "test").otherwise("train"))
-    small = df.groupBy(y).count().where(F.col("count") < 2).limit(1).collect()
-    if small:
-        raise ValueError(f"class {small[0][0]!r} has fewer than 2 rows")
-    ranked = _rank_in_class(df, y, key, seed)
+    ranked = _rank_in_class(df, y, key, seed, min_rows=2)
     cut = F.round(F.lit(float(test)) * F.col("_n_class"))
     return ranked.withColumn(split_col, F.when(F.col("_rank") < cut, "test").otherwise("train")) \
                  .drop("_u", "_rank", "_n_class")

@@ -120,3 +120,10 @@ def test_rounding_is_identical_in_spark_and_sql(spark):
         theirs = [r[0] for r in con.execute(f"SELECT {fround_sql('x', d)} FROM (VALUES {sql}) t(x)").fetchall()]
         assert ours == theirs
     assert rewrite_round_sql("SELECT round(a, 0), 'round(b, 2)' AS s") == "SELECT round(a, 0), 'round(b, 2)' AS s"
+
+
+def test_stratified_split_rejects_a_one_row_class(spark):
+    from strata.operators.split import stratified_split
+    df = spark.createDataFrame([(i, 0) for i in range(5)] + [(9, 1)], "k long, y int")
+    with pytest.raises(Exception, match="fewer than 2 rows"):
+        stratified_split(df, "y", "k").collect()
