@@ -5,6 +5,7 @@ import os
 import tempfile
 import zipfile
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -42,6 +43,19 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary or string array, and where each value begins (one more at the end).  No copy."""
+    if column.null_count:
+        raise ValueError("nulls have no bytes")
+    if pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type):
+        kind = np.int64
+    else:
+        kind = np.int32
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at
+
+
 _shipped: set[str] = set()
 
 

@@ -64,10 +64,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count(F.lit(1)).alias("group_size"),
         F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"),
                        F.col("doc_id").alias("c"), F.col("_row").alias("d"))).alias("_best"))
-    return facts.join(best, ["n_blocks", "name"]).select(
-        "_row", "doc_id", F.col("_best.c").alias("keep_id"), "group_size",
-        (F.col("_row") == F.col("_best.d")).alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"),
-        "n_blocks", "name")
+    # Only texts with copies are looked up; from a table, so that both sides are shuffled and a large group is split.
+    shared = written(best.where("group_size > 1"), "groups")
+    return facts.join(shared, ["n_blocks", "name"], "left").select(
+        "_row", "doc_id", F.when(F.col("_best").isNull(), F.col("doc_id")).otherwise(F.col("_best.c")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        F.coalesce(F.col("_row") == F.col("_best.d"), F.lit(True)).alias("kept"),
+        F.lower(F.hex("_sha")).alias("text_sha256"), "n_blocks", "name")
 
 
 def op1_exact_dedup(spark, sf_dir):

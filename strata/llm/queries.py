@@ -1,7 +1,7 @@
 """Registered queries of the numbered operators, with their SQL where there is one."""
 from __future__ import annotations
 
-from strata.llm import chat_format, exact_dedup, secrets
+from strata.llm import chat_format, exact_dedup, language_id, mixing, secrets, sentencepiece_bpe
 
-MODULES = (exact_dedup, chat_format, secrets)
+MODULES = (exact_dedup, chat_format, language_id, mixing, sentencepiece_bpe, secrets)
 REGISTRY = {name: entry for m in MODULES for name, entry in m.QUERIES.items()}
