@@ -1,7 +1,8 @@
 """Registered queries of the numbered operators, with their SQL where there is one."""
 from __future__ import annotations
 
-from strata.llm import chat_format, exact_dedup, language_id, mixing, secrets, sentencepiece_bpe
+from strata.llm import (chat_format, exact_dedup, hilbert_ann, jaccard_join, language_id, mixing, secrets,
+                        sentencepiece_bpe)
 
-MODULES = (exact_dedup, chat_format, language_id, mixing, sentencepiece_bpe, secrets)
+MODULES = (exact_dedup, hilbert_ann, chat_format, language_id, mixing, jaccard_join, sentencepiece_bpe, secrets)
 REGISTRY = {name: entry for m in MODULES for name, entry in m.QUERIES.items()}
