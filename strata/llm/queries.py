@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 from strata.llm import (chat_format, exact_dedup, hilbert_ann, jaccard_join, language_id, mixing, secrets,
-                        sentencepiece_bpe)
+                        sentencepiece_bpe, substring_dedup, suffix_dedup)
 
-MODULES = (exact_dedup, hilbert_ann, chat_format, language_id, mixing, jaccard_join, sentencepiece_bpe, secrets)
+MODULES = (exact_dedup, hilbert_ann, chat_format, language_id, substring_dedup, mixing, jaccard_join, sentencepiece_bpe,
+           suffix_dedup, secrets)
 REGISTRY = {name: entry for m in MODULES for name, entry in m.QUERIES.items()}
