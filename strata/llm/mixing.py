@@ -81,31 +81,15 @@ class Flight:
                 rest.append(unit)
         self.held = rest
 
-    def _end(self):
-        """Decide what is held, at most two units, with their probabilities kept and the least change of both totals."""
-        units, self.held = self.held, []
-        if len(units) == 1:
-            yield units[0], int(self.rng.random() < units[0][0])
-        elif units:
-            (p, a, _), (q, b, _) = units
-            off = lambda t: sum(w * abs(x - p * a - q * b) for w, x in (
-                (t, a + b), (p - t, a), (q - t, b), (1 - p - q + t, 0)))
-            t = min((max(0.0, p + q - 1), min(p, q)), key=off)
-            r = self.rng.random()
-            yield from zip(units, (1, 1) if r < t else (1, 0) if r < p else (0, 1) if r < p + q - t else (0, 0))
-
     def land(self, spare: list):
-        """The landing problem: the held units, which may be long, are drawn; ``spare`` units of moderate size make
-        good the words by which they missed, in a flight with their probabilities scaled to the rest."""
-        short = 0.0
-        for (p, size, row), got in self._end():
-            short += (p - got) * size
+        """The landing problem: the held and the ``spare`` units, longest first, are drawn one after the other with their
+        probabilities scaled to the words that are still due, so what a long unit misses the shorter ones make good."""
+        units, self.held = sorted([*self.held, *spare], key=lambda u: -u[1]), []
+        rest = due = sum(p * size for p, size, _ in units)
+        for p, size, row in units:
+            got = int(self.rng.random() < (p * due / rest if rest > _EPS else p))
+            due, rest = max(0.0, due - got * size), rest - p * size
             yield row, got
-        words = sum(p * size for p, size, _ in spare)
-        scale = max(0.0, 1 + short / words) if words else 1.0
-        for p, size, row in spare:
-            yield from self.add(min(1.0, p * scale), size, row)
-        yield from ((u[2], got) for u, got in self._end())
 
 
 def _seed(seed: int, source: str | None, group: int) -> int:
