@@ -9,8 +9,6 @@ from strata.llm.common import load, row_id, written
 
 #: Words of a shingle and percent of similarity of near duplicates.
 SHINGLE, PERCENT = 5, 80
-#: A document is rejected whose best label is no more probable than this many times an even guess.
-UNDECIDED = 1.2
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -26,12 +24,11 @@ def _without(numbered: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which the network finds a language: not null, with a letter, and better than a guess."""
+    """Documents that get a language; those that are null or hold no letter are rejected."""
     net = language_id.train(docs)
     numbered, row = _numbered(docs)
     found = language_id.predict(numbered, net, row_col=row)
-    even = 1 / max(2, len(net.labels)) if net else 0.0
-    return _without(numbered, row, found.where((F.col("lang_pred") == "und") | (F.col("score") <= UNDECIDED * even)))
+    return _without(numbered, row, found.where(F.col("lang_pred") == "und"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
