@@ -79,7 +79,8 @@ def hash_uniform_sql(key_sql: str | list[str], seed: int, salt: str | None = Non
 def quantize(c: Column | str, lo: float = 0.0, hi: float = 1.0, n: int = 9) -> Column:
     """Equal-width class of ``c`` in [lo, hi] into n classes, clamped; null stays null."""
     c = F.col(c) if isinstance(c, str) else c
-    raw = F.floor(F.lit(float(n)) * (c - F.lit(float(lo))) / F.lit(float(hi - lo)))
+    inside = F.least(F.lit(float(hi)), F.greatest(F.lit(float(lo)), c))  # before the cast, so +-inf is clamped too
+    raw = F.floor(F.lit(float(n)) * (inside - F.lit(float(lo))) / F.lit(float(hi - lo)))
     # greatest/least skip nulls, so the null guard is explicit
     return F.when(c.isNotNull(), F.least(F.lit(n - 1), F.greatest(F.lit(0), raw.cast("int"))))
 

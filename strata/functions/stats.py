@@ -1,11 +1,10 @@
 """Scalable global order statistics (K1) and global prefix sums / positions (K2).
 
-* ``column_quantiles`` / ``column_medians``: exact linear-interpolated quantiles.  Spark's
-  exact ``percentile``/``median`` merges every distinct value of a group in one task, so it
-  is used only below a checked row count.  Above it, the order statistics are found by
-  bracketing: ``percentile_approx`` gives a narrow value range around each wanted rank,
-  exact counts place the rank inside it, and only the rows of the bracket (whose number is
-  checked first) are gathered.  Brackets that are still too wide are narrowed again.
+* ``column_quantiles`` / ``column_medians``: exact linear-interpolated quantiles by one method for every
+  size, in a number of jobs that does not depend on columns, ranks or rows.  The columns are written once;
+  one aggregate sketches a bracket around every wanted rank, one aggregate counts exactly what lies below
+  and in the brackets, and the bracket's distinct values with their counts, in a global order (K2), give
+  the value at each rank.  Nothing but counts and bounds reaches the driver.
 * ``prefix_sums`` / ``global_index``: running totals in a global order without a window
   that moves all rows to one task.  Rows are range-partitioned, the partition tags are
   frozen by a reliable checkpoint, bucket totals (one row per bucket) are prefixed and
@@ -18,19 +17,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, scratch_path
 
-DEFAULT_EXACT_ROWS = 2_000_000
 DEFAULT_ACCURACY = 10_000
-EXACT_BYTES_LIMIT = 32 * 1024 * 1024  # planner size estimate under which exact percentiles are safe
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (no job runs); conservative without CBO."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - estimate unavailable (e.g. Spark Connect)
-        return None
 
 
 def _spark(df: DataFrame):
@@ -41,123 +30,90 @@ def _qname(col: str, p: float) -> str:
     return f"{col}__q{p}"
 
 
-def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "auto",
-                     max_exact_rows: int = DEFAULT_EXACT_ROWS,
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """One-row DataFrame with a column ``<col>__q<p>`` per (column, probability).
 
-    Linear interpolation between order statistics (pandas / DuckDB ``quantile_cont``).
-    ``method``: ``"exact"`` (lazy ``percentile``), ``"bracket"`` (scalable exact) or
-    ``"auto"`` (count first; exact when every column has at most ``max_exact_rows`` values).
+    Linear interpolation between order statistics (pandas / DuckDB ``quantile_cont``) of the non-null values;
+    null for a column without values.  ``accuracy`` sets the width of brackets, never the result.
     """
-    if method == "auto":
-        est = estimated_bytes(df.select(*cols))
-        if est is not None and est <= EXACT_BYTES_LIMIT:
-            method = "exact"  # provably small input: no counting pass needed
-        else:
-            counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-            method = "exact" if max(counts[c] for c in cols) <= max_exact_rows else "bracket"
-    if method == "exact":
-        exprs = []
-        for c in cols:
-            for p in probs:
-                exprs.append(F.percentile(F.col(c).cast("double"), F.lit(float(p))).alias(_qname(c, p)))
-        return df.agg(*exprs)
-    values = _bracket_quantiles(df, cols, probs, max_exact_rows, accuracy)
     spark = _spark(df)
+    path = scratch_path(spark, "quantiles")
+    plain = [f"c{i}" for i in range(len(cols))]
+    df.select(*[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(cols, plain)]).write.parquet(path)
+    wide = spark.read.schema(", ".join(f"{x} double" for x in plain)).parquet(path)
+    margin = 10.0 / accuracy  # several times the error of the sketch
+    points = sorted({round(min(1.0, max(0.0, p + d)), 12) for p in probs for d in (-margin, margin)})
+    sketch = wide.agg(*[e for x in plain for e in (
+        F.count(x).alias(f"{x}_n"), F.min(x).alias(f"{x}_lo"), F.max(x).alias(f"{x}_hi"),
+        F.percentile_approx(x, F.array(*[F.lit(p) for p in points]), accuracy).alias(f"{x}_q"))]).first()
+    wanted: list[tuple[int, int, float, float]] = []  # column, rank, bracket
+    ranks = {}
+    for i, x in enumerate(plain):
+        n = sketch[f"{x}_n"]
+        for p in probs if n else ():
+            h = (n - 1) * p
+            low = min(int(math.floor(h)), n - 1)
+            ranks[i, p] = (low, min(low + 1, n - 1), h - low)
+            a, b = p - margin, p + margin
+            lo = sketch[f"{x}_lo"] if a * n < 4 else sketch[f"{x}_q"][points.index(round(a, 12))]
+            hi = sketch[f"{x}_hi"] if (1 - b) * n < 4 else sketch[f"{x}_q"][points.index(round(b, 12))]
+            wanted += [(i, r, lo, hi) for r in {low, min(low + 1, n - 1)}]
+    wanted = sorted(set(wanted))
     names = [_qname(c, p) for c in cols for p in probs]
-    row = [values[(c, p)] for c in cols for p in probs]
     schema = ", ".join(f"`{n}` double" for n in names)
+    if not wanted:
+        return spark.createDataFrame([tuple([None] * len(names))], schema)
+    brackets = sorted({(i, lo, hi) for i, _, lo, hi in wanted})
+    counts = wide.agg(*[e for j, (i, lo, hi) in enumerate(brackets) for e in (
+        F.count_if(F.col(plain[i]) < F.lit(lo)).alias(f"b{j}"),
+        F.count_if(F.col(plain[i]).between(F.lit(lo), F.lit(hi))).alias(f"i{j}"))]).first()
+    spans = []
+    for j, (i, lo, hi) in enumerate(brackets):
+        below = counts[f"b{j}"]
+        inside = [r for k, r, a, b in wanted if (k, a, b) == (i, lo, hi)]
+        if not all(below <= r < below + counts[f"i{j}"] for r in inside):  # the sketch missed: all values
+            lo, hi, below = sketch[f"{plain[i]}_lo"], sketch[f"{plain[i]}_hi"], 0
+        spans.append((j, i, lo, hi, below))
+    held = F.array(*[F.when(F.col(plain[i]).between(F.lit(lo), F.lit(hi)),
+                            F.struct(F.lit(j).alias("j"), F.col(plain[i]).alias("v"))) for j, i, lo, hi, _ in spans])
+    values = (wide.select(F.explode(F.array_compact(held)).alias("x")).select("x.j", "x.v")
+              .groupBy("j", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    placed = prefix_sums(values, ["j", "v"], ["cnt"])
+    # Running sums go on from bracket to bracket; the rows of earlier brackets come off again.
+    first, bases, sizes = 0, {}, {}
+    for j, i, lo, hi, below in spans:
+        bases[j] = first
+        full = (lo, hi) == (sketch[f"{plain[i]}_lo"], sketch[f"{plain[i]}_hi"])
+        sizes[j] = sketch[f"{plain[i]}_n"] if full else counts[f"i{j}"]
+        first += sizes[j]
+    places = []
+    for i, r, lo, hi in wanted:
+        j = brackets.index((i, lo, hi))
+        places.append((i, r, bases[j] + r - spans[j][4]))
+    cut = F.array(*[F.when((F.lit(t) < F.col("cum_cnt")) & (F.lit(t) >= F.col("cum_cnt") - F.col("cnt")),
+                           F.struct(F.lit(i).alias("i"), F.lit(r).cast("bigint").alias("r"), F.col("v").alias("v")))
+                    for i, r, t in places])
+    found = {(x["i"], x["r"]): x["v"] for x in
+             placed.select(F.explode(F.array_compact(cut)).alias("x")).select("x.i", "x.r", "x.v").collect()}
+    row = []
+    for i in range(len(cols)):
+        for p in probs:
+            if (i, p) not in ranks:
+                row.append(None)
+                continue
+            low, high, frac = ranks[i, p]
+            a, b = found[i, low], found[i, high]
+            row.append(a if a == b else a + (b - a) * frac)
     return spark.createDataFrame([tuple(row)], schema)
 
 
-def column_medians(df: DataFrame, cols: list[str], method: str = "auto",
-                   max_exact_rows: int = DEFAULT_EXACT_ROWS) -> DataFrame:
+def column_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     """One-row DataFrame of exact medians, one column per input column (same names)."""
-    q = column_quantiles(df, cols, [0.5], method=method, max_exact_rows=max_exact_rows)
+    q = column_quantiles(df, cols, [0.5])
     return q.select(*[F.col(f"`{_qname(c, 0.5)}`").alias(c) for c in cols])
 
 
-def _bracket_quantiles(df, cols, probs, max_exact_rows, accuracy):
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-    wanted = {}  # (col, rank) -> value
-    plan = {}
-    for c in cols:
-        n = counts[c]
-        for p in probs:
-            if n == 0:
-                plan[(c, p)] = None
-                continue
-            h = (n - 1) * p
-            lo = int(math.floor(h))
-            hi = min(lo + 1, n - 1)
-            plan[(c, p)] = (lo, hi, h - lo)
-            wanted[(c, lo)] = None
-            wanted[(c, hi)] = None
-    by_col: dict[str, list[int]] = {}
-    for (c, k) in wanted:
-        by_col.setdefault(c, []).append(k)
-    for c, ranks in by_col.items():
-        vals = _kth_smallest(df.select(F.col(c).cast("double").alias("v")).where(F.col("v").isNotNull()),
-                             counts[c], sorted(set(ranks)), max_exact_rows, accuracy)
-        for k, v in vals.items():
-            wanted[(c, k)] = v
-    out = {}
-    for (c, p), spec in plan.items():
-        if spec is None:
-            out[(c, p)] = None
-            continue
-        lo, hi, frac = spec
-        a, b = wanted[(c, lo)], wanted[(c, hi)]
-        out[(c, p)] = a + (b - a) * frac
-    return out
-
-
-def _kth_smallest(vdf: DataFrame, n: int, ranks: list[int], max_exact_rows: int, accuracy: int,
-                  depth: int = 0) -> dict[int, float]:
-    """0-based order statistics of column ``v`` (n non-null rows) by bracketing.
-
-    Rows equal to the bracket's lower bound are counted separately, so heavily tied values
-    resolve without gathering anything; otherwise the search continues strictly above it.
-    """
-    if n <= max_exact_rows:
-        arr = vdf.agg(F.sort_array(F.collect_list("v")).alias("a")).first()["a"]
-        return {k: arr[k] for k in ranks}
-    if depth >= 12:
-        raise RuntimeError("order statistic bracket did not narrow below the exact-row limit")
-    margin = 2.0 * n / accuracy + 2
-    lo_p = [max(0.0, (k - margin) / (n - 1)) for k in ranks]
-    hi_p = [min(1.0, (k + margin) / (n - 1)) for k in ranks]
-    approx = vdf.agg(
-        F.percentile_approx("v", F.array(*[F.lit(p) for p in lo_p]), accuracy).alias("lo"),
-        F.percentile_approx("v", F.array(*[F.lit(p) for p in hi_p]), accuracy).alias("hi"),
-        F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-    result = {}
-    for i, k in enumerate(ranks):
-        a, b = approx["lo"][i], approx["hi"][i]
-        if lo_p[i] == 0.0:
-            a = approx["mn"]
-        if hi_p[i] == 1.0:
-            b = approx["mx"]
-        v = F.col("v")
-        cnt = vdf.agg(F.count_if(v < a).alias("lt"), F.count_if(v == a).alias("eq"),
-                      F.count_if((v >= a) & (v <= b)).alias("inb")).first()
-        lt, eq, inb = cnt["lt"], cnt["eq"], cnt["inb"]
-        if not (lt <= k < lt + inb):  # the sketch missed: fall back to the full range
-            a, b = approx["mn"], approx["mx"]
-            cnt = vdf.agg(F.count_if(v == a).alias("eq")).first()
-            lt, eq, inb = 0, cnt["eq"], n
-        if k < lt + eq:
-            result[k] = a
-            continue
-        sub = vdf.where((v > a) & (v <= b))
-        n_sub = inb - eq
-        acc = min(accuracy * 10, 2_000_000_000) if n_sub >= n - 1 else accuracy  # no narrowing: sharper sketch
-        local = _kth_smallest(sub, n_sub, [k - lt - eq], max_exact_rows, acc, depth + 1)
-        result[k] = local[k - lt - eq]
-    return result
-
-
 def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str] = (),
                 descending: bool = False, partitions: int | None = None,
                 index_col: str = "_gidx", prefix: str = "cum_") -> DataFrame:

@@ -63,7 +63,9 @@ def drop_sparse_entities(df: DataFrame, col: str, entity: str, threshold: float
     rates = (df.groupBy(_c(entity).alias(entity))
              .agg(F.avg(_c(col).isNull().cast("double")).alias("_rate")))
     removed = rates.where(F.col("_rate") > F.lit(float(threshold))).select(entity)
-    return df.join(removed, entity, "left_anti")
+    # Rows without an entity are always kept; split off, they don't meet in one partition of the join.
+    known = df.where(_c(entity).isNotNull()).join(removed.where(_c(entity).isNotNull()), entity, "left_anti")
+    return known.select(*[_c(c) for c in df.columns]).unionByName(df.where(_c(entity).isNull()))
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> dict:

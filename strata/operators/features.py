@@ -62,11 +62,10 @@ class MedianScalerModel:
                                      "column string, median double, mean double, sd double")
 
 
-def fit_median_scaler(train: DataFrame, cols: list[str], median_method: str = "auto") -> MedianScalerModel:
+def fit_median_scaler(train: DataFrame, cols: list[str]) -> MedianScalerModel:
     """H1 fit: medians of the train rows; mean and population sd of the median-filled train
     rows (sd 0 -> 1).  Columns with no value at all are dropped."""
-    med_row = column_medians(train.select(*[_c(c).cast("double").alias(c) for c in cols]), cols,
-                             method=median_method).first()
+    med_row = column_medians(train.select(*[_c(c).cast("double").alias(c) for c in cols]), cols).first()
     kept = [c for c in cols if med_row[c] is not None]
     filled = train.select(*[F.coalesce(_c(c).cast("double"), F.lit(med_row[c])).alias(c) for c in kept])
     mom = filled.agg(*[e for c in kept for e in (
@@ -92,20 +91,24 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
                            for c in df.columns])
 
 
-def category_values(df: DataFrame, col: str, max_categories: int = 10_000) -> list:
-    """Distinct non-null categories (a checked, bounded list)."""
-    vals = [r[0] for r in df.select(col).where(_c(col).isNotNull()).distinct().limit(max_categories + 1).collect()]
-    if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories")
-    return sorted(vals)
+def category_values(df: DataFrame, col: str) -> list:
+    """Distinct non-null categories in order: the column names of the wide form.  For more categories than a
+    table can have columns, use ``one_hot_long`` or ``one_hot_vector``."""
+    return sorted(r[0] for r in df.select(col).where(_c(col).isNotNull()).distinct().collect())
+
+
+def one_hot_long(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
+    """H2 (long form): one (keys, column, category, 1) row per non-null cell; any number of categories."""
+    return df.where(_c(col).isNotNull()).select(*[_c(k) for k in keys], F.lit(col).alias("column"),
+                                                _c(col).cast("string").alias("category"), F.lit(1).alias("value"))
 
 
 def one_hot(df: DataFrame, cols: list[str], keep_source: bool = False) -> DataFrame:
-    """H2: one 0/1 indicator column ``<col>_<value>`` per category (wide form)."""
+    """H2: one 0/1 indicator column ``<col>_<value>`` per category (wide form); a null category is 0 in all."""
     out = df
     for c in cols:
         vals = category_values(df, c)
-        out = out.select("*", *[(_c(c) == F.lit(v)).cast("int").alias(f"{c}_{v}") for v in vals])
+        out = out.select("*", *[_c(c).eqNullSafe(F.lit(v)).cast("int").alias(f"{c}_{v}") for v in vals])
         if not keep_source:
             out = out.drop(c)
     return out

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import numeric_columns
 from ..functions.stats import column_medians
-from ..session import reliable_checkpoint
+from ..session import scratch_path
 
 
 def _c(name: str):
@@ -92,19 +92,21 @@ def temporal_fill(df: DataFrame, cols: list[str], entity: str = "entity_id", per
 
 def impute_panel(df: DataFrame, entity: str = "entity_id", period: str = "period",
                  cols: list[str] | None = None, null_entity: str = "reset",
-                 median_method: str = "auto", check: bool = False, materialize: bool = True) -> DataFrame:
+                 check: bool = False, materialize: bool = True) -> DataFrame:
     """Temporal fills per entity, then the global median of each filled column for what
     is left (entities with no value at all), then optionally D24.
 
     The filled panel feeds both the median aggregate and the output; with ``materialize`` it
-    is written once by a reliable checkpoint (shared storage, lineage cut) instead of being
-    evaluated twice from its upstream plan.
+    is written once as Parquet (shared storage, lineage cut), of which the median reads its columns
+    only, instead of being evaluated twice from its upstream plan.
     """
     cols = cols or numeric_columns(df, exclude=[period, entity])
     filled = temporal_fill(df, cols, entity, period, null_entity)
     if materialize:
-        filled = reliable_checkpoint(filled)
-    med = column_medians(filled.select(*cols), cols, method=median_method)
+        path = scratch_path(df.sparkSession, "filled")
+        filled.write.parquet(path)
+        filled = df.sparkSession.read.parquet(path)
+    med = column_medians(filled.select(*cols), cols)
     med = med.select(*[F.col(f"`{c}`").alias(f"_med_{i}") for i, c in enumerate(cols)])
     idx = {c: i for i, c in enumerate(cols)}
     out = filled.crossJoin(F.broadcast(med)).select(*[

@@ -9,19 +9,23 @@ from pyspark.sql import functions as F
 
 def merge_target(raw: DataFrame, target: DataFrame, keys: list[str] = ("entity_id", "period"),
                  target_col: str = "target") -> DataFrame:
-    """Left join on the keys with null-safe equality (pandas merge matches null with null),
-    keep labelled rows, label to int.  The filter on the right side turns the outer join into
-    an inner join in Catalyst; duplicate keys fan out like ``merge``."""
+    """Join on the keys with null-safe equality (pandas merge matches null with null), keep labelled rows,
+    label to int.  The rule for a key with several labels, null keys included, is its smallest label: every
+    row gets one label at most, so the output never grows beyond the input."""
     keys = list(keys)
-    t = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col(target_col))
+    t = (target.where(F.col(target_col).isNotNull()).groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys])
+         .agg(F.min(target_col).alias(target_col)))
     cond = reduce(lambda a, b: a & b, [raw[k].eqNullSafe(t[f"_t_{k}"]) for k in keys])
-    joined = raw.join(t, cond, "left").drop(*[f"_t_{k}" for k in keys])
-    return joined.where(F.col(target_col).isNotNull()).withColumn(target_col, F.col(target_col).cast("int"))
+    joined = raw.join(t, cond).drop(*[f"_t_{k}" for k in keys])
+    return joined.withColumn(target_col, F.col(target_col).cast("int"))
 
 
 def anti_entities(df: DataFrame, entities: DataFrame, entity: str) -> DataFrame:
     """Rows whose entity is not in the set; null entities are kept (``~isin``)."""
-    return df.join(entities.select(entity).distinct(), entity, "left_anti")
+    known = df.where(F.col(entity).isNotNull())
+    listed = entities.select(entity).where(F.col(entity).isNotNull()).distinct()
+    # split off, rows without an entity don't meet in one partition of the join
+    return known.join(listed, entity, "left_anti").select(*df.columns).unionByName(df.where(F.col(entity).isNull()))
 
 
 def first_per_key(df: DataFrame, key: str, order_by: str, cols: list[str]) -> DataFrame:

@@ -68,9 +68,11 @@ def classification_report(df: DataFrame, y: str = "y", pred: str = "pred") -> Da
 
 
 def regression_metrics(df: DataFrame, y: str = "y", pred: str = "prediction") -> DataFrame:
-    """R^2, MAE and RMSE in one aggregate."""
+    """R^2, MAE and RMSE in one aggregate.  A constant target has R^2 1 if it is met exactly, else 0."""
     err = F.col(y) - F.col(pred)
-    return df.agg((1 - F.avg(err * err) / F.var_pop(y)).alias("r2"),
+    mse, spread = F.avg(err * err), F.var_pop(y)
+    r2 = F.when(spread == 0, F.when(mse == 0, 1.0).otherwise(0.0)).otherwise(1 - F.try_divide(mse, spread))
+    return df.agg(r2.alias("r2"),
                   F.avg(F.abs(err)).alias("mae"), F.sqrt(F.avg(err * err)).alias("rmse"))
 
 
@@ -92,7 +94,7 @@ def roc_curve(df: DataFrame, y: str = "y", score: str = "score", drop_intermedia
     origin (idx 0, threshold null).  ``drop_intermediate`` removes points that are collinear
     with both neighbours (second difference of both counts is 0), as scikit-learn does."""
     pts = roc_points(df, y, score)
-    n = df.agg(F.sum(F.col(y).cast("long")).alias("P"), F.sum((1 - F.col(y)).cast("long")).alias("N"))
+    n = df.where(F.col(score).isNotNull()).agg(F.sum(F.col(y).cast("long")).alias("P"), F.sum((1 - F.col(y)).cast("long")).alias("N"))
     pts = pts.select("threshold", F.col("_gidx").alias("i"), F.col("cum_tp").alias("ctp"), F.col("cum_fp").alias("cfp"))
     if drop_intermediate:
         # read four times below (points, previous, next, last index): written once
@@ -116,8 +118,8 @@ def roc_curve(df: DataFrame, y: str = "y", score: str = "score", drop_intermedia
 def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     """Area under the ROC curve = sum over scores of fp * (tp above + tp tied / 2) / (P * N)."""
     pts = roc_points(df, y, score)
-    return pts.agg(F.try_divide(F.sum(F.col("fp") * (F.col("cum_tp") - F.col("tp") / 2.0)),
-                                (F.sum("tp") * F.sum("fp")).cast("double")).alias("auc"))
+    return pts.agg(F.try_divide(F.sum(F.col("fp").cast("double") * (F.col("cum_tp").cast("double") - F.col("tp") / 2.0)),
+                                F.sum("tp").cast("double") * F.sum("fp").cast("double")).alias("auc"))
 
 
 def metrics_long(metrics: DataFrame, run_id: str, model: str, kind: str = "metric") -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import fround, numeric_columns, safe_corr
+from ..functions.exprs import fround, numeric_columns
 from ..functions.stats import column_quantiles
+from ..session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -118,33 +119,23 @@ def positive_weight(df: DataFrame, y: str) -> DataFrame:
                       .otherwise(F.lit(1.0)).alias("pos_weight"))
 
 
-def describe_panel(df: DataFrame, cols: list[str] | None = None, decimals: int = 2,
-                   quantile_method: str = "auto") -> DataFrame:
+def describe_panel(df: DataFrame, cols: list[str] | None = None, decimals: int = 2) -> DataFrame:
     """Count, mean, sample sd, min, quartiles (linear), max per column, rounded.
 
-    Values are unpivoted to (column, value) and aggregated per column in one pass, so columns
-    are summarised in parallel.  The exact quartiles of one column are gathered in its group,
-    which is safe only when the input is small (planner estimate); otherwise the quartiles
-    come from the scalable bracketing helper (K1).
+    Moments are one wide aggregate, unpivoted afterwards; quartiles come from K1.  The columns are
+    written once and both read that table, so the input's plan runs once.
     """
-    from ..functions.stats import EXACT_BYTES_LIMIT, estimated_bytes
     cols = cols or numeric_columns(df)
-    est = estimated_bytes(df.select(*[_c(c) for c in cols]))
-    small = quantile_method == "exact" or (quantile_method == "auto" and est is not None and est <= EXACT_BYTES_LIMIT)
-    body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {body}) AS (`column`, v)")
-    v = F.col("v")
-    stats = [F.count(v).cast("long").alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-             F.min(v).alias("min"), F.max(v).alias("max")]
-    if small:
-        stats.append(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-        g = long.groupBy("column").agg(*stats).select(
-            "*", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"))
-    else:
-        quants = column_quantiles(df, cols, [0.25, 0.5, 0.75], method=quantile_method)
-        qbody = ", ".join(f"'{c}', `{c}__q0.25`, `{c}__q0.5`, `{c}__q0.75`" for c in cols)
-        qlong = quants.selectExpr(f"stack({len(cols)}, {qbody}) AS (`column`, p25, p50, p75)")
-        g = long.groupBy("column").agg(*stats).join(F.broadcast(qlong), "column")
+    path = scratch_path(df.sparkSession, "describe")
+    df.select(*[_c(c).cast("double").alias(c) for c in cols]).write.parquet(path)
+    kept = df.sparkSession.read.parquet(path)
+    quants = column_quantiles(kept, cols, [0.25, 0.5, 0.75])
+    one = kept.agg(*[e for i, c in enumerate(cols) for e in (
+        F.count(_c(c)).cast("long").alias(f"n{i}"), F.avg(_c(c)).alias(f"mean{i}"), F.stddev_samp(_c(c)).alias(f"std{i}"),
+        F.min(_c(c)).alias(f"min{i}"), F.max(_c(c)).alias(f"max{i}"))]).crossJoin(F.broadcast(quants))  # one row each
+    body = ", ".join(f"'{c}', n{i}, mean{i}, std{i}, min{i}, `{c}__q0.25`, `{c}__q0.5`, `{c}__q0.75`, max{i}"
+                     for i, c in enumerate(cols))
+    g = one.selectExpr(f"stack({len(cols)}, {body}) AS (`column`, `count`, mean, std, min, p25, p50, p75, max)")
     return g.select("column", "count", *[fround(F.col(s), decimals).alias(s)
                                          for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
@@ -195,12 +186,12 @@ def nullity_correlation(df: DataFrame, cols: list[str] | None = None, decimals:
     idx = {c: j for j, c in enumerate(keep)}
     exprs = []
     for i, (a, b) in enumerate(pairs):
-        na, nb, nab = F.col(f"n_{idx[a]}"), F.col(f"n_{idx[b]}"), F.col(f"nab_{i}")
-        n_ = F.col("n")
+        # products of counts in double: in long they overflow from 3e9 rows on
+        na, nb, nab, n_ = (F.col(x).cast("double") for x in (f"n_{idx[a]}", f"n_{idx[b]}", f"nab_{i}", "n"))
         num = n_ * nab - na * nb
-        den = F.sqrt((na * (n_ - na)).cast("double") * (nb * (n_ - nb)).cast("double"))
+        den = F.sqrt(na * (n_ - na)) * F.sqrt(nb * (n_ - nb))
         exprs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                              (num.cast("double") / den).alias("corr")))
+                              (num / den).alias("corr")))
     upper = wide.select(F.explode(F.array(*exprs)).alias("r")).select("r.*")
     mirrored = upper.where("col_a <> col_b").select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
     out = upper.unionByName(mirrored)

@@ -29,7 +29,9 @@ def _rank_in_class(df: DataFrame, y: str, key: str, seed: int, min_rows: int = 0
     before = Window.orderBy(F.col(y).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(y, "_n_class", F.coalesce(F.sum("_n_class").over(before), F.lit(0)).alias("_off"))
     pos = global_index(drawn, [y, "_u", key])
-    return (pos.join(F.broadcast(offsets), y)
+    # null-safe: rows without a label are a class of their own
+    offsets = offsets.withColumnRenamed(y, "_class")
+    return (pos.join(offsets, pos[y].eqNullSafe(offsets["_class"])).drop("_class")
             .withColumn("_rank", F.col("_gidx") - F.col("_off"))
             .drop("_gidx", "_off"))
 
@@ -70,28 +72,26 @@ def stratified_folds(df: DataFrame, y: str, key: str, k: int = 5, seed: int = 42
     return ranked.withColumn(fold_col, (F.col("_rank") % k).cast("int")).drop("_u", "_rank", "_n_class")
 
 
-def expanding_folds(df: DataFrame, period: str = "period", k: int = 5, max_periods: int = 100_000) -> DataFrame:
+def expanding_folds(df: DataFrame, period: str = "period", k: int = 5) -> DataFrame:
     """Expanding-window folds over the sorted distinct periods (train on the past, validate
-    on the next block), as a small (fold, period, role) table; join it to the rows."""
-    periods = [r[0] for r in df.select(period).where(F.col(period).isNotNull()).distinct()
-               .orderBy(period).limit(max_periods + 1).collect()]
-    if len(periods) > max_periods:
-        raise ValueError("too many distinct periods for an expanding split")
-    n = len(periods)
+    on the next block), as a (fold, period, role) table; join it to the rows.
+
+    Positions of the distinct periods come from ``global_index``; only their number reaches the driver.
+    """
+    periods = global_index(df.select(period).where(F.col(period).isNotNull()).distinct(), [period], index_col="_i")
+    n = periods.count()
     size = n // (k + 1)
     if size < 1:
         raise ValueError(f"{n} periods cannot make {k} folds")
-    rows = []
-    for f, start in enumerate(range(n - k * size, n, size)):
-        rows += [(f, p, "train") for p in periods[:start]]
-        rows += [(f, p, "test") for p in periods[start:start + size]]
-    ptype = dict(df.dtypes)[period]
-    return df.sparkSession.createDataFrame(rows, f"fold int, {period} {ptype}, role string")
+    start = F.lit(n - k * size) + F.col("fold") * size
+    return (periods.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+            .where(F.col("_i") < start + size)
+            .select("fold", period, F.when(F.col("_i") < start, "train").otherwise("test").alias("role")))
 
 
 def fold_rows(df: DataFrame, folds: DataFrame, period: str = "period") -> DataFrame:
-    """Rows of every fold with their role (the fold table is small and broadcast)."""
-    return df.join(F.broadcast(folds), period)
+    """Rows of every fold with their role."""
+    return df.join(folds, period)
 
 
 # ------------------------------------------------------------------ search spaces (driver side, tiny)

@@ -12,11 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import fround, rewrite_round_sql
+from ..functions.exprs import NA_TOKENS, fround, rewrite_round_sql
 from ..operators import clean, joins, profile, impute, features
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.csv_io import scan_csv, sink_csv
+from ..sources.tables import read_table
 from . import fixture_sql as fs
 from .sqlgen import (corr_pairs_sql, interp_sql, nullity_corr_sql, nullity_distance_sql,
                      union_per_column)
@@ -49,6 +50,18 @@ def q_csv_roundtrip(spark, sf):
     return scan_csv(spark, path, schema=p.schema)
 
 
+_NA = ", ".join("'" + t + "'" for t in NA_TOKENS)
+
+
+@register("csv_documents", f"SELECT doc_id, CASE WHEN text IN ({_NA}) THEN NULL ELSE text END AS text FROM documents")
+def q_csv_documents(spark, sf):
+    """Texts with quotes, commas and line feeds through the CSV dialect."""
+    docs = read_table(spark, sf, "documents", ["doc_id", "text"])
+    path = scratch_path(spark, "csv-docs")
+    sink_csv(docs, path)
+    return scan_csv(spark, path, schema=docs.schema)
+
+
 # ---------------------------------------------------------------- B: projections, filters, rules
 
 @register("select_features", W("SELECT entity_id, period, spend, units FROM p", "p"))
@@ -181,9 +194,9 @@ def q_null_matrix(spark, sf):
 # ---------------------------------------------------------------- C: joins and lookups
 
 @register("merge_target", W(
-    "SELECT n.*, CAST(t.target AS INTEGER) AS target FROM n JOIN t "
-    "ON n.entity_id IS NOT DISTINCT FROM t.entity_id AND n.period IS NOT DISTINCT FROM t.period "
-    "WHERE t.target IS NOT NULL", "n", "t"))
+    "SELECT n.*, CAST(t.target AS INTEGER) AS target FROM n JOIN "
+    "(SELECT entity_id, period, min(target) AS target FROM t WHERE target IS NOT NULL GROUP BY ALL) t "
+    "ON n.entity_id IS NOT DISTINCT FROM t.entity_id AND n.period IS NOT DISTINCT FROM t.period", "n", "t"))
 def q_merge_target(spark, sf):
     return joins.merge_target(fx.panel_null(spark, sf), fx.target_side(spark, sf))
 
@@ -215,6 +228,27 @@ def q_map_lookup(spark, sf):
                             supp, "s_nationkey", "s_suppkey", ["s_suppkey", "s_name", "s_acctbal"])
 
 
+@register("cast_label", "SELECT event_id, CAST(trunc(value) AS INTEGER) AS value FROM events")
+def q_cast_label(spark, sf):
+    return clean.cast_label(read_table(spark, sf, "events", ["event_id", "value"]), "value")
+
+
+@register("entity_pairs", W("SELECT DISTINCT entity_id, entity_name FROM p", "p"))
+def q_entity_pairs(spark, sf):
+    return joins.entity_directory(fx.panel(spark, sf))
+
+
+@register("entity_names", W("SELECT DISTINCT entity_name FROM p WHERE entity_name IS NOT NULL", "p"))
+def q_entity_names(spark, sf):
+    return joins.entity_names(fx.panel(spark, sf))
+
+
+@register("entity_id_for", W("SELECT min(entity_id) AS entity_id FROM p WHERE entity_name = 'Customer#000000007'", "p"))
+def q_entity_id_for(spark, sf):
+    found = joins.entity_id_for(fx.panel(spark, sf), "Customer#000000007")
+    return spark.createDataFrame([(found,)], "entity_id bigint")
+
+
 @register("entity_directory", W(
     "SELECT entity_name, min(entity_id) AS entity_id, count(DISTINCT entity_id) AS n_ids FROM p GROUP BY entity_name",
     "p"))
@@ -814,7 +848,7 @@ def q_balance_counts(spark, sf):
     return balance_counts(d, _smote(spark, sf), "toxic")
 
 
-# ---------------------------------------------------------------- J: streaming (rows-only check)
+# ---------------------------------------------------------------- J: streaming
 
 def _event_rule(df: DataFrame) -> DataFrame:
     """Rule scorer shared by the stream and the batch check: high-value events are risky."""
@@ -822,13 +856,14 @@ def _event_rule(df: DataFrame) -> DataFrame:
                      F.when(F.col("value") >= 50, 1.0).otherwise(0.0).alias("prediction"))
 
 
-@register("stream_score", None)
+@register("stream_score", """SELECT user_id, event_id, event_type, value, CASE WHEN value >= 50 THEN 1.0 ELSE 0.0 END AS prediction
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")
 def q_stream_score(spark, sf):
     from ..streaming.scoring import stream_score
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     root = scratch_path(spark, "stream")
     return stream_score(spark, sf, schema, _event_rule, f"{root}/store", f"{root}/_checkpoint",
-                        key="user_id", event_time="ts", watermark="365 days", path_glob="events.parquet")
+                        key="user_id", event_time="ts", tie="event_id", path_glob="events.parquet").drop("_epoch")
 
 
 # ---------------------------------------------------------------- H: Spark ML models (rows-only checks)

@@ -40,7 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests) a private folder is created.
+    Only when it is unset in local mode (tests) a private folder is created; elsewhere that is an error,
+    since a folder of one machine is lost with it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()

@@ -19,7 +19,9 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     tokens = NA_TOKENS if na_tokens is None else na_tokens
     try:
         raw = (spark.read.option("header", True).option("inferSchema", False)
-               .option("mode", "FAILFAST").csv(path))
+               .option("mode", "FAILFAST").option("quote", '"').option("escape", '"').option("multiLine", True)
+               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+               .option("lineSep", "\n").csv(path))
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(path) from exc
@@ -45,6 +47,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write with a header, no index column; parent folders are created; overwrite by default."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Write with a header, no index column; parent folders are created; overwrite by default.  Quotes inside a
+    quoted field are doubled, and line feeds, commas and outer spaces survive a round trip."""
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

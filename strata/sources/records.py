@@ -48,6 +48,22 @@ def append_predictions(existing: DataFrame, new: DataFrame, key: str = "client_i
     return base.select(*cols).unionByName(appended.select(*cols))
 
 
+def sink_predictions(spark, path: str, new: DataFrame, key: str = "client_id", clock: Column | None = None) -> DataFrame:
+    """A6 as a sink: append to the Parquet store at ``path`` the records whose key isn't stored, and nothing else.
+
+    Stored files are read for their keys and the largest id and never rewritten; returns the stored table.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        stored = spark.read.schema(PREDICTION_SCHEMA).parquet(path)
+    else:
+        stored = spark.createDataFrame([], PREDICTION_SCHEMA)
+    both = append_predictions(stored, new, key, clock=clock)
+    fresh = both.join(stored.select(key), key, "left_anti").select(*[f.name for f in PREDICTION_SCHEMA.fields])
+    fresh.write.mode("append").parquet(path)
+    return spark.read.schema(PREDICTION_SCHEMA).parquet(path)
+
+
 def page(df: DataFrame, skip: int = 0, limit: int = 100, order_by: str = "id") -> DataFrame:
     """Paged read in id order (top-k of skip+limit rows, then offset)."""
     return df.orderBy(F.col(order_by).asc_nulls_last()).offset(skip).limit(limit)

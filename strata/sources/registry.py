@@ -30,8 +30,15 @@ def save_model_version(spark: SparkSession, model, root: str, name: str) -> tupl
     idx = read_index(spark, root)
     current = idx.where(F.col("name") == name).agg(F.max("version")).first()[0]
     version = (current or 0) + 1
-    path = f"{root.rstrip('/')}/{name}/v{version}"
-    model.write().overwrite().save(path)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    # a version that is stored but not in the index (a lost index, a failed append) is never overwritten
+    while True:
+        path = f"{root.rstrip('/')}/{name}/v{version}"
+        p = fs_path(path)
+        if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            break
+        version += 1
+    model.write().save(path)
     row = spark.createDataFrame([(name, version, path)], "name string, version int, path string")
     row.withColumn("saved_at", F.current_timestamp()).write.mode("append").parquet(_index_path(root))
     return version, path

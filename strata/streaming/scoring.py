@@ -1,10 +1,12 @@
 """Online scoring re-aimed as Structured Streaming.
 
-Arriving record files are read as a stream, the event time is cast to TIMESTAMP (watermarks
-reject TIMESTAMP_NTZ), duplicates of a key inside the watermark are dropped, every micro-batch
-is scored and appended to the store with a left anti join on the key, so each key is stored
-once even when a batch is retried.  ``trigger(availableNow=True)`` processes what is there
-and stops; the checkpoint makes restarts exactly-once.
+Arriving record files are read as a stream.  Each micro-batch keeps the first record of every key by (event
+time, tie-break), scores it and appends it to the store with a left anti join on the key, so each key is
+stored once: the first record of the first micro-batch that holds the key wins, whatever its event time.
+Nothing waits for or is cut off by a watermark, so late records are stored too.  The store is partitioned by
+a bucket of the key's hash, and a micro-batch reads the keys of its own buckets only.
+``trigger(availableNow=True)`` processes what is there and stops; with the checkpoint and the anti join a
+restarted or retried micro-batch stores nothing twice.
 """
 from __future__ import annotations
 
@@ -26,33 +28,42 @@ def _stored_keys(spark: SparkSession, sink_path: str, key: str) -> DataFrame | N
     if not _path_exists(spark, sink_path):
         return None
     try:
-        return spark.read.parquet(sink_path).select(key)
+        return spark.read.parquet(sink_path).select(key, "_bucket")
     except AnalysisException:  # folder without data files yet
         return None
 
 
 def stream_score(spark: SparkSession, source_dir: str, schema: T.StructType | str,
                  score: Callable[[DataFrame], DataFrame], sink_path: str, checkpoint_path: str,
-                 key: str = "user_id", event_time: str = "ts", watermark: str = "1 hour",
-                 path_glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the stream until the available input is consumed; return the stored table."""
+                 key: str = "user_id", event_time: str = "ts", tie: str | None = None,
+                 path_glob: str | None = None, max_files_per_trigger: int | None = None,
+                 buckets: int = 64) -> DataFrame:
+    """Run the stream until the available input is consumed; return the stored table.
+
+    ``tie`` orders records of one key with one event time (default: all columns in turn).  Rows with a null
+    key are one key.
+    """
     reader = spark.readStream.schema(schema)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(source_dir)
-    timed = src.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    unique = timed.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
+    timed = reader.parquet(source_dir).withColumn(event_time, F.col(event_time).cast("timestamp"))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        scored = score(batch)
+        others = [c for c in batch.columns if c != key]
+        order = F.struct(event_time, *([tie] if tie else []), *[c for c in others if c not in (event_time, tie)])
+        first = batch.groupBy(key).agg(F.min_by(F.struct(*others), order).alias("_r")).select(key, "_r.*")
+        scored = score(first.select(*batch.columns)).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         stored = _stored_keys(batch.sparkSession, sink_path, key)
-        fresh = scored if stored is None else scored.join(stored, key, "left_anti")
-        fresh.withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(sink_path)
+        if stored is not None:
+            known = stored.select(F.col(key).alias("_key"), F.col("_bucket").alias("_known_bucket"))
+            scored = scored.join(known, (F.col("_bucket") == F.col("_known_bucket")) & F.col(key).eqNullSafe(F.col("_key")),
+                                 "left_anti")
+        scored.withColumn("_epoch", F.lit(epoch_id)).write.mode("append").partitionBy("_bucket").parquet(sink_path)
 
-    q = (unique.writeStream.foreachBatch(write_batch)
+    q = (timed.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_path)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink_path)
+    return spark.read.parquet(sink_path).drop("_bucket")

@@ -90,9 +90,25 @@ def test_prefix_sums_equal_single_window(spark):
 def test_bracketed_quantiles_equal_exact(spark):
     df = spark.range(0, 5001).select(((F.col("id") * 37) % 1013 / 7.0).alias("x"), (F.col("id") % 5).cast("double").alias("y"))
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    exact = column_quantiles(df, ["x", "y"], probs, method="exact").first().asDict()
-    br = column_quantiles(df, ["x", "y"], probs, method="bracket", max_exact_rows=100, accuracy=50).first().asDict()
-    assert all(abs(exact[k] - br[k]) < 1e-9 for k in exact)
+    exact = df.agg(*[F.percentile(c, F.lit(p)).alias(f"{c}__q{p}") for c in ("x", "y") for p in probs]).first().asDict()
+    for accuracy in (50, 1000, 10_000):
+        got = column_quantiles(df, ["x", "y"], probs, accuracy=accuracy).first().asDict()
+        assert all(abs(exact[k] - got[k]) < 1e-9 for k in exact)
+    few = column_quantiles(df.where("id < 3").withColumn("z", F.lit(None).cast("double")), ["x", "z"], [0.5, 0.9]).first()
+    assert few["z__q0.5"] is None and few["x__q0.5"] is not None
+
+
+def test_quantile_jobs_do_not_grow_with_columns(spark):
+    def jobs(cols, probs):
+        df = spark.range(0, 3000).select(*[((F.col("id") * (37 + i)) % 1013 / 7.0).alias(f"x{i}") for i in range(cols)])
+        spark.sparkContext.setJobGroup(f"q{cols}-{len(probs)}", "")
+        column_quantiles(df, df.columns, probs)
+        got = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"q{cols}-{len(probs)}"))
+        spark.sparkContext._jsc.clearJobGroup()
+        return got
+
+    few, many = jobs(1, [0.5]), jobs(6, [0.1, 0.25, 0.5, 0.75, 0.9])
+    assert many <= few + 2 and many < 20
 
 
 def test_stream_equals_batch(spark, tmp_shared):
@@ -100,13 +116,13 @@ def test_stream_equals_batch(spark, tmp_shared):
     schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
     rule = lambda df: df.select("user_id", "event_id", F.when(F.col("value") >= 50, 1.0).otherwise(0.0).alias("prediction"))
     out = stream_score(spark, SF_SMALL, schema, rule, f"{tmp_shared}/store", f"{tmp_shared}/ckpt",
-                       watermark="365 days", path_glob="events.parquet")
+                       path_glob="events.parquet")
     batch_users = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("user_id").distinct()
     assert out.count() == batch_users.count() == 15
     assert out.select("user_id").exceptAll(batch_users).count() == 0
     # a restart over the same input stores nothing twice
     again = stream_score(spark, SF_SMALL, schema, rule, f"{tmp_shared}/store", f"{tmp_shared}/ckpt",
-                         watermark="365 days", path_glob="events.parquet")
+                         path_glob="events.parquet")
     assert again.count() == 15
 
 
@@ -156,8 +172,88 @@ def test_stream_two_batches_store_each_key_once(spark, tmp_shared):
     ev.where("event_id % 2 = 1").coalesce(1).write.parquet(f"{src}/part=b")
     rule = lambda df: df.select("user_id", "event_id", F.lit(1.0).alias("prediction"))
     out = stream_score(spark, src, ev.schema, rule, f"{tmp_shared}/store", f"{tmp_shared}/ckpt",
-                       watermark="365 days", max_files_per_trigger=1)
+                       max_files_per_trigger=1)
     import os
     offsets = os.listdir(f"{tmp_shared}/ckpt/offsets".replace("file:", ""))
     assert len([o for o in offsets if o.isdigit()]) >= 2   # one micro-batch per file (+ a no-data batch)
     assert out.count() == out.select("user_id").distinct().count() == ev.select("user_id").distinct().count()
+
+
+def test_stream_stores_late_records(spark, tmp_shared):
+    """A key that first appears with an old event time, after newer ones were seen, is stored; the first file wins."""
+    from strata.streaming.scoring import stream_score
+    src = f"{tmp_shared}/late"
+    files = [[(1, 10, "2024-01-02 00:00:00"), (2, 11, "2024-01-03 00:00:00"), (2, 9, "2024-01-03 00:00:00")],
+             [(3, 12, "2024-06-01 00:00:00"), (None, 13, "2024-06-01 00:00:00")], [(4, 14, "2020-01-01 00:00:00"), (1, 8, "2020-01-01 00:00:00")]]
+    for i, rows in enumerate(files):
+        df = spark.createDataFrame(rows, "user_id int, event_id int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+        df.coalesce(1).write.parquet(f"{src}/f={i}")
+        schema = df.schema
+    out = stream_score(spark, src, schema, lambda d: d.select("user_id", "event_id"), f"{tmp_shared}/late-store",
+                       f"{tmp_shared}/late-ckpt", tie="event_id", max_files_per_trigger=1)
+    got = {(r.user_id, r.event_id) for r in out.collect()}
+    assert {k for k, _ in got} == {1, 2, 3, 4, None} and len(got) == 5 and (2, 9) in got
+
+
+def test_splits_keep_rows_without_a_label(spark):
+    from strata.operators.split import stratified_folds, stratified_split
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 2) for i in range(40)], "k long, y int")
+    exact = stratified_split(df, "y", "k", 0.25)
+    assert exact.count() == 40 and exact.where("y IS NULL AND split = 'test'").count() == 2
+    assert stratified_folds(df, "y", "k", 4).count() == 40
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    import pytest
+
+    from strata import session
+
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self):
+            return None
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_merge_target_grows_with_rows_not_pairs(spark):
+    from strata.operators.joins import merge_target
+    raw = spark.createDataFrame([(None, 1, float(i)) for i in range(50)], "entity_id string, period int, x double")
+    tgt = spark.createDataFrame([(None, 1, 7.9 + i) for i in range(50)], "entity_id string, period int, target double")
+    out = merge_target(raw, tgt)
+    assert out.count() == 50 and {r.target for r in out.collect()} == {7}
+
+
+def test_numbers_that_hold(spark):
+    from strata.functions.exprs import quantize
+    from strata.operators.features import one_hot
+    from strata.operators.metrics import regression_metrics, roc_curve
+    from strata.operators.profile import nullity_correlation
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (0.5,), (None,)], "x double")
+    assert [r[0] for r in df.select(quantize("x")).collect()] == [8, 0, 4, None]
+    flat = spark.createDataFrame([(2.0, 2.0), (2.0, 3.0)], "y double, prediction double")
+    assert regression_metrics(flat).first()["r2"] == 0.0
+    cats = one_hot(spark.createDataFrame([("a",), (None,)], "c string"), ["c"]).collect()
+    assert sorted(r["c_a"] for r in cats) == [0, 1]
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None)], "y int, score double")
+    assert roc_curve(scored).agg(F.max("tpr")).first()[0] == 1.0
+    many = spark.createDataFrame([(None, 1), (1, None), (None, None), (1, 1)], "a int, b int")
+    assert nullity_correlation(many).where("col_a = 'a' AND col_b = 'b'").first()["corr"] == 0.0
+
+
+def test_record_sink_appends_only_new_keys(spark, tmp_shared):
+    from strata.sources import sink_predictions
+    new = lambda ks: spark.createDataFrame([(k, 1.0, 2.0, 3.0, 4.0) for k in ks],
+                                           "client_id string, income double, expenses double, debt double, assets double")
+    path = f"{tmp_shared}/records"
+    sink_predictions(spark, path, new(["a", "b", "b"]))
+    first = spark.read.parquet(path).inputFiles()
+    out = sink_predictions(spark, path, new(["b", "c"]))
+    assert sorted((r.client_id, r.id) for r in out.collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    assert set(first) <= set(out.inputFiles())

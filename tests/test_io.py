@@ -63,3 +63,26 @@ def test_validate_columns_and_processed(spark, tmp_shared):
     df.write.parquet(tmp_shared)
     assert validate_processed(spark, tmp_shared, "a") and not validate_processed(spark, tmp_shared, "z")
     assert not validate_processed(spark, tmp_shared + "-missing", "a")
+
+
+def test_csv_dialect_of_pandas(spark, tmp_path):
+    """Doubled quotes, commas, line feeds in quotes and outer spaces, as pandas writes them."""
+    import pandas as pd
+    rows = pd.DataFrame({"k": [1, 2, 3, 4], "t": ['a "q" b, c', "x\ny", " lead and trail ", "back\\slash"]})
+    rows.to_csv(tmp_path / "f.csv", index=False)
+    back = scan_csv(spark, f"file://{tmp_path}/f.csv", schema="k int, t string").orderBy("k").collect()
+    assert [r.t for r in back] == rows["t"].tolist()
+    sink_csv(spark.createDataFrame(rows), f"file://{tmp_path}/out")
+    again = scan_csv(spark, f"file://{tmp_path}/out", schema="k int, t string").orderBy("k").collect()
+    assert [r.t for r in again] == rows["t"].tolist()
+
+
+def test_registry_never_overwrites_a_version(spark, tmp_shared):
+    """A lost index doesn't make the next save overwrite a stored version."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="f")]).fit(spark.createDataFrame([(1.0,)], "x double"))
+    save_model_version(spark, model, tmp_shared, "m")
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{tmp_shared}/_index")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    assert save_model_version(spark, model, tmp_shared, "m")[0] == 2

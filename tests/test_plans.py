@@ -19,7 +19,7 @@ def test_no_python_udf_in_hot_path(spark, name):
 def test_impute_shares_one_window_sort_per_step(spark):
     from strata.operators.impute import impute_panel
     from strata.sources import fixtures as fx
-    df = impute_panel(fx.panel(spark, SF_SMALL), median_method="exact", materialize=False)
+    df = impute_panel(fx.panel(spark, SF_SMALL), materialize=False)
     txt = df._jdf.queryExecution().executedPlan().toString()
     sorts = [l for l in txt.splitlines() if "Sort [entity_id" in l]
     windows = [l for l in txt.splitlines() if "Window [" in l]

@@ -64,7 +64,7 @@ def test_s6_coercion_like_to_numeric(spark, text, expected):
 def test_s7_median_averages_middle_values(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double")
     assert column_medians(df, ["x"]).first()["x"] == 2.5
-    assert column_medians(df, ["x"], method="bracket", max_exact_rows=1).first()["x"] == 2.5
+    assert column_medians(df.limit(0), ["x"]).first()["x"] is None
 
 
 def test_s8_population_sd_and_constant_column(spark):
