@@ -24,6 +24,9 @@ from ..functions.stats import global_index
 from ..session import reliable_checkpoint
 
 
+GRID_COLS = 3
+
+
 def thin_duplicates(points: DataFrame, cols: list[str], key: str, keep: int) -> DataFrame:
     """Keep at most ``keep`` copies (smallest keys) of every distinct coordinate tuple.
 
@@ -49,26 +52,28 @@ def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str
     ``points``: (key, *cols); ``seeds``: (seed_id, key, *cols).  Returns (seed_id, _rnk 1..k,
     n_<col> for each col).
 
-    Level L uses cubic cells of width h * 4^L.  A pending seed is joined (equi-join on cell
-    ids) with the rows of the 3^d cells around its own cell; its k best candidates are
+    Level L uses cubic cells of width h * 4^L over the (at most ``GRID_COLS``) columns of largest span;
+    distances use all columns.  A pending seed is joined (equi-join on cell ids) with the rows of the
+    3^g cells around its own cell, g the number of gridded columns; its k best candidates are
     certified when the k-th distance is at most the cell width (any row outside the block
     is farther) or when one cell spans the whole data.  The block of level L contains the
     block of level L-1, so every level starts afresh and only uncertified seeds go on.
     """
-    d = len(cols)
     points = thin_duplicates(points, cols, key, k + 1)
     st = points.agg(F.count(F.lit(1)).alias("n"),
                     *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                     *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
     n = st["n"]
-    spans = [max(float(st[f"hi{i}"] - st[f"lo{i}"]), 0.0) for i in range(d)]
-    live = [v for v in spans if v > 0]
+    spans = [max(float(st[f"hi{i}"] - st[f"lo{i}"]), 0.0) for i in range(len(cols))]
+    # a row outside the block differs by more than the cell width in a gridded column, so few columns suffice
+    grid = sorted(sorted(range(len(cols)), key=lambda i: -spans[i])[:GRID_COLS])
+    live = [spans[i] for i in grid if spans[i] > 0]
     per_cell = target_per_cell or float(4 * (k + 1))
     h0 = (math.prod(live) * per_cell / max(n, 1)) ** (1.0 / len(live)) if live else 1.0
     h0 = max(h0, (max(live) if live else 1.0) / 2 ** 40)
-    lo = [float(st[f"lo{i}"]) for i in range(d)]
+    lo = {i: float(st[f"lo{i}"]) for i in grid}
     max_span = max(spans) if spans else 0.0
-    block = F.array(*[F.array(*[F.lit(v) for v in o]) for o in itertools.product((-1, 0, 1), repeat=d)])
+    block = F.array(*[F.array(*[F.lit(v) for v in o]) for o in itertools.product((-1, 0, 1), repeat=len(grid))])
     d2 = sum(((F.col(f"p_{c}") - F.col(f"s_{c}")) * (F.col(f"p_{c}") - F.col(f"s_{c}")) for c in cols), F.lit(0.0))
     pts0 = points.select(F.col(key).alias("_pkey"), *[F.col(c).alias(f"p_{c}") for c in cols])
     pending = seeds.select(F.col(seed_id).alias("_sid"), F.col(key).alias("_skey"),
@@ -76,13 +81,13 @@ def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str
     done = []
     for level in range(max_levels):
         h = h0 * (4.0 ** level)
-        pts = pts0.select("*", *[F.floor((F.col(f"p_{c}") - F.lit(lo[i])) / F.lit(h)).cast("long").alias(f"c{i}")
-                                 for i, c in enumerate(cols)])
+        pts = pts0.select("*", *[F.floor((F.col(f"p_{cols[i]}") - F.lit(lo[i])) / F.lit(h)).cast("long").alias(f"c{i}")
+                                 for i in grid])
         probe = pending.select("*", F.explode(block).alias("_o")).select(
             "_sid", "_skey", *[f"s_{c}" for c in cols],
-            *[(F.floor((F.col(f"s_{c}") - F.lit(lo[i])) / F.lit(h)).cast("long") + F.col("_o")[i]).alias(f"c{i}")
-              for i, c in enumerate(cols)])
-        cand = (probe.join(pts, [f"c{i}" for i in range(d)])
+            *[(F.floor((F.col(f"s_{cols[i]}") - F.lit(lo[i])) / F.lit(h)).cast("long") + F.col("_o")[j]).alias(f"c{i}")
+              for j, i in enumerate(grid)])
+        cand = (probe.join(pts, [f"c{i}" for i in grid])
                 .where(F.col("_pkey") != F.col("_skey"))
                 .select("_sid", "_pkey", d2.alias("_d2"), *[f"p_{c}" for c in cols]))
         w = Window.partitionBy("_sid").orderBy("_d2", "_pkey")

@@ -12,14 +12,27 @@ Model equivalents (only Spark ML is available):
 """
 from __future__ import annotations
 
+import logging
+import math
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
+log = logging.getLogger(__name__)
+
 FEATURES_COL = "features"
 
-BOOSTED_PARAM_MAP = {"learning_rate": "stepSize", "n_estimators": "maxIter", "max_depth": "maxDepth",
-                     "subsample": "subsamplingRate", "gamma": "minInfoGain", "seed": "seed",
-                     "min_samples_leaf": "minInstancesPerNode", "max_bins": "maxBins"}
+#: One mapping for training and tuning.  What Spark's trees lack (leaf penalties, bags) is reported, not applied.
+PARAM_MAP = {"learning_rate": "stepSize", "n_estimators": "maxIter", "max_depth": "maxDepth",
+             "subsample": "subsamplingRate", "gamma": "minInfoGain", "seed": "seed",
+             "min_samples_leaf": "minInstancesPerNode", "max_bins": "maxBins",
+             "colsample_bytree": "featureSubsetStrategy", "num_leaves": "maxDepth"}
+UNMAPPED = ("reg_alpha", "reg_lambda", "outer_bags", "inner_bags")
+MAX_DEPTH = 30  # Spark's bound; a depth of None means no bound
 
 
 def assembler(cols: list[str], out: str = FEATURES_COL):
@@ -27,14 +40,37 @@ def assembler(cols: list[str], out: str = FEATURES_COL):
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep")
 
 
-def _apply_params(est, params: dict | None):
+def spark_params(kind: str, params: dict | None) -> tuple[dict, dict]:
+    """(Spark ML parameters, parameters without a counterpart) of a draw from a search space.
+
+    ``kind`` is ``boosted``, ``additive`` or ``forest``.  Prefixes like ``model__`` are dropped.  ``num_leaves`` n bounds
+    the depth by ceil(log2 n); of several depths the smallest holds.
+    """
+    out, unmapped = {}, {}
     for k, v in (params or {}).items():
-        name = BOOSTED_PARAM_MAP.get(k, k)
-        if name == "featureSubsetStrategy" or k == "colsample_bytree":
-            est.set(est.getParam("featureSubsetStrategy"), str(float(v)))
+        k = k.rpartition("__")[2]
+        name = "numTrees" if k == "n_estimators" and kind == "forest" else PARAM_MAP.get(k, k)
+        if k in UNMAPPED or (kind == "additive" and name == "maxDepth"):
+            unmapped[k] = v
             continue
-        if name in ("maxIter", "maxDepth", "minInstancesPerNode", "maxBins", "seed", "numTrees"):
+        if name == "featureSubsetStrategy":
+            v = str(min(1.0, float(v))) if not isinstance(v, str) else v
+        elif name == "maxDepth":
+            v = MAX_DEPTH if v is None else math.ceil(math.log2(v)) if k == "num_leaves" else int(v)
+            v = min(MAX_DEPTH, v, out.get("maxDepth", MAX_DEPTH))
+        elif name == "subsamplingRate":
+            v = min(1.0, float(v))
+        elif name in ("maxIter", "minInstancesPerNode", "maxBins", "seed", "numTrees"):
             v = int(v)
+        out[name] = v
+    return out, unmapped
+
+
+def _apply_params(est, kind: str, params: dict | None):
+    known, unmapped = spark_params(kind, params)
+    if unmapped:
+        log.info("parameters without a counterpart in Spark ML: %s", unmapped)
+    for name, v in known.items():
         est.set(est.getParam(name), v)
     return est
 
@@ -57,16 +93,14 @@ def train_boosted(df: DataFrame, label: str, features: list[str], params: dict |
     if pos_weight is not None:
         df = with_class_weight(df, label, pos_weight)
         est.setWeightCol("_weight")
-    return _fit(df, label, features, _apply_params(est, params))
+    return _fit(df, label, features, _apply_params(est, "boosted", params))
 
 
 def train_additive(df: DataFrame, label: str, features: list[str], params: dict | None = None, seed: int = 42):
     """H7: boosted stumps (maxDepth 1) – an additive model of one-feature terms."""
     from pyspark.ml.classification import GBTClassifier
     est = GBTClassifier(labelCol=label, featuresCol=FEATURES_COL, seed=seed, maxIter=20, maxDepth=1)
-    p = dict(params or {})
-    p.pop("max_depth", None)
-    return _fit(df, label, features, _apply_params(est, p))
+    return _fit(df, label, features, _apply_params(est, "additive", params))
 
 
 def train_forest_regressor(df: DataFrame, label: str, features: list[str], params: dict | None = None,
@@ -74,8 +108,7 @@ def train_forest_regressor(df: DataFrame, label: str, features: list[str], param
     """H8: random-forest regression."""
     from pyspark.ml.regression import RandomForestRegressor
     est = RandomForestRegressor(labelCol=label, featuresCol=FEATURES_COL, seed=seed, numTrees=20, maxDepth=5)
-    p = {("numTrees" if k == "n_estimators" else k): v for k, v in (params or {}).items()}
-    return _fit(df, label, features, _apply_params(est, p))
+    return _fit(df, label, features, _apply_params(est, "forest", params))
 
 
 def train_boosted_regressor(df: DataFrame, label: str, features: list[str], params: dict | None = None,
@@ -84,7 +117,7 @@ def train_boosted_regressor(df: DataFrame, label: str, features: list[str], para
     from pyspark.ml.regression import GBTRegressor
     est = GBTRegressor(labelCol=label, featuresCol=FEATURES_COL, seed=seed, lossType="absolute",
                        maxIter=20, maxDepth=3)
-    return _fit(df, label, features, _apply_params(est, params))
+    return _fit(df, label, features, _apply_params(est, "boosted", params))
 
 
 def train_linear(df: DataFrame, label: str, features: list[str]):
@@ -172,8 +205,9 @@ def stump_attributions(df: DataFrame, model, features: list[str], keys: list[str
 
 
 def tune(df: DataFrame, label: str, features: list[str], kind: str, param_maps: list[dict], fold_col: str,
-         metric: str = "areaUnderROC", parallelism: int = 4, seed: int = 42):
-    """Best mean cross-validated score over the param maps, refit on all rows.
+         metric: str = "areaUnderROC", parallelism: int = 4, seed: int = 42, pos_weight: float | None = None):
+    """Best mean cross-validated score over the param maps, refit on all rows.  The area under the curve is
+    exact (no bins); ``pos_weight`` weighs positive rows in the fits.
 
     Folds come from a column (G3), so the split is reproducible; fits run as concurrent
     Spark jobs (``parallelism``).
@@ -186,13 +220,16 @@ def tune(df: DataFrame, label: str, features: list[str], kind: str, param_maps:
     if kind in ("xgb", "lgbm", "ebm"):
         est = GBTClassifier(labelCol=label, featuresCol=FEATURES_COL, seed=seed,
                             maxDepth=1 if kind == "ebm" else 3, maxIter=10)
-        ev = BinaryClassificationEvaluator(labelCol=label, metricName=metric)
+        ev = BinaryClassificationEvaluator(labelCol=label, metricName=metric, numBins=0)
+        if pos_weight is not None:
+            df = with_class_weight(df, label, pos_weight)
+            est.setWeightCol("_weight")
     else:
         est = RandomForestRegressor(labelCol=label, featuresCol=FEATURES_COL, seed=seed, numTrees=10)
         ev = RegressionEvaluator(labelCol=label, metricName="r2")
+    family = {"xgb": "boosted", "lgbm": "boosted", "ebm": "additive"}.get(kind, "forest")
     grid = ParamGridBuilder().build() if not param_maps else [
-        {est.getParam(BOOSTED_PARAM_MAP.get(k, "numTrees" if k == "n_estimators" and kind not in ("xgb", "lgbm", "ebm") else k)):
-         (int(v) if isinstance(v, int) else v) for k, v in pm.items()} for pm in param_maps]
+        {est.getParam(k): v for k, v in spark_params(family, pm)[0].items()} for pm in param_maps]
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
                         parallelism=parallelism, seed=seed)
     data = assembler(features).transform(df).withColumn(fold_col, F.col(fold_col).cast("int"))
@@ -211,7 +248,7 @@ def permutation_importance(df: DataFrame, model, features: list[str], label: str
     from ..functions.exprs import hash_uniform
     from ..functions.stats import global_index
     if kind == "classifier":
-        ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
+        ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", numBins=0)
     else:
         ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
     data = df.select(key, label, *features)
@@ -227,7 +264,7 @@ def permutation_importance(df: DataFrame, model, features: list[str], label: str
 
 
 def tune_expanding(df: DataFrame, label: str, features: list[str], param_maps: list[dict], folds: DataFrame,
-                   period: str = "period", kind: str = "forest", seed: int = 42):
+                   period: str = "period", kind: str = "forest", seed: int = 42, parallelism: int = 4):
     """G7 with expanding time folds (G4): ``CrossValidator(foldCol)`` cannot express a
     training set that grows with the fold, so each (param map, fold) pair is fitted on the
     fold's past periods and scored (R^2) on its next block; the best map is refit on all rows.
@@ -235,15 +272,20 @@ def tune_expanding(df: DataFrame, label: str, features: list[str], param_maps: l
     from pyspark.ml.evaluation import RegressionEvaluator
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
     build = {"forest": train_forest_regressor, "boosted": train_boosted_regressor}[kind]
-    tagged = df.join(F.broadcast(folds), period)   # fold table: one row per (fold, period)
+    path = scratch_path(df.sparkSession, "folds")
+    df.join(folds, period).write.partitionBy("fold", "role").parquet(path)  # each fit reads its own rows
+    tagged = df.sparkSession.read.parquet(path)
     fold_ids = sorted(r[0] for r in folds.select("fold").distinct().collect())
-    scores = []
-    for i, pm in enumerate(param_maps):
-        vals = []
-        for f in fold_ids:
-            part = tagged.where(F.col("fold") == f)
-            model = build(part.where(F.col("role") == "train"), label, features, pm, seed=seed)
-            vals.append(ev.evaluate(model.transform(part.where(F.col("role") == "test"))))
-        scores.append((i, sum(vals) / len(vals)))
+
+    def score(task):
+        pm, f = task
+        part = tagged.where(F.col("fold") == f)
+        model = build(part.where(F.col("role") == "train"), label, features, pm, seed=seed)
+        return ev.evaluate(model.transform(part.where(F.col("role") == "test")))
+
+    with ThreadPool(parallelism) as pool:  # concurrent Spark jobs
+        got = pool.map(inheritable_thread_target(df.sparkSession)(score), [(pm, f) for pm in param_maps for f in fold_ids])
+    n = len(fold_ids)
+    scores = [(i, sum(got[i * n:(i + 1) * n]) / n) for i in range(len(param_maps))]
     best = max(scores, key=lambda t: t[1])[0]
     return build(df, label, features, param_maps[best], seed=seed), scores

@@ -1029,8 +1029,8 @@ def q_forecast_ml(spark, sf):
 def q_train_pipeline(spark, sf):
     from ..operators.workflow import train_pipeline
     res = train_pipeline(fx.doc_classes(spark, sf), "toxic", ["n_chars", "n_words", "n_lines"], "doc_id",
-                         model="xgb", param_maps=[{"max_depth": 2, "n_estimators": 5}], folds=3,
-                         registry_root=None)
+                         model="xgb", param_maps=[{"max_depth": 2, "n_estimators": 5}], folds=5,
+                         registry_root=scratch_path(spark, "models"))
     return res.metrics
 
 
