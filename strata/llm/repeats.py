@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 
 from strata.llm import anchors
 from strata.llm.common import flat, null_safe, written
-from strata.llm.words import _TABLE, words
+from strata.llm.words import words
 
 _LAST = (1 << 63) - 1
 VERDICT = ["anchor", "content", "k", "n"]
 
 
 def items(column: pa.Array, unit: str) -> tuple[np.ndarray, np.ndarray]:
-    """Items of all texts of a batch (hashes of words, or of bytes) and where each text's items begin."""
+    """Items of all texts of a batch (hashes of words, or bytes) and where each text's items begin."""
     data, at = flat(column)
     if unit == "words":
         hashes, _, _, first = words(data, at, lower=False)
         return hashes, first
-    return _TABLE[data[at[0]:at[-1]]], at - at[0]
+    return data[at[0]:at[-1]], at - at[0]
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:

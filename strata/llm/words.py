@@ -52,24 +52,40 @@ def range_hashes(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray, salt: i
     return mix((prefix[end] - prefix[begin]) * down[begin] + (end - begin).astype(np.uint64), salt)
 
 
-def words(data: np.ndarray, at: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: Bytes hashed at once; bounds memory whatever the lengths of texts.
+CHUNK = 1 << 20
+
+
+def words(data: np.ndarray, at: np.ndarray, lower: bool, chunk: int = CHUNK):
     """Hash, begin and end (bytes) of each word, and where each text's words begin (one more at the end).
 
     Words are runs without the six ASCII space characters; ``at`` holds where texts begin in ``data``."""
     lo, hi = int(at[0]), int(at[-1])
-    if lo == hi:
+    parts = []
+    while lo < hi:
+        to = min(hi, lo + chunk)
+        while to < hi and not _SPACE[data[to]]:  # up to the next space, so that no word is cut
+            ahead = np.flatnonzero(_SPACE[data[to:min(hi, to + 4096)]])
+            to = to + int(ahead[0]) if len(ahead) else min(hi, to + 4096)
+        parts.append(_words(data, lo, to, at[np.searchsorted(at, lo):np.searchsorted(at, to)], lower))
+        lo = to
+    if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+    hashes, begin, end = (np.concatenate(p) for p in zip(*parts))
+    return hashes, begin, end, np.searchsorted(begin, at)
+
+
+def _words(data: np.ndarray, lo: int, hi: int, inner: np.ndarray, lower: bool):
+    """Words of ``data[lo:hi]``; a text begins at each of ``inner``."""
     part = data[lo:hi]
     space = _SPACE[part]
-    first = at[:-1][np.diff(at) > 0] - lo
-    starts = ~space
+    starts, ends = ~space, ~space
     starts[1:] &= space[:-1]
+    ends[:-1] &= space[1:]
+    first = inner - lo
     starts[first] = ~space[first]
-    ends = np.zeros(len(part), bool)
-    ends[:-1] = ~space[:-1] & space[1:]
-    ends[-1] = not space[-1]
-    last = first[1:] - 1
-    ends[last] |= ~space[last]
+    last = first[first > 0] - 1
+    ends[last] = ~space[last]
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     prefix = prefix_hashes(_TABLE[_LOWER[part] if lower else part])
-    return range_hashes(prefix, begin, end), begin + lo, end + lo, np.searchsorted(begin, at - lo)
+    return range_hashes(prefix, begin, end), begin + lo, end + lo
