@@ -795,8 +795,9 @@ FROM f, lin WHERE spend_lag1 IS NOT NULL"""))
 def q_attributions_linear(spark, sf):
     from ..operators.forecast import LinearModel
     from ..operators.models import linear_attributions
-    fdf = fx.forecast_base(spark, sf).where(F.col("spend_lag1").isNotNull())
-    row, _ = _lin_model(fx.forecast_base(spark, sf))
+    base = fx.forecast_base(spark, sf)
+    fdf = base.where(F.col("spend_lag1").isNotNull())
+    row, _ = _lin_model(base)
     model = LinearModel(row["a"], {"spend_lag1": row["b"], "units": row["g"]})
     out = linear_attributions(fdf, model, ["entity_id", "period"])
     return out.withColumn("contribution", fround("contribution", 4))
