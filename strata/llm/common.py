@@ -92,6 +92,27 @@ def null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -
     return a.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+_MAP = 1 << 15
+
+
+def marked(df: DataFrame, keys: list[F.Column], wanted: DataFrame, wanted_keys: list[F.Column], name: str = "_maybe",
+           bits: int = 26) -> DataFrame:
+    """``df`` with ``name``: false where the keys are certainly not among those of ``wanted``.
+
+    A bitmap of 2**``bits`` hash values, at most 8 MB whatever the number of keys, goes to all tasks, so rows
+    that don't concern a following join needn't be shuffled for it.  The join itself stays exact.
+    """
+    spot = lambda k: F.pmod(F.xxhash64(*k), F.lit(1 << bits))
+    maps = (wanted.select(spot(wanted_keys).alias("_h")).groupBy(F.floor(F.col("_h") / _MAP).alias("_bucket"))
+            .agg(F.bitmap_construct_agg((F.col("_h") % _MAP)).alias("_bits")))
+    at = F.col("_h") % _MAP
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (df.withColumn("_h", spot(keys)).withColumn("_bucket", F.floor(F.col("_h") / _MAP))
+            .join(F.broadcast(maps), "_bucket", "left")
+            .withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)))
+            .drop("_h", "_bucket", "_bits"))
+
+
 def sorted_names(df: DataFrame, keys: list[str], tie: str, out: str, table: str) -> DataFrame:
     """Integer names of key tuples, equal exactly when the keys are equal.
 

@@ -6,16 +6,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop_path, flat, load, null_safe, row_id, ship, written, written_path
+from strata.llm.common import flat, load, marked, null_safe, row_id, ship, written
 from strata.llm.components import components
 from strata.llm.words import mix, range_hashes, prefix_hashes, words
 
 #: What a place in an inverted list costs beside a subset: it is read, probed and often verified.
 LIST_COST = 4
 _LARGEST_SMALL = 48
+#: Words of 64 bits in a set's sketch.
+SKETCH = 8
 
 
 class Plan:
@@ -121,6 +123,15 @@ def _sets(batch_column, n_words: int):
             yield range_hashes(prefix, np.array([a]), np.array([b])) if b > a else np.zeros(0, np.uint64)
 
 
+def sketch(s: np.ndarray) -> list[int]:
+    """One bit for each of ``SKETCH`` * 64 hash values: how often, odd or even, an element of the set has it.  Two sets
+    differ in at least as many elements as bits."""
+    at = mix(s, 55) % np.uint64(64 * SKETCH)
+    odd = np.bincount(at.astype(np.int64), minlength=64 * SKETCH).astype(np.uint64) & np.uint64(1)
+    words = (odd.reshape(SKETCH, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    return words.view(np.int64).tolist()
+
+
 def _identity(s: np.ndarray) -> tuple[int, int]:
     return (int(mix(s, 901).sum(dtype=np.uint64).astype(np.int64)), int(mix(s, 902).sum(dtype=np.uint64).astype(np.int64)))
 
@@ -136,8 +147,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Small sets name all their subsets of the size that a partner must share; large sets name bundles of
     elements, and the sets of each inverted list meet; the boundary is the size at which the total cost by
-    measured numbers of sets is least.  Within a list, a few pivots meet the others, links are merged into
-    components, and rounds with four times the pivots go on only while a list holds untested members of
+    measured numbers of sets is least.  Sets meet only if their parity sketches don't prove them too different.
+    In a list, a few pivots (those with the longest lists, so the centres of crowds) meet the others, links are
+    merged into components, and rounds with more pivots go on only while a list holds untested members of
     different components: so a crowd of near copies is linked by about as many pairs as it has members, and no
     link between components is lost.  Candidates are verified on whole sets.
 
@@ -159,27 +171,36 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def name(batches):
         for batch in batches:
-            n, h1, h2, keys = [], [], [], []
+            n, h1, h2, keys, sketches = [], [], [], [], []
             for s in _sets(batch.column("_t"), n_words):
                 a, b = _identity(s)
                 n.append(len(s))
                 h1.append(a)
                 h2.append(b)
+                sketches.append(sketch(s))
                 keys.append(plan.keys(s, small).view(np.int64) if len(s) else np.zeros(0, np.int64))
             at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             flat_keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()),
-                 pa.array(h2, pa.int64()), pa.ListArray.from_arrays(pa.array(at), pa.array(flat_keys))],
-                names=["_row", "doc_id", "n", "h1", "h2", "keys"])
-
-    named, named_path = written_path(
-        source.mapInArrow(name, f"_row bigint, doc_id {kind}, n bigint, h1 bigint, h2 bigint, keys array<bigint>"), "sets")
-    facts = written(named.select("_row", "doc_id", "n", "h1", "h2"), "set_facts")
-    classes = written(facts.where("n > 0").groupBy("n", "h1", "h2").agg(
+                 pa.array(h2, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
+                 pa.ListArray.from_arrays(pa.array(at), pa.array(flat_keys))],
+                names=["_row", "doc_id", "n", "h1", "h2", "sk", "keys"])
+
+    named = written(
+        source.mapInArrow(name, f"_row bigint, doc_id {kind}, n bigint, h1 bigint, h2 bigint, sk array<bigint>, "
+                          "keys array<bigint>"), "sets")
+    facts = named.select("_row", "doc_id", "n", "h1", "h2")
+    classes = written(named.where("n > 0").groupBy("n", "h1", "h2").agg(
         F.min("_row").alias("class_row"), F.min_by("doc_id", "_row").alias("class_doc"),
-        F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")), "classes")
-    heads = named.join(classes.select("class_row", F.col("n").alias("_n")), F.col("_row") == F.col("class_row"), "left_semi")
+        F.min("doc_id").alias("least_id"), F.first("n").alias("size"), F.min_by("sk", "_row").alias("sk"),
+        F.count(F.lit(1)).alias("copies")), "classes")
+    # Copies, all but one of a class, take no part; most documents are surely none and need no join to know it.
+    copies = written(facts.where("n > 0").join(classes.where("copies > 1").select("n", "h1", "h2", "class_row"), ["n", "h1", "h2"])
+                     .where("_row <> class_row").select("_row", "doc_id"), "copies")
+    told = marked(named.select("_row", "keys"), [F.col("_row")], copies, [F.col("_row")])
+    heads = told.where(~F.col("_maybe")).unionByName(told.where("_maybe").join(copies.select("_row"), "_row", "left_anti")
+                                                     .select(*told.columns))
 
     def lists(batches):
         """Entries of lists with two members or more, with their place in the list; input sorted by (key, row)."""
@@ -214,11 +235,29 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     entries = (heads.select(F.explode("keys").alias("key"), F.col("_row").alias("row"))
                .repartition("key").sortWithinPartitions("key", "row"))
-    members = written(entries.mapInArrow(lists, "key bigint, row bigint, place bigint"), "lists")
-    drop_path(spark, named_path)
-
-    # Sets of the documents that are in a list, read again from their texts.
-    wanted = written(members.select("row").distinct().join(classes, F.col("row") == F.col("class_row")).select(
+    members = written(entries.mapInArrow(lists, "key bigint, row bigint, place bigint").select("key", "row"), "lists")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("row").alias("a"), F.max("row").alias("b"))
+    sizes = written(sizes, "list_sizes")
+    about = classes.select(F.col("class_row").alias("row"), "size", "sk")
+    a, b = (about.select(*[F.col(c).alias(f"{c}_{x}") for c in about.columns]) for x in "ab")
+    # Two sets of sizes m and n with enough in common differ in at most this many elements.
+    spread = F.floor((F.col("size_a") + F.col("size_b")) * (100 - percent) / (100 + percent))
+    differ = sum((F.bit_count(F.col("sk_a")[i].bitwiseXOR(F.col("sk_b")[i])) for i in range(SKETCH)), F.lit(0))
+    near = (differ <= spread) & (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+    couples = sizes.where("members = 2").select(F.col("a").alias("row_a"), F.col("b").alias("row_b")).distinct()
+    couples = written(couples.join(a, "row_a").join(b, "row_b").where(near).select(
+        F.col("row_a").alias("a"), F.col("row_b").alias("b")), "couples")
+    # Longer lists, the members with most company first.
+    crowds = members.join(sizes.where("members > 2").select("key", "members"), "key")
+    company = crowds.groupBy("row").agg(F.sum("members").alias("company"))
+    order = Window.partitionBy("key").orderBy(F.desc("company"), "row")
+    crowds = written(crowds.join(company, "row").join(about, "row").select(
+        "key", "row", "size", "sk", (F.row_number().over(order) - 1).alias("place")), "crowds")
+
+    # Sets of the documents that can be paired, read again from their texts.
+    paired = couples.select(F.col("a").alias("row")).unionByName(couples.select(F.col("b").alias("row"))).unionByName(
+        crowds.select("row")).distinct()
+    wanted = written(paired.join(classes, F.col("row") == F.col("class_row")).select(
         "class_row", "class_doc", F.col("n").alias("_n"), "h1", "h2"), "wanted")
 
     def sets(batches):
@@ -231,43 +270,52 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column("doc_id"), pa.array([i[0] for i in ids], pa.int64()), pa.array([i[1] for i in ids], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(at), pa.array(every))], names=["class_doc", "h1", "h2", "s"])
 
-    texts = source.select("doc_id", "_t").alias("t").join(
-        wanted.select("class_doc").distinct().alias("w"), F.col("t.doc_id").eqNullSafe(F.col("w.class_doc")), "left_semi")
+    texts = marked(source.select("doc_id", "_t"), [F.col("doc_id")], wanted, [F.col("class_doc")]).where("_maybe").select(
+        "doc_id", "_t").alias("t").join(wanted.select("class_doc").distinct().alias("w"),
+                                        F.col("t.doc_id").eqNullSafe(F.col("w.class_doc")), "left_semi")
     found = texts.mapInArrow(sets, f"class_doc {kind}, h1 bigint, h2 bigint, s array<bigint>")
     content = written(null_safe(wanted, found, ["class_doc", "h1", "h2"]).select("class_row", "s")
                       .dropDuplicates(["class_row"]), "contents")
 
-    edges = tested = None
-    roots, done, pivots = None, 0, 1
+    edges = roots = None
+    tested, done, pivots = couples, 0, 1
     while True:
-        live = members.where(F.col("place") >= done)
+        live = crowds.where(F.col("place") >= done)
         if roots is not None:
             live = live.join(roots, F.col("row") == F.col("node"), "left").withColumn(
                 "root", F.coalesce("root", "row")).drop("node")
-            mixed = live.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo < _hi")
-            live = live.join(mixed.select("key"), "key", "left_semi")
         else:
             live = live.withColumn("root", F.col("row"))
-        lead = live.where(F.col("place") < done + pivots).select(
-            "key", F.col("row").alias("a"), F.col("place").alias("_p"), F.col("root").alias("_r"))
-        pairs = lead.join(live, "key").where((F.col("place") > F.col("_p")) & (F.col("root") != F.col("_r"))).select(
-            F.least("a", "row").alias("a"), F.greatest("a", "row").alias("b")).distinct()
-        if tested is not None:
+        ends = live.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"),
+                                       F.max("place").alias("_last")).where("_lo < _hi")
+        left = ends.agg(F.max("_last")).first()[0]
+        if left is None and edges is not None:
+            break
+        side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("row", "size", "sk", "place", "root")]
+        open_ = live.join(ends.select("key"), "key", "left_semi")
+        lead = open_.where(F.col("place") < done + pivots).select(F.col("key").alias("_key"), *side("a"))
+        met = lead.join(open_.select("key", *side("b")), (F.col("_key") == F.col("key")) & (F.col("place_b") > F.col("place_a"))
+                        & (F.col("root_a") != F.col("root_b")) & near)
+        pairs = met.select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b")).distinct()
+        if done:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            left = roots is None or live.where(F.col("place") >= done + pivots).isEmpty()
-            if left:
-                break
         else:
-            one = pairs.join(content.select(F.col("class_row").alias("a"), F.col("s").alias("sa")), "a")
-            two = one.join(content.select(F.col("class_row").alias("b"), F.col("s").alias("sb")), "b")
+            pairs = pairs.unionByName(couples).distinct()
+        pairs = written(pairs, "pairs")
+        if edges is None or not pairs.isEmpty():
+            ids = pairs.select(F.col("a").alias("class_row")).unionByName(pairs.select(F.col("b").alias("class_row"))).distinct()
+            some = marked(content, [F.col("class_row")], ids, [F.col("class_row")]).where("_maybe")
+            one = pairs.join(some.select(F.col("class_row").alias("a"), F.col("s").alias("sa")), "a")
+            two = one.join(some.select(F.col("class_row").alias("b"), F.col("s").alias("sb")), "b")
             common = F.size(F.array_intersect("sa", "sb"))
             good = written(two.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"), "edges")
             edges = good if edges is None else edges.unionByName(good)
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            roots = written(components(edges), "roots")
-        done, pivots = done + pivots, pivots * 4
+            tested = pairs if not done else tested.unionByName(pairs)
+            if not good.isEmpty():
+                roots = written(components(edges), "roots")
+        done, pivots = done + pivots, pivots * 8
+        if left is None or left < done:
+            break
 
     own = facts.join(classes.select("n", "h1", "h2", "class_row", "least_id"), ["n", "h1", "h2"], "left")
     if roots is None:
