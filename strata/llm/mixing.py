@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from strata.functions.stats import global_index
 from strata.llm.common import WORD, load, null_safe, row_id, ship, written
 
-GROUP_ROWS = 20_000
+GROUP_ROWS = 2_000
 SEED = 17
 #: Units kept for the landing of a source, each at least the largest unit / SPARE_PART long.
 SPARE, SPARE_PART = 64, 50
