@@ -8,22 +8,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import load, null_safe, ship, written
-from strata.llm.repeats import (content_classes, identified, level_wise, removed_runs, segment_table, windows_of, with_items)
+from strata.llm.common import drop_path, load, ship, written, written_path
+from strata.llm.repeats import (content_classes, identified, level_wise, removed_runs, repeated_anchors, segment_table,
+                                windows_of, with_items, with_runs)
 from strata.llm.suffix_array import long_repeats
 
 LENGTH, CORE = 400, 160
-#: Strings of one shard, and bytes of the shards that are sorted together.
-SHARD_STRINGS = 24
-TOGETHER = 1 << 21
+#: Strings of one shard, bytes of the shards that are sorted together, and bytes up to which lengths don't matter.
+SHARD_STRINGS = 8
+TOGETHER, FEW = 1 << 21, 1 << 19
 
 
 def _batches(groups: list, together: int):
-    """Groups by size, so that what is sorted together is about equally long."""
+    """Groups by size, so that what is sorted together is about equally long; a few groups go together anyhow, since a
+    scan costs its steps rather than its columns then."""
     groups.sort(key=lambda g: g[0])
     held, longest = [], 0
     for g in groups:
-        if held and (g[0] * (len(held) + 1) > together or g[0] > 1.4 * held[0][0] + 64):
+        area = g[0] * (len(held) + 1)
+        if held and (area > together or area > FEW and g[0] > 1.4 * held[0][0] + 64):
             yield held
             held = []
         held.append(g)
@@ -50,9 +53,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     ship(docs.sparkSession)
     source = identified(docs, id_col, text_col, row_col)
-    segs = written(segment_table(source, "bytes", length, core), "segments")
+    every, path = written_path(segment_table(source, "bytes", length, core), "segments")
+    segs = repeated_anchors(every, across=False)
     classes, open_ = content_classes(segs)
-    reps = with_items(open_, source, "bytes", length)
+    reps = with_items(open_, source, "bytes", length, 0)
 
     def sort_shards(batches):
         def judge(groups):
@@ -92,6 +96,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     whole = classes.where("n > 1").select("anchor", "content", F.lit(0).cast("bigint").alias("least"))
     partial = by_array.unionByName(by_level.select("anchor", "content", "k", F.col("n").cast("int").alias("n")))
     runs = written(windows_of(segs, whole, partial, F.lit(True)), "runs")
+    drop_path(docs.sparkSession, path)
     kind = dict(docs.dtypes)[id_col]
 
     def keep(batches):
@@ -117,7 +122,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     schema = ("_row bigint, " if row_col else "") + \
         f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if texts else "")
-    return null_safe(source, runs, ["id", "th"], "left").drop("th").mapInArrow(keep, schema)
+    return with_runs(source, runs).mapInArrow(keep, schema)
 
 
 def op9_suffix_dedup(spark, sf_dir):
