@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import anchors
-from strata.llm.common import flat, null_safe, written
-from strata.llm.words import words
+from strata.llm.common import flat, marked, null_safe, written
+from strata.llm.words import mix, prefix_hashes, range_hashes, words
 
 _LAST = (1 << 63) - 1
 VERDICT = ["anchor", "content", "k", "n"]
@@ -54,25 +54,37 @@ def order_of(id_col: Column) -> Column:
     return F.coalesce(id_col.cast("bigint"), F.lit(_LAST))
 
 
+def repeated_anchors(segs: DataFrame, across: bool) -> DataFrame:
+    """Segments whose anchor occurs again (with another id, if ``across``), and a few others: the anchors are told by a
+    bitmap of bounded size, so the other segments, most of all, are never shuffled again."""
+    order = order_of(F.col("id"))
+    found = F.min(order) < F.max(order) if across else F.count(F.lit(1)) > 1
+    again = segs.groupBy("anchor").agg(found.alias("again")).where("again")
+    return marked(segs, [F.col("anchor")], again, [F.col("anchor")], bits=28).where("_maybe").drop("_maybe")
+
+
 def content_classes(segs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Segments of equal content as one row, with the number of them, least and greatest id; and of these the ones
     whose anchor has several contents, each with one place to read the content from."""
-    one = F.min(F.struct(order_of(F.col("id")).alias("ord"), "id", "th", "a"))
+    one = F.min(F.struct(order_of(F.col("id")).alias("ord"), "th", "a"))
     classes = written(segs.groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("n"), one.alias("at"), F.max(order_of(F.col("id"))).alias("last"),
-        F.first("c").alias("c"), F.first("o").alias("o")), "classes")
+        F.min_by("id", order_of(F.col("id"))).alias("id"), F.first("c").alias("c"), F.first("o").alias("o")), "classes")
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
     open_ = written(classes.join(several, "anchor").select(
-        "anchor", "content", "contents", "n", F.col("at.ord").alias("ord"), F.col("at.id").alias("id"),
-        F.col("at.th").alias("th"), F.col("at.a").alias("a"), "c", "o"), "open_classes")
+        "anchor", "content", "contents", "n", F.col("at.ord").alias("ord"), "id", F.col("at.th").alias("th"),
+        F.col("at.a").alias("a"), "c", "o"), "open_classes")
     return classes, open_
 
 
-def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int) -> DataFrame:
-    """The items of each open class (``s``), read from one of its documents: bytes, or word hashes."""
+def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int, small: int) -> DataFrame:
+    """Content of each open class, read from one of its documents: ``s``, the bytes or word hashes; for words, classes
+    of anchors with at most ``small`` contents have the hashes of their windows instead (``w``)."""
     fields = ["anchor", "content", "contents", "n", "ord", "a", "c", "o"]
     per = open_.groupBy("id", "th").agg(F.collect_list(F.struct(*fields)).alias("segs"))
-    met = null_safe(source.select("id", "th", "_t"), per, ["id", "th"]).select("_t", "segs")
+    key = [F.col("id"), F.col("th")]
+    likely = marked(source.select("id", "th", "_t"), key, open_, key).where("_maybe").drop("_maybe")
+    met = null_safe(likely, per, ["id", "th"]).select("_t", "segs")
     kind = "binary" if unit == "bytes" else "array<bigint>"
     types = {"anchor": pa.int64(), "content": pa.int64(), "contents": pa.int64(), "n": pa.int64(), "ord": pa.int64(),
              "a": pa.int32(), "c": pa.int32(), "o": pa.int32()}
@@ -81,24 +93,74 @@ def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int) -> D
         for batch in batches:
             if unit == "words":
                 values, first = items(batch.column("_t"), unit)
-                values = values.view(np.int64)
+                prefix, values = prefix_hashes(values), values.view(np.int64)
             else:
                 values, first = flat(batch.column("_t"))
             out = {f: [] for f in fields}
-            held = []
+            held, windows = [], []
             for j, segs in enumerate(batch.column("segs").to_pylist()):
                 for s in segs:
                     for f in fields:
                         out[f].append(s[f])
                     a = first[j] + s["a"]
+                    if unit == "words" and s["contents"] <= small:
+                        begin = np.arange(a, a + s["c"])
+                        windows.append(range_hashes(prefix, begin, begin + length).view(np.int64))
+                        held.append(None)
+                        continue
                     part = values[a:a + s["c"] - 1 + length]
                     held.append(part.tobytes() if unit == "bytes" else part)
+                    windows.append(None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f], types[f]) for f in fields]
-                + [pa.array(held, pa.binary() if unit == "bytes" else pa.list_(pa.int64()))], names=[*fields, "s"])
+                + [pa.array(held, pa.binary() if unit == "bytes" else pa.list_(pa.int64())), pa.array(windows, pa.list_(pa.int64()))],
+                names=[*fields, "s", "w"])
 
     return written(met.mapInArrow(
-        read, "anchor bigint, content bigint, contents bigint, n bigint, ord bigint, a int, c int, o int, s " + kind), "contents")
+        read, "anchor bigint, content bigint, contents bigint, n bigint, ord bigint, a int, c int, o int, s " + kind
+        + ", w array<bigint>"), "contents")
+
+
+def by_windows(reps: DataFrame, together: int = 200_000) -> DataFrame:
+    """Verdicts on the classes with window hashes: windows that a class with a smaller least id has too.  Classes of an
+    anchor meet in one task, a bounded number of them; many anchors are settled at once."""
+    def settle(batches):
+        held, n = [], 0
+
+        def verdicts(rows):
+            anchor, content, order = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+            sizes = np.array([len(r[3]) for r in rows])
+            owner = np.repeat(np.arange(len(rows)), sizes)
+            window = mix(np.concatenate([r[3] for r in rows]).view(np.uint64) ^ mix(anchor[owner].view(np.uint64)))
+            at = np.lexsort((order[owner], window))
+            new = np.r_[True, window[at][1:] != window[at][:-1]]
+            least = np.empty(len(at), np.int64)
+            least[at] = order[owner[at]][np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+            hit = least < order[owner]
+            k = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            edge = np.flatnonzero(hit & np.r_[True, ~(hit[:-1] & (owner[1:] == owner[:-1]))])
+            stop = np.flatnonzero(hit & np.r_[~(hit[1:] & (owner[1:] == owner[:-1])), True])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(anchor[owner[edge]]), pa.array(content[owner[edge]]), pa.array(k[edge].astype(np.int32)),
+                 pa.array((stop - edge + 1).astype(np.int32))], names=VERDICT)
+
+        for batch in batches:
+            hashes, ends = batch.column("w").flatten().to_numpy(), batch.column("w").value_lengths().to_numpy().cumsum()
+            for anchor, content, order, end, size in zip(*(batch.column(c).to_numpy() for c in ("anchor", "content", "ord")), ends,
+                                                         batch.column("w").value_lengths().to_numpy()):
+                if n > together and anchor != held[-1][0]:
+                    yield verdicts(held)
+                    held, n = [], 0
+                if held and (anchor, content) == held[-1][:2]:
+                    continue  # repeated rows give a content twice
+                held.append((anchor, content, order, hashes[end - size:end]))
+                n += size
+        if held:
+            yield verdicts(held)
+
+    rows = reps.where(F.col("w").isNotNull()).select("anchor", "content", "ord", "w")
+    return written(rows.repartition("anchor").sortWithinPartitions("anchor", "content").mapInArrow(
+        settle, "anchor bigint, content bigint, k int, n int"), "by_windows")
 
 
 def level_wise(reps: DataFrame, unit: str, length: int, core: int,
@@ -157,6 +219,15 @@ def windows_of(segs: DataFrame, whole: DataFrame, partial: DataFrame, of_row: Co
         "id", "th").agg(F.collect_set(F.struct("b", "m")).alias("runs"))
 
 
+def with_runs(source: DataFrame, runs: DataFrame) -> DataFrame:
+    """``source`` with its ``runs``, null without any; only texts that may have some are shuffled for it."""
+    key = [F.col("id"), F.col("th")]
+    told = marked(source, key, runs, key)
+    met = null_safe(told.where("_maybe").drop("_maybe"), runs, ["id", "th"], "left")
+    free = told.where(~F.col("_maybe")).drop("_maybe")
+    return met.unionByName(free.withColumn("runs", F.lit(None).cast(met.schema["runs"].dataType))).drop("th")
+
+
 def removed_runs(runs: list | None, length: int) -> list[tuple[int, int]]:
     """Maximal covered item ranges of windows that begin in the given runs."""
     out: list[tuple[int, int]] = []

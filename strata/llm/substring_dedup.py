@@ -7,22 +7,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import load, null_safe, ship, written
-from strata.llm.repeats import (content_classes, identified, level_wise, order_of, removed_runs, segment_table, windows_of,
-                                with_items)
+from strata.llm.common import drop_path, load, ship, written, written_path
+from strata.llm.repeats import (by_windows, content_classes, identified, level_wise, order_of, removed_runs,
+                                repeated_anchors, segment_table, windows_of, with_items, with_runs)
 
 WINDOW = 50
+#: Different contents around one anchor that are compared in one task.
+TOGETHER = 256
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None,
-                    window: int = WINDOW, texts: bool = True) -> DataFrame:
+                    window: int = WINDOW, together: int = TOGETHER, texts: bool = True) -> DataFrame:
     """One row per document: ``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` and, with ``texts``, ``kept``.
 
     A word goes if a window of ``window`` words that covers it also begins in a document with a smaller id;
     windows are judged on the input.  Level by level: of strings half as long, each window's least one (its
-    anchor) is looked up among all documents; only windows whose anchor is repeated are extended, to the whole
-    window, in halving ranges around the anchor until no candidates survive.  Segments of equal content count as
-    one before that, so copies cost nothing further.
+    anchor) is looked up among all documents; only windows whose anchor is repeated there are extended to twice
+    that length.  Segments of equal content count as one before that, so copies cost nothing further.  Anchors
+    with more than ``together`` different contents, which grow with the corpus, are extended in steps by
+    ``level_wise`` until no candidates survive, with the same verdicts, instead of meeting in one task.
 
     Null ids are larger than all others and not smaller than each other; rows with equal ids do not remove from
     each other; null and empty texts have no words; an empty table gives an empty result; extra columns are
@@ -31,12 +34,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(docs.sparkSession)
     core = -(-window // 2)
     source = identified(docs, id_col, text_col, row_col)
-    segs = written(segment_table(source, "words", window, core), "segments")
+    every, path = written_path(segment_table(source, "words", window, core), "segments")
+    segs = repeated_anchors(every, across=True)
     classes, open_ = content_classes(segs)
-    reps = with_items(open_, source, "words", window)
-    partial = level_wise(reps, "words", window, core, lambda n, least, own: least < own)
+    reps = with_items(open_, source, "words", window, together)
+    crowds = reps.where(F.col("s").isNotNull())
+    partial = by_windows(reps).unionByName(
+        level_wise(crowds, "words", window, core, lambda n, least, own: least < own))
     whole = classes.where(F.col("last") > F.col("at.ord")).select("anchor", "content", F.col("at.ord").alias("least"))
     runs = written(windows_of(segs, whole, partial, order_of(F.col("id")) > F.col("least")), "runs")
+    drop_path(docs.sparkSession, path)
     kind = dict(docs.dtypes)[id_col]
 
     def keep(batches):
@@ -62,7 +69,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     schema = ("_row bigint, " if row_col else "") + f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string" \
         + (", kept string" if texts else "")
-    return null_safe(source, runs, ["id", "th"], "left").drop("th").mapInArrow(keep, schema)
+    return with_runs(source, runs).mapInArrow(keep, schema)
 
 
 def op5_substring_dedup(spark, sf_dir):

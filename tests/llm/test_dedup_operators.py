@@ -65,8 +65,8 @@ def test_plan_costs():
 
 
 def test_substring_dedup(odd, none):
-    for window in (50, 9):
-        got = substring_dedup(odd, window=window)
+    for window, together in ((50, 256), (50, 1), (9, 256), (9, 3)):
+        got = substring_dedup(odd, window=window, together=together)
         have = [tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()]
         assert sorted(have, key=key) == sorted(windows(PAIRS, window), key=key)
     assert substring_dedup(none).count() == 0
