@@ -244,9 +244,10 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spread = F.floor((F.col("size_a") + F.col("size_b")) * (100 - percent) / (100 + percent))
     differ = sum((F.bit_count(F.col("sk_a")[i].bitwiseXOR(F.col("sk_b")[i])) for i in range(SKETCH)), F.lit(0))
     near = (differ <= spread) & (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
-    couples = sizes.where("members = 2").select(F.col("a").alias("row_a"), F.col("b").alias("row_b")).distinct()
+    couples = sizes.where("members = 2").groupBy(F.col("a").alias("row_a"), F.col("b").alias("row_b")).agg(
+        F.count(F.lit(1)).alias("lists"))
     couples = written(couples.join(a, "row_a").join(b, "row_b").where(near).select(
-        F.col("row_a").alias("a"), F.col("row_b").alias("b")), "couples")
+        F.col("row_a").alias("a"), F.col("row_b").alias("b"), "lists"), "couples")
     # Longer lists, the members with most company first.
     crowds = members.join(sizes.where("members > 2").select("key", "members"), "key")
     company = crowds.groupBy("row").agg(F.sum("members").alias("company"))
@@ -277,32 +278,37 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     content = written(null_safe(wanted, found, ["class_doc", "h1", "h2"]).select("class_row", "s")
                       .dropDuplicates(["class_row"]), "contents")
 
-    edges = roots = None
-    tested, done, pivots = couples, 0, 1
-    while True:
-        live = crowds.where(F.col("place") >= done)
-        if roots is not None:
-            live = live.join(roots, F.col("row") == F.col("node"), "left").withColumn(
-                "root", F.coalesce("root", "row")).drop("node")
-        else:
-            live = live.withColumn("root", F.col("row"))
+    def rooted(df: DataFrame, row: str, root: str) -> DataFrame:
+        if roots is None:
+            return df.withColumn(root, F.col(row))
+        of = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        return df.join(of, F.col(row) == F.col("_node"), "left").withColumn(root, F.coalesce("_root", row)).drop("_node", "_root")
+
+    edges = roots = tested = None
+    done, pivots, left = 0, 1, 0
+    while left is not None and left >= done:
+        live = rooted(crowds.where(F.col("place") >= done), "row", "root")
         ends = live.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"),
                                        F.max("place").alias("_last")).where("_lo < _hi")
-        left = ends.agg(F.max("_last")).first()[0]
-        if left is None and edges is not None:
-            break
         side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("row", "size", "sk", "place", "root")]
         open_ = live.join(ends.select("key"), "key", "left_semi")
         lead = open_.where(F.col("place") < done + pivots).select(F.col("key").alias("_key"), *side("a"))
         met = lead.join(open_.select("key", *side("b")), (F.col("_key") == F.col("key")) & (F.col("place_b") > F.col("place_a"))
                         & (F.col("root_a") != F.col("root_b")) & near)
-        pairs = met.select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b")).distinct()
-        if done:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = met.groupBy(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b")).agg(
+            F.count(F.lit(1)).alias("lists"))
+        if not done:
+            apart = rooted(rooted(couples, "a", "_ra"), "b", "_rb").where("_ra <> _rb").select("a", "b", "lists")
+            pairs = pairs.unionByName(apart).groupBy("a", "b").agg(F.sum("lists").alias("lists"))
+        if tested is None:
+            # At first each set meets only the one with which it shares most lists; that links nearly all.
+            both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "lists"))
+            best = both.groupBy("a").agg(F.max_by("b", F.struct("lists", -F.col("b"))).alias("b"))
+            pairs = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         else:
-            pairs = pairs.unionByName(couples).distinct()
+            pairs = pairs.select("a", "b").join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        if edges is None or not pairs.isEmpty():
+        if not pairs.isEmpty():
             ids = pairs.select(F.col("a").alias("class_row")).unionByName(pairs.select(F.col("b").alias("class_row"))).distinct()
             some = marked(content, [F.col("class_row")], ids, [F.col("class_row")]).where("_maybe")
             one = pairs.join(some.select(F.col("class_row").alias("a"), F.col("s").alias("sa")), "a")
@@ -310,12 +316,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             common = F.size(F.array_intersect("sa", "sb"))
             good = written(two.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"), "edges")
             edges = good if edges is None else edges.unionByName(good)
-            tested = pairs if not done else tested.unionByName(pairs)
             if not good.isEmpty():
                 roots = written(components(edges), "roots")
+        if tested is None:
+            tested = pairs
+            continue
+        tested = tested.unionByName(pairs)
+        left = ends.agg(F.max("_last")).first()[0]
         done, pivots = done + pivots, pivots * 8
-        if left is None or left < done:
-            break
 
     own = facts.join(classes.select("n", "h1", "h2", "class_row", "least_id"), ["n", "h1", "h2"], "left")
     if roots is None:
