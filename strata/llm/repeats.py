@@ -60,7 +60,7 @@ def repeated_anchors(segs: DataFrame, across: bool) -> DataFrame:
     order = order_of(F.col("id"))
     found = F.min(order) < F.max(order) if across else F.count(F.lit(1)) > 1
     again = segs.groupBy("anchor").agg(found.alias("again")).where("again")
-    return marked(segs, [F.col("anchor")], again, [F.col("anchor")], bits=28).where("_maybe").drop("_maybe")
+    return marked(segs, [F.col("anchor")], again, [F.col("anchor")], bits=27).where("_maybe").drop("_maybe")
 
 
 def content_classes(segs: DataFrame) -> tuple[DataFrame, DataFrame]:
