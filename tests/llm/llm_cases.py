@@ -1,11 +1,8 @@
-import os
+"""Odd input rows and the fixtures made of them (not a conftest, whose name the folder above has)."""
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 #: Names that operators use inside, as extra columns of the input.
 CLASHES = ["_row", "name", "kept", "size", "n", "key", "a", "anchor", "content", "lang_pred", "copies", "_t", "id", "th", "_b"]
 

@@ -1,6 +1,6 @@
 """Exact dedup, Jaccard join, repeated windows and repeated strings against plain versions."""
 from brute import exact, similar, strings, windows
-from conftest import odd_rows
+from llm_cases import none, odd, odd_rows  # noqa: F401
 
 from strata.llm.exact_dedup import exact_dedup
 from strata.llm.jaccard_join import Plan, similar_sets

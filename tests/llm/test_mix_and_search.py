@@ -2,7 +2,7 @@
 import random
 
 import numpy as np
-from conftest import CLASHES, odd_rows
+from llm_cases import CLASHES, none, odd, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from strata.llm import hilbert_ann, mixing

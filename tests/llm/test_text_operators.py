@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import sentencepiece
 from brute import sha, spans
-from conftest import odd_rows
+from llm_cases import none, odd, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from strata.llm import chat_format, language_id, secrets
