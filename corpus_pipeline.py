@@ -1,16 +1,36 @@
 """Corpus pipeline: five stages over ``documents``, each a Parquet table that the next one reads."""
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup, jaccard_join, language_id, mixing, sentencepiece_bpe
-from strata.llm.common import load, row_id, written
+from strata.llm.common import drop_path, load, made, row_id, written
+from strata.session import scratch_path
 
 #: Words of a shingle and percent of similarity of near duplicates.
 SHINGLE, PERCENT = 5, 80
 
 
+_left: dict[str, list[str]] = {}
+
+
+def _stage(function):
+    """Scratch tables of a stage go when the next one begins: a stage's result is a table by then."""
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _left.pop(spark.sparkContext.applicationId, []):
+            drop_path(spark, path)
+        before = len(made)
+        out = function(spark, docs, sf_dir)
+        _left[spark.sparkContext.applicationId] = made[before:]
+        return out
+
+    return run_stage
+
+
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a row number under a name that it doesn't have, as a table, so that all reads agree on it."""
     name = "_strata_row"
@@ -23,6 +43,7 @@ def _without(numbered: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     return numbered.join(dropped.select(F.col("_row").alias(row)), row, "left_anti").drop(row)
 
 
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that get a language; those that are null or hold no letter are rejected."""
     net = language_id.train(docs)
@@ -31,12 +52,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _without(numbered, row, found.where(F.col("lang_pred") == "und"))
 
 
+@_stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text, white space apart."""
     numbered, row = _numbered(docs)
     return _without(numbered, row, exact_dedup.exact_dedup(numbered, row_col=row).where(~F.col("kept")))
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar shingle sets, the one with the smallest id (nulls last)."""
     numbered, row = _numbered(docs)
@@ -48,6 +71,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _without(numbered, row, linked.join(several, "root_row").where(F.col("_row") != F.col("stays")))
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     numbered, row = _numbered(docs)
@@ -57,6 +81,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return numbered.join(copies, row).withColumn(f"{row}n", F.explode(times)).drop(row, f"{row}n")
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of each document, with digests of the ids and of the decoded text."""
     return sentencepiece_bpe.encode_decode(docs, sentencepiece_bpe.default_model(), digests=True).drop("_row")
@@ -77,5 +102,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        result = stage(spark, docs, sf_dir)
+        result.write.parquet(path := scratch_path(spark, f"stage-{name}"))
+        docs = spark.read.schema(result.schema).parquet(path)
     return docs

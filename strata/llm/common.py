@@ -26,13 +26,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage and outlives its executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_path(df, name)[0]
+
+
+#: Scratch tables of this process, in order.
+made: list[str] = []
 
 
 def written_path(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = scratch_path(df.sparkSession, name)
+    made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
