@@ -13,9 +13,10 @@ BASE = {
     "hex": (r"[0-9a-f]{24,}", 0, 24),
 }
 WEAK = {
-    "ident": (r"""(?i)\b(?:user(?:name)?|login|account|client_?id|access_?id|aws_access_key_id)["']?\x20*[:=]\x20*["']?"""
-              r"""([A-Za-z0-9@._+-]+)""", 1, 3),
-    "keypart": (r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,64}"
+    "ident": (r"""(?i)(?<![A-Za-z0-9])(?:user(?:[_\x20-]?(?:name|id))?|uid|login|account(?:[_\x20-]?(?:name|id))?|client[_-]?id"""
+              r"""|access[_-]?id|(?:aws_)?access_?key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+-]+)""", 1, 3),
+    # Possessive, so that a run is read once: it is a key as a whole, with its padding, or none.
+    "keypart": (r"(?<![A-Za-z0-9+/_.-])(?=[A-Za-z0-9+/]*[0-9])(?=[A-Za-z0-9+/]*[A-Z])[A-Za-z0-9+/]{32,}+={0,2}+"
                 r"(?![A-Za-z0-9+/_=.-])", 0, 32),
     "endpoint": (r"""(?i)\b(?:https?|ftp|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|amqp|mongodb)://[^\x00-\x20"'<>]+""", 0, 10),
 }
@@ -62,10 +63,11 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: ``_row``, ``doc_id``, ``base`` and ``linked``, arrays of (start, end, kind number).
 
     ``base`` holds every match of the strong patterns.  Matches of the weak patterns are candidates only: a
-    weak identifier is linked where a key begins at most ``scope`` code points from it, a weak key where an
-    identifier does, an endpoint where both do.  Candidates meet their complements by an interval join: each
-    part is dealt to the ``scope``-wide bins that its reach touches, each candidate to the bin it begins in,
-    and a semi-join on (document, bin) keeps a candidate without writing pairs.
+    weak identifier is linked where at most ``scope`` code points lie between it and a key, a weak key where
+    they lie between it and an identifier, an endpoint where both do.  Keys have any length.  Candidates meet
+    their complements by an interval join: each part is dealt to the ``scope``-wide bins before its start and
+    after its end, each candidate to the bins of its start and end, and a semi-join on (document, bin) keeps a
+    candidate without writing pairs.
 
     Null texts count as empty; repeated rows are scanned each for itself; extra columns are not read; an empty
     table gives an empty result.  Texts of any length are scanned whole.
@@ -80,25 +82,27 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     number = lambda names: [KINDS.index(k) for k in names]
     found = scanned.where(F.size("weak") > 0).select("_row", F.explode(F.concat("base", "weak")).alias("p")) \
         .select("_row", "p.start", "p.end", "p.kind")
-    reach = found.withColumn("_bin", F.explode(F.sequence(
-        F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope)))) \
+    at = lambda place: F.floor(place / scope)
+    bins = F.array_distinct(F.array(at(F.col("start") - scope), at(F.col("start")), at(F.col("end")),
+                                    at(F.col("end") + scope)))
+    reach = found.withColumn("_bin", F.explode(bins)) \
         .select(F.col("_row").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"), F.col("kind").alias("k"),
                 "_bin")
     spots = (scanned.where(F.size("weak") > 0).select("_row", F.explode("weak").alias("p"))
-             .select("_row", "p.start", "p.end", "p.kind")
-             .withColumn("_at", F.floor(F.col("start") / scope)))
+             .select("_row", "p.start", "p.end", "p.kind"))
 
     def near(cand: DataFrame, names: tuple[str, ...]) -> DataFrame:
         part = reach.where(F.col("k").isin(number(names)))
+        cand = cand.withColumn("_at", F.explode(F.array_distinct(F.array(at(F.col("start")), at(F.col("end"))))))
         return cand.join(part, (cand["_row"] == part["r"]) & (cand["_at"] == part["_bin"])
-                         & (cand["start"] >= part["s"] - scope) & (cand["start"] <= part["e"] + scope)
-                         & ((cand["start"] >= part["e"]) | (cand["end"] <= part["s"])), "left_semi")
+                         & (cand["start"].between(part["e"], part["e"] + scope)
+                            | cand["end"].between(part["s"] - scope, part["s"])), "left_semi").drop("_at")
 
     of = lambda names: spots.where(F.col("kind").isin([n for n in number(names) if n >= len(BASE)]))
     linked = (near(of(IDENTIFIERS), KEYS).unionByName(near(of(KEYS), IDENTIFIERS))
               .unionByName(near(near(of(ENDPOINTS), IDENTIFIERS), KEYS)))
     per = linked.groupBy("_row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("linked"))
+        F.sort_array(F.collect_set(F.struct("start", "end", "kind"))).alias("linked"))
     return scanned.select("_row", "doc_id", "base").join(per.withColumnRenamed("_row", "_of"),
                                                          F.col("_row") == F.col("_of"), "left").select(
         "_row", "doc_id", "base",
