@@ -108,6 +108,28 @@ def test_nearest_copies_and_bad_vectors(spark):
     assert hilbert_ann.nearest(df.limit(0)).count() == 0 and hilbert_ann.nearest(df.where("vec_id = 200")).count() == 0
 
 
+def test_nearest_recall_by_partitions(spark):
+    """Windows are whole however many partitions cut the curves."""
+    x = np.random.default_rng(5).standard_normal((1000, 8)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    recall = {}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (1, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = hilbert_ann.nearest(df, k=10, curves=2, reach=0.2).collect()
+            s = x.astype(float) @ x.astype(float).T
+            np.fill_diagonal(s, -np.inf)
+            best = {q: set(np.argsort(-s[q])[:10].tolist()) for q in range(0, 1000, 20)}
+            recall[n] = sum(r.vec_id in best[r.query_id] for r in got) / 500
+            assert len(got) == 500
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert recall[1] > 0.6 and recall[40] > recall[1] - 0.05, recall
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(100, 160)] + [(1000, 1000 + i) for i in range(1, 50)]
