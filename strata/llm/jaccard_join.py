@@ -137,7 +137,7 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None,
-                 n_words: int = 5, percent: int = 80) -> DataFrame:
+                 n_words: int = 5, percent: int = 80, links: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """One row per document: ``_row``, ``doc_id``, ``n_shingles``, ``class_row``, ``root_row``, ``component_id``.
 
     A document's set holds its distinct shingles of ``n_words`` words (ASCII letters lower-cased; fewer words are
@@ -153,6 +153,10 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     different components: so a crowd of near copies is linked by about as many pairs as it has members, and no
     link between components is lost.  Candidates are verified on whole sets.
 
+    With ``links``, documents also get ``n_links``, the number of other documents that they are linked with, and a
+    second table (``a``, ``b``; a < b) holds every link between classes: all pairs that share a list and pass the
+    sketch are verified then, so the work grows with the pairs of a crowd.
+
     Null and empty texts have no shingles and are linked with nothing; repeated rows are copies; an empty table
     gives an empty result; extra columns are not read.
     """
@@ -284,6 +288,29 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         of = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
         return df.join(of, F.col(row) == F.col("_node"), "left").withColumn(root, F.coalesce("_root", row)).drop("_node", "_root")
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("class_row")).unionByName(pairs.select(F.col("b").alias("class_row"))).distinct()
+        some = marked(content, [F.col("class_row")], ids, [F.col("class_row")]).where("_maybe")
+        one = pairs.join(some.select(F.col("class_row").alias("a"), F.col("s").alias("sa")), "a")
+        two = one.join(some.select(F.col("class_row").alias("b"), F.col("s").alias("sb")), "b")
+        common = F.size(F.array_intersect("sa", "sb"))
+        return written(two.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"), "edges")
+
+    def linked(out: DataFrame) -> DataFrame | tuple[DataFrame, DataFrame]:
+        if not links:
+            return out
+        one, two = (crowds.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "size", "sk")]) for x in "ab")
+        every = one.join(two, "key").where((F.col("row_a") < F.col("row_b")) & near).select(
+            F.col("row_a").alias("a"), F.col("row_b").alias("b"))
+        pairs = verified(written(every.unionByName(couples.select("a", "b")).distinct(), "pairs"))
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        others = both.join(classes.select(F.col("class_row").alias("b"), "copies"), "b").groupBy("a").agg(
+            F.sum("copies").alias("others"))
+        counts = classes.join(others, F.col("class_row") == F.col("a"), "left").select(
+            F.col("class_row").alias("_c"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+        return out.join(counts, F.col("class_row") == F.col("_c"), "left").drop("_c").withColumn(
+            "n_links", F.coalesce("n_links", F.lit(0))), pairs
+
     edges = roots = tested = None
     done, pivots, left = 0, 1, 0
     while left is not None and left >= done:
@@ -309,12 +336,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             pairs = pairs.select("a", "b").join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():
-            ids = pairs.select(F.col("a").alias("class_row")).unionByName(pairs.select(F.col("b").alias("class_row"))).distinct()
-            some = marked(content, [F.col("class_row")], ids, [F.col("class_row")]).where("_maybe")
-            one = pairs.join(some.select(F.col("class_row").alias("a"), F.col("s").alias("sa")), "a")
-            two = one.join(some.select(F.col("class_row").alias("b"), F.col("s").alias("sb")), "b")
-            common = F.size(F.array_intersect("sa", "sb"))
-            good = written(two.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"), "edges")
+            good = verified(pairs)
             edges = good if edges is None else edges.unionByName(good)
             if not good.isEmpty():
                 roots = written(components(edges), "roots")
@@ -327,16 +349,16 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     own = facts.join(classes.select("n", "h1", "h2", "class_row", "least_id"), ["n", "h1", "h2"], "left")
     if roots is None:
-        return own.select("_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_row", "_row").alias("class_row"),
-                          F.coalesce("class_row", "_row").alias("root_row"),
-                          F.coalesce("least_id", "doc_id").alias("component_id"))
+        return linked(own.select("_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_row", "_row").alias("class_row"),
+                                 F.coalesce("class_row", "_row").alias("root_row"),
+                                 F.coalesce("least_id", "doc_id").alias("component_id")))
     joined = classes.join(roots, F.col("class_row") == F.col("node"))
     least = joined.groupBy("root").agg(F.min("least_id").alias("_least"))
     of_class = joined.join(least, "root").select(F.col("class_row").alias("_c"), "root", "_least")
-    return own.join(written(of_class, "class_roots"), F.col("class_row") == F.col("_c"), "left").select(
+    return linked(own.join(written(of_class, "class_roots"), F.col("class_row") == F.col("_c"), "left").select(
         "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_row", "_row").alias("class_row"),
         F.coalesce("root", "class_row", "_row").alias("root_row"),
-        F.coalesce("_least", "least_id", "doc_id").alias("component_id"))
+        F.coalesce("_least", "least_id", "doc_id").alias("component_id")))
 
 
 def op7_jaccard_join(spark, sf_dir):

@@ -53,6 +53,21 @@ def test_small_sets_and_large_sets_meet(spark):
     assert got == similar([(d, d, t) for d, t in docs], 1, 90)
 
 
+def test_links_of_crowds(spark):
+    """All links between classes and their numbers by document, also within a component that is linked already."""
+    texts = [" ".join(f"w{j}" if j != i else f"x{i}" for j in range(60)) for i in range(8)]
+    texts += [texts[0], texts[0], "", None, "only one", " ".join(f"y{j}" for j in range(60)), " ".join(f"y{j}" for j in range(59))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out, pairs = similar_sets(docs, n_words=1, percent=90, links=True)
+    rows = {r.doc_id: r for r in out.collect()}
+    sets = [set((t or "").split()) for t in texts]
+    near = lambda a, b: bool(a) and 100 * len(a & b) >= 90 * len(a | b)
+    assert {i: rows[i].n_links for i in rows} == {
+        i: sum(near(a, b) for j, b in enumerate(sets) if j != i) for i, a in enumerate(sets)}
+    of = {r.class_row: sets[i] for i, r in rows.items()}
+    assert sorted(map(tuple, pairs.collect())) == sorted((a, b) for a in of for b in of if a < b and near(of[a], of[b]))
+
+
 def test_plan_costs():
     plan = Plan(90, 100)
     assert plan.least(10) == 9 and plan.most(9) == 10 and plan.subsets(9) == 2
