@@ -90,3 +90,41 @@ def spans(text):
     out += [(m.start(), m.end(), 1) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     out += [(m.start(), m.end(), 2) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
     return sorted(out, key=lambda s: (s[0], s[2]))
+
+
+def spelling(rows, times=2):
+    """rows of (doc_id, text) -> {word: (form, root, n, n_near, form_n)}, neighbours by deleting letters."""
+    import zlib
+    counts = Counter()
+    for d, t in rows:
+        for w in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w)
+            h = zlib.crc32(f"{'' if d is None else d}:{w}".encode())
+            if h % 97 == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            counts[w] += 1
+    vocabulary = {w: n for w, n in counts.items() if n >= 3 and len(w) >= 5}
+    holes = defaultdict(set)
+    for w in vocabulary:
+        for i in range(len(w)):
+            holes[w[:i] + "*" + w[i + 1:]].add(w)  # replaced at i
+            holes[w[:i] + w[i + 1:], "gone"].add(w)
+    form, near = {}, {}
+    for w, n in vocabulary.items():
+        found = set()
+        for i in range(len(w)):
+            found |= holes[w[:i] + "*" + w[i + 1:]]
+            if w[:i] + w[i + 1:] in vocabulary:
+                found.add(w[:i] + w[i + 1:])
+        found |= holes.get((w, "gone"), set())
+        found.discard(w)
+        near[w] = len(found)
+        best = min(found, key=lambda v: (-vocabulary[v], v), default=None)
+        form[w] = best if best is not None and vocabulary[best] >= times * n else None
+    out = {}
+    for w, n in vocabulary.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, n, near[w], vocabulary.get(form[w]))
+    return out
