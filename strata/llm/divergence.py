@@ -38,7 +38,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """``lang``, ``source``, ``term``, ``n`` occurrences, ``df`` documents; each group also has a row of a null term.
 
     Tasks count before they give rows out, and Spark sums by (lang, source, term), so a hot source or term arrives
-    as a few partial counts.  Nulls count as ''.
+    as a few partial counts; rows are dealt by (lang, term), which also serves sums by that key.  Nulls count as ''.
     """
     ship(docs.sparkSession)
     rows = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(x)
@@ -83,7 +83,7 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 names=["lang", "source", "term", "n", "df"])
 
     return (rows.mapInArrow(run, "lang string, source string, term string, n bigint, df bigint")
-            .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
+            .repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df")))
 
 
 # ---------------------------------------------------------------- trees
@@ -255,18 +255,21 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
              .where("_ta <= _tb"))
     nothing = "CAST(NULL AS array<struct<_g: int, _n: bigint>>)"
     place = [F.floor(F.col("id") / block).cast("int").alias("_block"), (F.col("id") % block).cast("int").alias("_pos")]
+    # The counts of a block in one row a tree: at most ``block`` of them.
+    packed = [F.collect_list("_pos").alias("_at"), F.collect_list("n").alias("_counts")]
     other = F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
-    mine = (used.join(groups.select("lang", "source", "_g"), ["lang", "source"]).join(langs.select("lang", "_tiles"), "lang")
-            .select("lang", "_g", *place, "n", F.floor(F.col("_g") / tile).cast("int").alias("_t"), other.alias("_o"))
-            .select("lang", "_block", F.least("_t", "_o").alias("_ta"), F.greatest("_t", "_o").alias("_tb"), "_g", "_pos", "n"))
-    whole = (terms.join(langs.select("lang", "_tiles"), "lang")
-             .select("lang", *place, F.col("total").alias("n"), other.alias("_ta"))
-             .select("lang", "_block", "_ta", F.col("_ta").alias("_tb"), F.lit(-1).alias("_g"), "_pos", "n"))
+    mine = (used.select("lang", "source", *place, "n").groupBy("lang", "source", "_block").agg(*packed)
+            .join(groups.select("lang", "source", "_g"), ["lang", "source"]).join(langs.select("lang", "_tiles"), "lang")
+            .select("lang", "_g", "_block", "_at", "_counts", F.floor(F.col("_g") / tile).cast("int").alias("_t"), other.alias("_o"))
+            .select("lang", "_block", F.least("_t", "_o").alias("_ta"), F.greatest("_t", "_o").alias("_tb"), "_g", "_at", "_counts"))
+    whole = (terms.select("lang", *place, F.col("total").alias("n")).groupBy("lang", "_block").agg(*packed)
+             .join(langs.select("lang", "_tiles"), "lang").select("lang", "_block", "_at", "_counts", other.alias("_ta"))
+             .select("lang", "_block", "_ta", F.col("_ta").alias("_tb"), F.lit(-1).alias("_g"), "_at", "_counts"))
     facts = [F.lit(None).cast("bigint").alias(c) for c in ("_v", "_ln")] + [
         F.expr(nothing).alias(c) for c in ("_first", "_second")]
     rows = mine.unionByName(whole).select("*", *facts).unionByName(heads.select(
-        "lang", "_block", "_ta", "_tb", *[F.lit(None).cast("int").alias(c) for c in ("_g", "_pos")],
-        F.lit(None).cast("bigint").alias("n"), "_v", "_ln", "_first", "_second"))
+        "lang", "_block", "_ta", "_tb", F.lit(None).cast("int").alias("_g"), F.lit(None).cast("array<int>").alias("_at"),
+        F.lit(None).cast("array<bigint>").alias("_counts"), "_v", "_ln", "_first", "_second"))
 
     def price_block(key, table):
         lang, at, ta, tb = (k.as_py() for k in key)
@@ -276,11 +279,11 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
         ids = [m["_g"] for part in members for m in part] + [-1]
         totals = np.array([m["_n"] for part in members for m in part] + [lang_total], np.int64)
         width = min(block, n_terms - at * block)
-        data = table.filter(pc.is_valid(table.column("n")))
         counts = np.zeros((len(ids), max(width, 1)), np.int64)
         row = {g: i for i, g in enumerate(ids)}
-        g = np.array([row[x] for x in data.column("_g").to_pylist()], np.int64)
-        counts[g, data.column("_pos").to_numpy()] = data.column("n").to_numpy()
+        data = table.filter(pc.is_valid(table.column("_g")))
+        for g, places, some in zip(data.column("_g").to_pylist(), data.column("_at"), data.column("_counts")):
+            counts[row[g], places.values.to_numpy()] = some.values.to_numpy()
         if width < 1:
             counts[:] = -1
         first = list(range(len(members[0])))
