@@ -15,6 +15,8 @@ from strata.llm.divergence import HELD, split_words
 LEAST_LENGTH, LEAST_COUNT, TIMES = 5, 3, 2
 #: Sizes of the reduced alphabet to choose from, and neighbours of one batch of rows.
 SYMBOLS, BATCH = (4, 8, 16, 32), 1 << 19
+#: Cost of checking a candidate against that of making a neighbour; bits of the bitmap for each word, and at most (16 MB).
+CANDIDATE, SPARSE, MOST_BITS = 8.0, 64, 27
 #: Runs with a check sum that this divides lose one letter.
 TYPO = 97
 #: Words are runs of A-Z, a-z and U+00C0 to U+00FF, one byte each in Latin-1; A-Z are lower-cased.
@@ -124,54 +126,98 @@ def neighbourhoods(words: np.ndarray, symbols: int):
                            for i in (0, 1)])
 
 
-def _keys(vocabulary: DataFrame, symbols: int) -> DataFrame:
-    """``_w``, ``own``, ``key``: the hash of each word's reduced form (own) and of its whole one-edit neighbourhood."""
+def _by_length(batch: pa.RecordBatch):
+    """(places in the batch, letters) of words of one length, some at a time."""
+    by_length: dict[int, list[int]] = {}
+    words = [w.encode("utf-32-le") for w in batch.column("word").to_pylist()]
+    for i, w in enumerate(words):
+        by_length.setdefault(len(w) // 4, []).append(i)
+    for length, which in by_length.items():
+        group = max(1, BATCH // (8 * (length + 1)))
+        for a in range(0, len(which), group):
+            some = np.array(which[a:a + group])
+            letters = np.frombuffer(b"".join(words[i] for i in some), "<u4")
+            yield some, letters.reshape(len(some), length).astype(np.int64)
+
+
+def _reduced(vocabulary: DataFrame, symbols: int) -> DataFrame:
+    """``vocabulary`` with ``key``: the hash of each word's reduced form."""
+    names = vocabulary.columns
+
+    def run(batches):
+        for batch in batches:
+            keys = np.zeros(batch.num_rows, np.int64)
+            for some, letters in _by_length(batch):
+                keys[some] = next(neighbourhoods(letters, symbols))[1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys)], names=[*names, "key"])
+
+    fields = ", ".join(f"{n} {t}" for n, t in vocabulary.dtypes)
+    return vocabulary.mapInArrow(run, f"{fields}, key bigint")
+
+
+def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each value that keys take modulo 2**``bits``: of one size however many keys there are."""
+    part = 1 << 15
+    spot = F.pmod(F.col("key"), F.lit(1 << bits))
+    rows = (keys.select(spot.alias("_h")).groupBy(F.floor(F.col("_h") / part).alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.col("_h") % part).alias("_bits")))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows.toLocalIterator():
+        some = np.frombuffer(r["_bits"], np.uint8)
+        out[r["_bucket"] * (part // 8):][:len(some)] = some[:len(out)]
+    return out
+
+
+def _neighbours(words: DataFrame, symbols: int, bits: int) -> DataFrame:
+    """``_w``, ``key``: the reduced forms that are one edit from a word's (or equal) and may be in the vocabulary.
+
+    Each neighbour is looked up in a bitmap of the vocabulary's keys as it is made, so that few that meet no word
+    leave the task; the join that follows is exact.
+    """
+    spark = words.sparkSession
+    present = spark.sparkContext.broadcast(_bitmap(words, bits))
 
     def run(batches):
+        found, mask = present.value, (1 << bits) - 1
         for batch in batches:
-            by_length: dict[int, list[int]] = {}
-            words = [w.encode("utf-32-le") for w in batch.column("word").to_pylist()]
-            for i, w in enumerate(words):
-                by_length.setdefault(len(w) // 4, []).append(i)
             ids = batch.column("_w").to_numpy()
-            for length, which in by_length.items():
-                group = max(1, BATCH // (length + 1))
-                for a in range(0, len(which), group):
-                    some = np.array(which[a:a + group])
-                    letters = np.frombuffer(b"".join(words[i] for i in some), "<u4").reshape(len(some), length)
-                    own = True
-                    for rows, keys in neighbourhoods(letters.astype(np.int64), symbols):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(ids[some[rows]], pa.int64()), pa.array([own] * len(rows), pa.bool_()), pa.array(keys, pa.int64())],
-                            names=["_w", "own", "key"])
-                        own = False
+            for some, letters in _by_length(batch):
+                for rows, keys in neighbourhoods(letters, symbols):
+                    spot = keys & mask
+                    ok = (found[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[some[rows[ok]]], pa.int64()),
+                                                      pa.array(keys[ok], pa.int64())], names=["_w", "key"])
 
-    return vocabulary.select("_w", "word").mapInArrow(run, "_w bigint, own boolean, key bigint")
+    return words.select("_w", "word").mapInArrow(run, "_w bigint, key bigint")
 
 
-def choose_symbols(vocabulary: DataFrame, choices: tuple[int, ...] = SYMBOLS) -> int:
-    """The alphabet size with the least expected work: neighbours, and words that share a reduced form with one.
+def choose_symbols(by_length: DataFrame, choices: tuple[int, ...] = SYMBOLS) -> int:
+    """The alphabet size with the least expected work: neighbours made, and, ``CANDIDATE`` times as dear each, words
+    that share a reduced form with one.
 
-    Counts of words by length are summed in Spark; the choice changes the cost, never the result.
+    ``by_length`` counts words (``n``) by ``length``.  The choice changes the cost, never the result.
     """
     n, length = F.col("n").cast("double"), F.col("length").cast("double")
-    by = vocabulary.groupBy(F.length("word").alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    cost = by.agg(*[F.sum(n * length * (2.0 * s) * (1.0 + n / F.pow(F.lit(float(s)), length))).alias(f"c{s}")
-                    for s in choices]).first()
+    cost = by_length.agg(*[F.sum(n * length * (2.0 * s) * (1.0 + CANDIDATE * n / F.pow(F.lit(float(s)), length))).alias(f"c{s}")
+                           for s in choices]).first()
     return min(choices, key=lambda s: (cost[f"c{s}"] or 0.0, s))
 
 
-def near_words(vocabulary: DataFrame, symbols: int) -> DataFrame:
+def near_words(vocabulary: DataFrame, symbols: int | None = None) -> DataFrame:
     """``_w``, ``word``, ``n``, ``near``, ``near_n``: all pairs of words of ``vocabulary`` one edit apart, in both directions.
 
     Neighbourhoods of reduced words meet the reduced vocabulary by equi-join; every candidate is checked on the
     words themselves.
     """
-    keys = written(_keys(vocabulary, symbols), "reduced")
-    own = keys.where("own").select("key", F.col("_w").alias("_v")).join(
-        vocabulary.select(F.col("_w").alias("_v"), F.col("word").alias("near"), F.col("n").alias("near_n")), "_v")
+    by_length = written(vocabulary.groupBy(F.length("word").alias("length")).agg(F.count(F.lit(1)).alias("n")), "lengths")
+    symbols = symbols or choose_symbols(by_length)
+    size = by_length.agg(F.sum("n")).first()[0] or 0
+    bits = min(MOST_BITS, max(16, (SPARSE * size).bit_length()))
+    words = written(_reduced(vocabulary, symbols), "reduced")
+    keys = written(_neighbours(words, symbols, bits), "neighbours")
+    own = words.select("key", F.col("_w").alias("_v"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     met = keys.join(own, "key").where(F.col("_w") != F.col("_v")).select("_w", "near", "near_n")
-    return (met.join(vocabulary.select("_w", "word", "n"), "_w")
+    return (met.join(words.select("_w", "word", "n"), "_w")
             .where(F.abs(F.length("word") - F.length("near")) <= 1)
             .where(F.levenshtein("word", "near", 1) == 1).select("_w", "word", "n", "near", "near_n"))
 
@@ -197,7 +243,8 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     A word's form is its near word (one letter inserted, deleted or replaced) with most occurrences, the first in
     code-point order of several, if it occurs ``times`` as often as the word; ``root`` follows forms to the last.
     Letters are hashed to a few symbols; the full one-edit neighbourhood of each reduced word is joined with the
-    reduced vocabulary, and candidates are verified on the words.  ``symbols`` is chosen by cost if None.
+    reduced vocabulary, and candidates are verified on the words.  ``symbols`` is chosen by cost if None.  The driver
+    sees counts and a bitmap of at most 16 MB.
 
     Texts count whole; null texts hold no words; a null id is '' in the check sum; repeated rows count each; words
     of any length take part (their neighbourhoods are hashes and leave the task in batches); an empty table gives
@@ -205,7 +252,7 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     vocabulary = written(word_counts(docs, id_col, text_col, typo, least_length, least_count)
                          .withColumn("_w", row_id()), "vocabulary")
-    near = near_words(vocabulary, symbols or choose_symbols(vocabulary))
+    near = near_words(vocabulary, symbols)
     best = written(near.groupBy("_w").agg(
         F.count(F.lit(1)).alias("n_near"),
         F.min(F.struct((-F.col("near_n")).alias("a"), F.col("near").alias("b"))).alias("_best")), "near")
