@@ -1,101 +1,140 @@
 """Scalable global order statistics (K1) and global prefix sums / positions (K2).
 
-* ``column_quantiles`` / ``column_medians``: exact linear-interpolated quantiles by one method for every
-  size, in a number of jobs that does not depend on columns, ranks or rows.  The columns are written once;
-  one aggregate sketches a bracket around every wanted rank, one aggregate counts exactly what lies below
-  and in the brackets, and the bracket's distinct values with their counts, in a global order (K2), give
-  the value at each rank.  Nothing but counts and bounds reaches the driver.
-* ``prefix_sums`` / ``global_index``: running totals in a global order without a window
-  that moves all rows to one task.  Rows are range-partitioned, the partition tags are
-  frozen by a reliable checkpoint, bucket totals (one row per bucket) are prefixed and
-  broadcast, and a window per bucket finishes the job.
+* ``column_quantiles`` / ``column_medians``: exact linear-interpolated quantiles by radix counting.  A double is
+  read as a 64-bit integer of the same order; up to four passes count values by 16 bits each, from the top down,
+  in the prefix that holds the wanted rank.  The number of jobs does not grow with columns, ranks or rows;
+  no rows are sorted, and one row a rank (and in the last pass at most ``FEW`` counts) reaches the driver.
+* ``prefix_sums`` / ``global_index``: running totals in a global order without a window that moves rows to
+  one task.  Rows are range-partitioned once, sorted and numbered within their partition, and written; sums
+  over the partitions before (one row each) are added when the table is read.
 """
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import reliable_checkpoint, scratch_path
+from ..session import scratch_path
 
-DEFAULT_ACCURACY = 10_000
-
-
-def _spark(df: DataFrame):
-    return df.sparkSession
+#: Bits counted in a pass, passes over the 64 bits of a double, and values so few that they are looked at one by one.
+RADIX, PASSES, FEW = 16, 4, 50_000
+#: ``monotonically_increasing_id`` keeps the place within a partition in so many low bits.
+PLACE_BITS = 33
 
 
 def _qname(col: str, p: float) -> str:
     return f"{col}__q{p}"
 
 
-def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def ordered_bits(values: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit integers in the order of the doubles; -0.0 equals 0.0, NaN is above all."""
+    v = np.asarray(values, np.float64) + 0.0
+    v = np.where(np.isnan(v), np.nan, v)
+    bits = v.view(np.uint64)
+    return np.where(bits >> np.uint64(63) == 1, ~bits, bits | np.uint64(1 << 63))
+
+
+def bits_value(key: int) -> float:
+    """The double of an ordered integer."""
+    bits = key ^ (1 << 63) if key >> 63 else key ^ ((1 << 64) - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
+
+
+def _digit_counts(table: DataFrame, cols: list[str], targets: list[tuple[int, int]], shift: int, bits: int = RADIX) -> DataFrame:
+    """(t, d, n): for each target (column, prefix), how many of its values have the digit ``d``, ``bits`` wide, above
+    ``shift``.  The prefix is what stands above that digit."""
+    def run(batches):
+        for batch in batches:
+            keys = {}
+            for t, (i, prefix) in enumerate(targets):
+                if i not in keys:
+                    col = batch.column(cols[i])
+                    keys[i] = ordered_bits(pc.drop_null(col).to_numpy(zero_copy_only=False)) >> np.uint64(shift)
+                k = keys[i]
+                if shift + bits < 64:
+                    k = k[k >> np.uint64(bits) == np.uint64(prefix)]
+                digits, n = np.unique(k & np.uint64((1 << bits) - 1), return_counts=True)
+                if len(digits):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(n), t, np.int32)), pa.array(digits.astype(np.int64)), pa.array(n.astype(np.int64))],
+                        names=["t", "d", "n"])
+
+    wide = table.select(*sorted({cols[i] for i, _ in targets}))
+    return wide.mapInArrow(run, "t int, d bigint, n bigint").groupBy("t", "d").agg(F.sum("n").alias("n"))
+
+
+def order_statistics(table: DataFrame, cols: list[str], wanted: set[tuple[int, int]], few: int = FEW) -> dict[tuple[int, int], float]:
+    """Values at 0-based ranks among the non-null values of double columns, exact: {(column, rank): value}.
+
+    At most ``PASSES`` passes; the last one comes as soon as no more than ``few`` values share the wanted prefixes.
+    """
+    spark = table.sparkSession
+    state = {w: (0, w[1]) for w in wanted}  # prefix so far, rank within it
+    left = 64
+    while left:
+        targets = sorted({(i, prefix) for (i, _), (prefix, _) in state.items()})
+        where = {t: j for j, t in enumerate(targets)}
+        order = sorted(state)
+        counts = _digit_counts(table, cols, targets, left - RADIX)
+        values = ", ".join(f"({w}, {where[i, state[i, r][0]]}, {state[i, r][1]}L)" for w, (i, r) in enumerate(order))
+        asked = spark.sql(f"SELECT * FROM VALUES {values} AS asked(w, t, r)")
+        upto = Window.partitionBy("t").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        found = (counts.withColumn("_upto", F.sum("n").over(upto)).join(F.broadcast(asked), "t")  # one row a rank
+                 .where((F.col("r") < F.col("_upto")) & (F.col("r") >= F.col("_upto") - F.col("n")))
+                 .select("w", "d", "n", (F.col("r") - F.col("_upto") + F.col("n")).alias("left")).collect())
+        sizes = {}
+        for row in found:
+            i, r = order[row["w"]]
+            prefix = state[i, r][0] << RADIX | row["d"]
+            state[i, r], sizes[i, prefix] = (prefix, row["left"]), row["n"]
+        left -= RADIX
+        if 0 < left and sum(sizes.values()) <= few:
+            targets = sorted(sizes)
+            rest: dict[int, list] = {j: [] for j in range(len(targets))}
+            # Less than 2**63, so that digits are plain longs; at most ``few`` rows.
+            for row in _digit_counts(table, cols, targets, 0, left).orderBy("t", "d").collect():
+                rest[row["t"]].append((row["d"], row["n"]))
+            where = {t: j for j, t in enumerate(targets)}
+            for (i, r), (prefix, place) in state.items():
+                for d, n in rest[where[i, prefix]]:
+                    if place < n:
+                        state[i, r] = (prefix << left | d, 0)
+                        break
+                    place -= n
+            left = 0
+    return {w: bits_value(key) for w, (key, _) in state.items()}
+
+
+def column_quantiles(df: DataFrame, cols: list[str], probs: list[float], stored: bool = False) -> DataFrame:
     """One-row DataFrame with a column ``<col>__q<p>`` per (column, probability).
 
     Linear interpolation between order statistics (pandas / DuckDB ``quantile_cont``) of the non-null values;
-    null for a column without values.  ``accuracy`` sets the width of brackets, never the result.
+    null for a column without values.  ``df`` is read five times: it is written once before, unless the
+    caller says that it is ``stored``, a table or a checkpoint.
     """
-    spark = _spark(df)
-    path = scratch_path(spark, "quantiles")
+    spark = df.sparkSession
     plain = [f"c{i}" for i in range(len(cols))]
-    df.select(*[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(cols, plain)]).write.parquet(path)
-    wide = spark.read.schema(", ".join(f"{x} double" for x in plain)).parquet(path)
-    margin = 10.0 / accuracy  # several times the error of the sketch
-    points = sorted({round(min(1.0, max(0.0, p + d)), 12) for p in probs for d in (-margin, margin)})
-    sketch = wide.agg(*[e for x in plain for e in (
-        F.count(x).alias(f"{x}_n"), F.min(x).alias(f"{x}_lo"), F.max(x).alias(f"{x}_hi"),
-        F.percentile_approx(x, F.array(*[F.lit(p) for p in points]), accuracy).alias(f"{x}_q"))]).first()
-    wanted: list[tuple[int, int, float, float]] = []  # column, rank, bracket
-    ranks = {}
-    for i, x in enumerate(plain):
-        n = sketch[f"{x}_n"]
-        for p in probs if n else ():
-            h = (n - 1) * p
-            low = min(int(math.floor(h)), n - 1)
-            ranks[i, p] = (low, min(low + 1, n - 1), h - low)
-            a, b = p - margin, p + margin
-            lo = sketch[f"{x}_lo"] if a * n < 4 else sketch[f"{x}_q"][points.index(round(a, 12))]
-            hi = sketch[f"{x}_hi"] if (1 - b) * n < 4 else sketch[f"{x}_q"][points.index(round(b, 12))]
-            wanted += [(i, r, lo, hi) for r in {low, min(low + 1, n - 1)}]
-    wanted = sorted(set(wanted))
+    wide = df.select(*[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(cols, plain)])
+    if not stored:
+        path = scratch_path(spark, "quantiles")
+        wide.write.parquet(path)
+        wide = spark.read.schema(", ".join(f"{x} double" for x in plain)).parquet(path)
     names = [_qname(c, p) for c in cols for p in probs]
     schema = ", ".join(f"`{n}` double" for n in names)
-    if not wanted:
-        return spark.createDataFrame([tuple([None] * len(names))], schema)
-    brackets = sorted({(i, lo, hi) for i, _, lo, hi in wanted})
-    counts = wide.agg(*[e for j, (i, lo, hi) in enumerate(brackets) for e in (
-        F.count_if(F.col(plain[i]) < F.lit(lo)).alias(f"b{j}"),
-        F.count_if(F.col(plain[i]).between(F.lit(lo), F.lit(hi))).alias(f"i{j}"))]).first()
-    spans = []
-    for j, (i, lo, hi) in enumerate(brackets):
-        below = counts[f"b{j}"]
-        inside = [r for k, r, a, b in wanted if (k, a, b) == (i, lo, hi)]
-        if not all(below <= r < below + counts[f"i{j}"] for r in inside):  # the sketch missed: all values
-            lo, hi, below = sketch[f"{plain[i]}_lo"], sketch[f"{plain[i]}_hi"], 0
-        spans.append((j, i, lo, hi, below))
-    held = F.array(*[F.when(F.col(plain[i]).between(F.lit(lo), F.lit(hi)),
-                            F.struct(F.lit(j).alias("j"), F.col(plain[i]).alias("v"))) for j, i, lo, hi, _ in spans])
-    values = (wide.select(F.explode(F.array_compact(held)).alias("x")).select("x.j", "x.v")
-              .groupBy("j", "v").agg(F.count(F.lit(1)).alias("cnt")))
-    placed = prefix_sums(values, ["j", "v"], ["cnt"])
-    # Running sums go on from bracket to bracket; the rows of earlier brackets come off again.
-    first, bases, sizes = 0, {}, {}
-    for j, i, lo, hi, below in spans:
-        bases[j] = first
-        full = (lo, hi) == (sketch[f"{plain[i]}_lo"], sketch[f"{plain[i]}_hi"])
-        sizes[j] = sketch[f"{plain[i]}_n"] if full else counts[f"i{j}"]
-        first += sizes[j]
-    places = []
-    for i, r, lo, hi in wanted:
-        j = brackets.index((i, lo, hi))
-        places.append((i, r, bases[j] + r - spans[j][4]))
-    cut = F.array(*[F.when((F.lit(t) < F.col("cum_cnt")) & (F.lit(t) >= F.col("cum_cnt") - F.col("cnt")),
-                           F.struct(F.lit(i).alias("i"), F.lit(r).cast("bigint").alias("r"), F.col("v").alias("v")))
-                    for i, r, t in places])
-    found = {(x["i"], x["r"]): x["v"] for x in
-             placed.select(F.explode(F.array_compact(cut)).alias("x")).select("x.i", "x.r", "x.v").collect()}
+    sizes = wide.agg(*[F.count(x).alias(x) for x in plain]).first() if plain else {}
+    ranks = {}
+    for i, x in enumerate(plain):
+        for p in probs if sizes[x] else ():
+            at = (sizes[x] - 1) * p
+            low = min(int(math.floor(at)), sizes[x] - 1)
+            ranks[i, p] = (low, min(low + 1, sizes[x] - 1), at - low)
+    wanted = {(i, r) for (i, _), (low, high, _) in ranks.items() for r in (low, high)}
+    found = order_statistics(wide, plain, wanted) if wanted else {}
     row = []
     for i in range(len(cols)):
         for p in probs:
@@ -104,51 +143,72 @@ def column_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                 continue
             low, high, frac = ranks[i, p]
             a, b = found[i, low], found[i, high]
-            row.append(a if a == b else a + (b - a) * frac)
+            row.append(a if a == b or frac == 0 else a + (b - a) * frac)
     return spark.createDataFrame([tuple(row)], schema)
 
 
-def column_medians(df: DataFrame, cols: list[str]) -> DataFrame:
+def column_medians(df: DataFrame, cols: list[str], stored: bool = False) -> DataFrame:
     """One-row DataFrame of exact medians, one column per input column (same names)."""
-    q = column_quantiles(df, cols, [0.5])
+    q = column_quantiles(df, cols, [0.5], stored)
     return q.select(*[F.col(f"`{_qname(c, 0.5)}`").alias(c) for c in cols])
 
 
+def _running(ordered: DataFrame, value_cols: list[str], prefix: str) -> DataFrame:
+    """Running sums within each partition, in its order, as one pass of numpy over Arrow batches."""
+    fields = list(ordered.schema.fields)
+    for v in value_cols:
+        whole = isinstance(ordered.schema[v].dataType, T.IntegralType)
+        fields.append(T.StructField(f"{prefix}{v}", T.LongType() if whole else T.DoubleType()))
+
+    def run(batches):
+        total = {v: 0 for v in value_cols}
+        for batch in batches:
+            columns = list(batch.columns)
+            for v, field in zip(value_cols, fields[len(columns):]):
+                kind = np.int64 if isinstance(field.dataType, T.LongType) else np.float64
+                some = pc.fill_null(batch.column(v).cast(pa.from_numpy_dtype(kind)), 0).to_numpy(zero_copy_only=False)
+                sums = np.cumsum(some, dtype=kind) + total[v]
+                total[v] = sums[-1] if len(sums) else total[v]
+                columns.append(pa.array(sums))
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    return ordered.mapInArrow(run, T.StructType(fields))
+
+
 def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str] = (),
                 descending: bool = False, partitions: int | None = None,
-                index_col: str = "_gidx", prefix: str = "cum_") -> DataFrame:
+                index_col: str = "_gidx", prefix: str = "cum_", bucket_col: str | None = None) -> DataFrame:
     """Add a 0-based global position ``index_col`` in the total order of ``order_cols`` and an
-    inclusive running sum ``cum_<v>`` of each value column.
+    inclusive running sum ``cum_<v>`` of each value column (whole numbers or doubles; nulls add nothing).
 
-    ``order_cols`` must give a total order (unique keys) for positions to be reproducible.
+    One range shuffle; ``order_cols`` must give a total order (unique keys) for positions to be reproducible.
+    ``bucket_col`` also names the range that a row lies in, a stretch of positions.
     """
-    spark = _spark(df)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
     ordered = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order_cols]
-    tagged = (df.repartitionByRange(n, *ordered)
-              .withColumn("_bucket", F.spark_partition_id()))
-    tagged = reliable_checkpoint(tagged)  # freezes bucket membership; lineage cut on shared storage
-    totals = tagged.groupBy("_bucket").agg(
+    ranged = df.repartitionByRange(partitions, *ordered) if partitions else df.repartitionByRange(*ordered)
+    placed = ranged.sortWithinPartitions(*ordered).withColumn("_place", F.monotonically_increasing_id())
+    if value_cols:
+        placed = _running(placed, list(value_cols), "_run_")
+    path = scratch_path(spark, "ordered")
+    placed.write.parquet(path)  # freezes the ranges; lineage cut on shared storage
+    table = spark.read.schema(placed.schema).parquet(path)
+    bucket = F.shiftright("_place", PLACE_BITS).cast("int")
+    totals = table.groupBy(bucket.alias("_bucket")).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
     offsets = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
         *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in value_cols])
-    w = Window.partitionBy("_bucket").orderBy(*ordered)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # range partitioning on the bucket id puts about one bucket per task and already satisfies
-    # the window's clustering (hash partitioning of bucket ids would collide)
-    out = tagged.repartitionByRange(n, "_bucket").join(F.broadcast(offsets), "_bucket")
-    cols = [c for c in df.columns]
-    sel = [F.col(c) for c in cols]
-    sel.append((F.col("_off_n") + F.row_number().over(w) - 1).alias(index_col))
-    for v in value_cols:
-        sel.append((F.col(f"_off_{v}") + F.sum(v).over(run)).alias(f"{prefix}{v}"))
-    return out.select(*sel)
+    out = table.withColumn("_bucket", bucket).join(F.broadcast(offsets), "_bucket")
+    place = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return out.select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_off_n") + place).alias(index_col),
+        *[(F.col(f"_off_{v}") + F.col(f"_run_{v}")).alias(f"{prefix}{v}") for v in value_cols],
+        *([F.col("_bucket").alias(bucket_col)] if bucket_col else []))
 
 
 def global_index(df: DataFrame, order_cols: list[str], descending: bool = False,
-                 index_col: str = "_gidx") -> DataFrame:
+                 index_col: str = "_gidx", bucket_col: str | None = None) -> DataFrame:
     """0-based global row position in the order of ``order_cols`` (K2 without values)."""
-    return prefix_sums(df, order_cols, [], descending=descending, index_col=index_col)
+    return prefix_sums(df, order_cols, [], descending=descending, index_col=index_col, bucket_col=bucket_col)

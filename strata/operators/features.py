@@ -13,20 +13,25 @@ def _c(name: str):
 
 
 def lag_features(df: DataFrame, cols: list[str], periods: list[int], entity: str = "entity_id",
-                 period: str = "period", null_entity: str = "reset") -> DataFrame:
+                 period: str = "period", null_entity: str = "reset", hot_rows: int | None = None) -> DataFrame:
     """``<col>_lag<p>`` = value p periods earlier within the entity.
 
     Rows without an entity get no lag (``"reset"``, as a pandas group shift) and are spread
-    over tiny window groups; ``"keep"`` treats the missing entity as one entity.
+    over tiny window groups; ``"keep"`` treats the missing entity as one entity.  Entities of more than
+    ``hot_rows`` rows are numbered in ranges and meet their earlier rows by position (``segments.lags``);
+    the input is then counted once.
     """
     from .impute import _grouped, _spec
+    from .segments import lags, split_hot
+    cool, hot = split_hot(df, entity, null_entity, hot_rows)
     w = _spec(entity, period)
 
     def lag(c, p):
         e = F.lag(_c(c), p).over(w)
         return F.when(_c(entity).isNotNull(), e) if null_entity == "reset" else e
-    return _grouped(df, entity, null_entity).select(
+    out = _grouped(cool, entity, null_entity).select(
         *[_c(c) for c in df.columns], *[lag(c, p).alias(f"{c}_lag{p}") for c in cols for p in periods])
+    return out if hot is None else out.unionByName(lags(hot, cols, periods, entity, period))
 
 
 def latest_per_entity(df: DataFrame, entity: str = "entity_id", period: str = "period") -> DataFrame:
@@ -62,10 +67,11 @@ class MedianScalerModel:
                                      "column string, median double, mean double, sd double")
 
 
-def fit_median_scaler(train: DataFrame, cols: list[str]) -> MedianScalerModel:
+def fit_median_scaler(train: DataFrame, cols: list[str], stored: bool = False) -> MedianScalerModel:
     """H1 fit: medians of the train rows; mean and population sd of the median-filled train
-    rows (sd 0 -> 1).  Columns with no value at all are dropped."""
-    med_row = column_medians(train.select(*[_c(c).cast("double").alias(c) for c in cols]), cols).first()
+    rows (sd 0 -> 1).  Columns with no value at all are dropped.  ``stored``: ``train`` is cheap to read
+    several times, as it comes from a table."""
+    med_row = column_medians(train.select(*[_c(c).cast("double").alias(c) for c in cols]), cols, stored).first()
     kept = [c for c in cols if med_row[c] is not None]
     filled = train.select(*[F.coalesce(_c(c).cast("double"), F.lit(med_row[c])).alias(c) for c in kept])
     mom = filled.agg(*[e for c in kept for e in (
@@ -74,9 +80,9 @@ def fit_median_scaler(train: DataFrame, cols: list[str]) -> MedianScalerModel:
     return MedianScalerModel({c: (float(med_row[c]), float(mom[f"m_{c}"]), float(mom[f"s_{c}"])) for c in kept})
 
 
-def median_impute_scale(train: DataFrame, apply: DataFrame, cols: list[str]) -> DataFrame:
+def median_impute_scale(train: DataFrame, apply: DataFrame, cols: list[str], stored: bool = False) -> DataFrame:
     """H1: fit on ``train``, apply to ``apply`` (dropped columns disappear from the output)."""
-    model = fit_median_scaler(train, cols)
+    model = fit_median_scaler(train, cols, stored)
     dropped = [c for c in cols if c not in model.cols]
     return model.transform(apply.drop(*dropped))
 

@@ -129,7 +129,7 @@ def describe_panel(df: DataFrame, cols: list[str] | None = None, decimals: int =
     path = scratch_path(df.sparkSession, "describe")
     df.select(*[_c(c).cast("double").alias(c) for c in cols]).write.parquet(path)
     kept = df.sparkSession.read.parquet(path)
-    quants = column_quantiles(kept, cols, [0.25, 0.5, 0.75])
+    quants = column_quantiles(kept, cols, [0.25, 0.5, 0.75], stored=True)
     one = kept.agg(*[e for i, c in enumerate(cols) for e in (
         F.count(_c(c)).cast("long").alias(f"n{i}"), F.avg(_c(c)).alias(f"mean{i}"), F.stddev_samp(_c(c)).alias(f"std{i}"),
         F.min(_c(c)).alias(f"min{i}"), F.max(_c(c)).alias(f"max{i}"))]).crossJoin(F.broadcast(quants))  # one row each

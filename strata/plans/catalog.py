@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import NA_TOKENS, fround, rewrite_round_sql
 from ..operators import clean, joins, profile, impute, features
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources import fixtures as fx
 from ..sources.csv_io import scan_csv, sink_csv
 from ..sources.tables import read_table
@@ -648,9 +648,8 @@ def _h1_sql():
 
 @register("median_impute_scale", _h1_sql())
 def q_median_impute_scale(spark, sf):
-    from ..session import reliable_checkpoint
-    p = reliable_checkpoint(fx.panel(spark, sf))   # read by three passes: medians, moments, apply
-    out = features.median_impute_scale(p.where(F.col("period") < 1999), p, P_MEASURES)
+    p = stored(fx.panel(spark, sf), "panel")   # read by several passes: medians, moments, apply
+    out = features.median_impute_scale(p.where(F.col("period") < 1999), p, P_MEASURES, stored=True)
     return out.select(*[fround(c, 6).alias(c) if c in P_MEASURES else F.col(c) for c in out.columns])
 
 

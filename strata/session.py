@@ -73,6 +73,14 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, name: str):
+    """``df`` as a Parquet table in the shared checkpoint folder: cuts lineage, survives lost executors, and later
+    reads take only the columns that they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 * 1024 * 1024,
                      max_split_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Sizing for a cluster run: enough shuffle partitions that each holds about

@@ -87,17 +87,45 @@ def test_prefix_sums_equal_single_window(spark):
     assert ours.exceptAll(ref).count() == 0 and ours.count() == 2000
 
 
-def test_bracketed_quantiles_equal_exact(spark):
+def test_radix_quantiles_equal_exact(spark):
     df = spark.range(0, 5001).select(((F.col("id") * 37) % 1013 / 7.0).alias("x"), (F.col("id") % 5).cast("double").alias("y"))
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
     exact = df.agg(*[F.percentile(c, F.lit(p)).alias(f"{c}__q{p}") for c in ("x", "y") for p in probs]).first().asDict()
-    for accuracy in (50, 1000, 10_000):
-        got = column_quantiles(df, ["x", "y"], probs, accuracy=accuracy).first().asDict()
+    for stored in (False, True):
+        got = column_quantiles(df, ["x", "y"], probs, stored).first().asDict()
         assert all(abs(exact[k] - got[k]) < 1e-9 for k in exact)
     few = column_quantiles(df.where("id < 3").withColumn("z", F.lit(None).cast("double")), ["x", "z"], [0.5, 0.9]).first()
     assert few["z__q0.5"] is None and few["x__q0.5"] is not None
 
 
+def test_ordered_bits_keep_the_order_of_doubles():
+    import numpy as np
+    from strata.functions.stats import bits_value, ordered_bits
+    values = [-np.inf, -1.7e308, -1.0, -5e-324, -0.0, 0.0, 5e-324, 0.1, 1.0, 1.7e308, np.inf, np.nan]
+    keys = ordered_bits(np.array(values)).tolist()
+    assert keys == sorted(keys) and keys[4] == keys[5] and len(set(keys)) == len(keys) - 1
+    assert [bits_value(k) for k in keys[:-1]] == values[:-1] and np.isnan(bits_value(keys[-1]))
+
+
+def test_order_statistics_by_all_passes(spark):
+    """Values that share their upper bits, so that every pass counts; and with the last pass early."""
+    from strata.functions.stats import order_statistics
+    df = spark.range(3000).selectExpr("1.0D + (id * 7919 % 3000) * 1e-13D AS a", "-(id % 7) * 1e300D AS b")
+    values = [sorted(r[c] for r in df.collect()) for c in ("a", "b")]
+    wanted = {(0, 0), (0, 1234), (0, 2999), (1, 0), (1, 1500), (1, 2999)}
+    for few in (0, 10, 10_000):
+        got = order_statistics(df, ["a", "b"], wanted, few)
+        assert got == {(i, r): values[i][r] + 0.0 for i, r in wanted}
+
+
+def test_quantiles_of_odd_columns(spark):
+    df = spark.sql("SELECT * FROM VALUES (cast('-Infinity' AS double), 1.0D, cast(null AS double)), (0.0D, 1.0D, null), "
+                   "(-0.0D, null, null), (3.5D, 2.0D, null) AS t(a, b, c)")
+    got = column_quantiles(df, ["a", "b", "c"], [0.0, 0.5, 1.0]).first()
+    assert list(got) == [float("-inf"), 0.0, 3.5, 1.0, 1.0, 2.0, None, None, None]
+    assert list(column_quantiles(df.limit(0), ["a"], [0.5]).first()) == [None]
+
+
 def test_quantile_jobs_do_not_grow_with_columns(spark):
     def jobs(cols, probs):
         df = spark.range(0, 3000).select(*[((F.col("id") * (37 + i)) % 1013 / 7.0).alias(f"x{i}") for i in range(cols)])
