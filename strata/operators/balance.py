@@ -2,124 +2,38 @@
 
 Every smaller class is grown to the majority size.  Synthetic row j of a class takes a seed
 row (position drawn by md5), its r-th nearest neighbour in the same class (r drawn in
-1..k) and a step u in [0, 1): ``x + u * (neighbour - x)``.
-
-Neighbours are exact and only searched for the drawn seeds, without enumerating all pairs:
-rows are bucketed into a grid of cubic cells; each pending seed is joined (equi-join on cell
-ids) with the rows of the 3^d cells around its own cell and is *certified* once its k-th
-distance is at most the cell width (every row outside the block is farther).  Uncertified
-seeds retry on a grid with four times the cell width, so rounds grow with log4(span / cell).
-Ties are broken by key.
+1..k) and a step u in [0, 1): ``x + u * (neighbour - x)``.  Neighbours are searched for the drawn
+seeds only, without enumerating all pairs (``neighbours``).
 """
 from __future__ import annotations
 
-import itertools
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_uniform
 from ..functions.stats import global_index
-from ..session import reliable_checkpoint
-
-
-GRID_COLS = 3
-
-
-def thin_duplicates(points: DataFrame, cols: list[str], key: str, keep: int) -> DataFrame:
-    """Keep at most ``keep`` copies (smallest keys) of every distinct coordinate tuple.
-
-    In (distance, key) order the copies of one tuple are contiguous and sorted by key, so
-    with ``keep = k + 1`` (one spare for the excluded seed itself) no k-NN result changes,
-    while a hot duplicate group no longer reaches the neighbour search.  Copy ranks come from
-    a global position over (coordinates, key) and a per-tuple minimum (partial aggregate), so
-    a group holding a third of the rows is still spread over many tasks.
-    """
-    heavy = points.groupBy(*cols).count().where(F.col("count") > keep).limit(1).count()
-    if heavy == 0:  # no tuple has spare copies (one partial aggregate decides)
-        return points.select(key, *cols)
-    pos = global_index(points.select(key, *cols), [*cols, key], index_col="_g")
-    starts = pos.groupBy(*cols).agg(F.min("_g").alias("_g0"))
-    return (pos.join(starts, cols).where(F.col("_g") - F.col("_g0") < keep)
-            .select(key, *cols))
-
-
-def knn_for_seeds(points: DataFrame, seeds: DataFrame, cols: list[str], key: str, k: int,
-                  seed_id: str = "_pos", target_per_cell: float | None = None, max_levels: int = 80) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by ``key``, self excluded) of every seed.
-
-    ``points``: (key, *cols); ``seeds``: (seed_id, key, *cols).  Returns (seed_id, _rnk 1..k,
-    n_<col> for each col).
-
-    Level L uses cubic cells of width h * 4^L over the (at most ``GRID_COLS``) columns of largest span;
-    distances use all columns.  A pending seed is joined (equi-join on cell ids) with the rows of the
-    3^g cells around its own cell, g the number of gridded columns; its k best candidates are
-    certified when the k-th distance is at most the cell width (any row outside the block
-    is farther) or when one cell spans the whole data.  The block of level L contains the
-    block of level L-1, so every level starts afresh and only uncertified seeds go on.
-    """
-    points = thin_duplicates(points, cols, key, k + 1)
-    st = points.agg(F.count(F.lit(1)).alias("n"),
-                    *[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
-    n = st["n"]
-    spans = [max(float(st[f"hi{i}"] - st[f"lo{i}"]), 0.0) for i in range(len(cols))]
-    # a row outside the block differs by more than the cell width in a gridded column, so few columns suffice
-    grid = sorted(sorted(range(len(cols)), key=lambda i: -spans[i])[:GRID_COLS])
-    live = [spans[i] for i in grid if spans[i] > 0]
-    per_cell = target_per_cell or float(4 * (k + 1))
-    h0 = (math.prod(live) * per_cell / max(n, 1)) ** (1.0 / len(live)) if live else 1.0
-    h0 = max(h0, (max(live) if live else 1.0) / 2 ** 40)
-    lo = {i: float(st[f"lo{i}"]) for i in grid}
-    max_span = max(spans) if spans else 0.0
-    block = F.array(*[F.array(*[F.lit(v) for v in o]) for o in itertools.product((-1, 0, 1), repeat=len(grid))])
-    d2 = sum(((F.col(f"p_{c}") - F.col(f"s_{c}")) * (F.col(f"p_{c}") - F.col(f"s_{c}")) for c in cols), F.lit(0.0))
-    pts0 = points.select(F.col(key).alias("_pkey"), *[F.col(c).alias(f"p_{c}") for c in cols])
-    pending = seeds.select(F.col(seed_id).alias("_sid"), F.col(key).alias("_skey"),
-                           *[F.col(c).alias(f"s_{c}") for c in cols])
-    done = []
-    for level in range(max_levels):
-        h = h0 * (4.0 ** level)
-        pts = pts0.select("*", *[F.floor((F.col(f"p_{cols[i]}") - F.lit(lo[i])) / F.lit(h)).cast("long").alias(f"c{i}")
-                                 for i in grid])
-        probe = pending.select("*", F.explode(block).alias("_o")).select(
-            "_sid", "_skey", *[f"s_{c}" for c in cols],
-            *[(F.floor((F.col(f"s_{cols[i]}") - F.lit(lo[i])) / F.lit(h)).cast("long") + F.col("_o")[j]).alias(f"c{i}")
-              for j, i in enumerate(grid)])
-        cand = (probe.join(pts, [f"c{i}" for i in grid])
-                .where(F.col("_pkey") != F.col("_skey"))
-                .select("_sid", "_pkey", d2.alias("_d2"), *[f"p_{c}" for c in cols]))
-        w = Window.partitionBy("_sid").orderBy("_d2", "_pkey")
-        top = reliable_checkpoint(cand.withColumn("_rnk", F.row_number().over(w)).where(F.col("_rnk") <= k))
-        everything = h > max_span
-        ok = (top.groupBy("_sid").agg(F.count(F.lit(1)).alias("_m"), F.max("_d2").alias("_kd2"))
-              .where((F.col("_m") >= k) & ((F.col("_kd2") <= F.lit(h * h)) | F.lit(everything))).select("_sid"))
-        done.append(top.join(ok, "_sid", "left_semi"))
-        pending = reliable_checkpoint(pending.join(ok, "_sid", "left_anti"))
-        if pending.limit(1).count() == 0:
-            break
-    else:
-        raise RuntimeError("nearest-neighbour search did not converge")
-    res = done[0]
-    for part in done[1:]:
-        res = res.unionByName(part)
-    return res.select(F.col("_sid").alias(seed_id), "_rnk", *[F.col(f"p_{c}").alias(f"n_{c}") for c in cols])
+from .neighbours import knn_for_seeds, lsh_for_seeds, thin_duplicates  # noqa: F401
 
 
-def smote(df: DataFrame, y: str, cols: list[str], key: str, k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, y: str, cols: list[str], key: str, k: int = 5, seed: int = 42, search: str = "cells") -> DataFrame:
     """H4: the input rows plus synthetic rows until every class has the majority's size.
 
-    Output: (sample_id, *cols, y, synthetic).  Original rows keep their key as sample_id;
-    synthetic row j of a class gets -(j+1) (class order breaks ties between classes).
+    Output: (sample_id, synthetic_id, *cols, y, synthetic).  Original rows keep their key, of any type, as
+    sample_id and have no synthetic_id; synthetic rows are numbered from 1 over all classes (class order breaks
+    ties between classes) and have no sample_id.  ``search``: "cells" finds exact neighbours, "lsh" near ones by
+    locality-sensitive hashing.  A null label is refused.
     """
+    if search not in ("cells", "lsh"):
+        raise ValueError(f"search is 'cells' or 'lsh', not {search!r}")
+    find = knn_for_seeds if search == "cells" else lsh_for_seeds
     spark = df.sparkSession
-    counts = sorted(((r[0], r[1]) for r in df.groupBy(y).count().collect()), key=lambda t: (-t[1], t[0]))
-    maj, n_maj = counts[0]
-    base = df.select(F.col(key).cast("long").alias("sample_id"), *[F.col(c).cast("double").alias(c) for c in cols],
-                     F.col(y), F.lit(False).alias("synthetic"))
-    parts = [base]
-    offset = 0
+    counts = [(r[0], r[1]) for r in df.groupBy(y).count().collect()]
+    if any(label is None for label, _ in counts):
+        raise ValueError(f"column {y!r} holds rows without a label")
+    counts.sort(key=lambda t: (-t[1], t[0]))
+    parts = [df.select(F.col(key).alias("sample_id"), F.lit(None).cast("long").alias("synthetic_id"),
+                       *[F.col(c).cast("double").alias(c) for c in cols], F.col(y), F.lit(False).alias("synthetic"))]
+    offset, n_maj = 0, counts[0][1] if counts else 0
     for label, n in counts[1:]:
         if n <= k:
             raise ValueError(f"class {label!r} has {n} rows; need more than k={k}")
@@ -135,12 +49,11 @@ def smote(df: DataFrame, y: str, cols: list[str], key: str, k: int = 5, seed: in
             (F.floor(hash_uniform(F.col("id"), seed, f"{salt}:nn") * F.lit(k)) + 1).cast("int").alias("_rnk"),
             hash_uniform(F.col("id"), seed, f"{salt}:step").alias("_step"))
         seeds = pos.join(draws.select("_pos").distinct(), "_pos", "left_semi")
-        nbrs = knn_for_seeds(pos.select(key, *cols), seeds.select("_pos", key, *cols), cols, key, k)
-        syn = (draws.join(pos.select("_pos", *cols), "_pos").join(nbrs, ["_pos", "_rnk"])
-               .select((-(F.col("_j") + 1 + F.lit(offset))).alias("sample_id"),
-                       *[(F.col(c) + F.col("_step") * (F.col(f"n_{c}") - F.col(c))).alias(c) for c in cols],
-                       F.lit(label).cast(df.schema[y].dataType).alias(y), F.lit(True).alias("synthetic")))
-        parts.append(syn)
+        nbrs = find(pos.select(key, *cols), seeds.select("_pos", key, *cols), cols, key, k)
+        parts.append(draws.join(pos.select("_pos", *cols), "_pos").join(nbrs, ["_pos", "_rnk"]).select(
+            F.lit(None).cast(df.schema[key].dataType).alias("sample_id"), (F.col("_j") + 1 + offset).alias("synthetic_id"),
+            *[(F.col(c) + F.col("_step") * (F.col(f"n_{c}") - F.col(c))).alias(c) for c in cols],
+            F.lit(label).cast(df.schema[y].dataType).alias(y), F.lit(True).alias("synthetic")))
         offset += n_new
     out = parts[0]
     for p in parts[1:]:

@@ -39,7 +39,7 @@ def _prepare(train: DataFrame, apply: DataFrame, y: str, cols: list[str], key: s
     tr = scaler.transform(train.select(key, y, *cols))
     ap = scaler.transform(apply.select(key, y, *cols))
     bal = smote(tr, y, scaler.cols, key, k=k, seed=seed).withColumnRenamed("sample_id", key)
-    return bal.drop("synthetic"), ap, scaler.cols
+    return bal.drop("synthetic", "synthetic_id"), ap, scaler.cols
 
 
 def _kept(df: DataFrame) -> DataFrame:

@@ -836,7 +836,9 @@ def _smote(spark, sf):
 @register("smote", _smote_sql())
 def q_smote(spark, sf):
     out = _smote(spark, sf)
-    return out.select("sample_id", *[fround(c, 6).alias(c) for c in SMOTE_COLS], "toxic", "synthetic")
+    # one column of ids: the documents' own ones, and negative numbers for synthetic rows
+    return out.select(F.coalesce(F.col("sample_id").cast("long"), -F.col("synthetic_id")).alias("sample_id"),
+                      *[fround(c, 6).alias(c) for c in SMOTE_COLS], "toxic", "synthetic")
 
 
 @register("balance_counts", W(
