@@ -1,6 +1,8 @@
 """Words of many texts at once, as 64-bit hashes, in numpy."""
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _rng = np.random.default_rng(20240229)
@@ -52,6 +54,9 @@ def range_hashes(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray, salt: i
     return mix((prefix[end] - prefix[begin]) * down[begin] + (end - begin).astype(np.uint64), salt)
 
 
+#: Longer words are hashed by BLAKE2: sums of powers modulo 2**64 are equal for some pairs of 1,024 letters and more,
+#: made of two letters in the order of Thue and Morse and of its complement.
+PLAIN_BYTES = 256
 #: Bytes hashed at once; bounds memory whatever the lengths of texts.
 CHUNK = 1 << 20
 
@@ -87,5 +92,9 @@ def _words(data: np.ndarray, lo: int, hi: int, inner: np.ndarray, lower: bool):
     last = first[first > 0] - 1
     ends[last] = ~space[last]
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    prefix = prefix_hashes(_TABLE[_LOWER[part] if lower else part])
-    return range_hashes(prefix, begin, end), begin + lo, end + lo
+    letters = _LOWER[part] if lower else part
+    hashes = range_hashes(prefix_hashes(_TABLE[letters]), begin, end)
+    for i in np.flatnonzero(end - begin > PLAIN_BYTES):
+        name = hashlib.blake2b(letters[begin[i]:end[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = np.frombuffer(name, np.uint64)[0]
+    return hashes, begin + lo, end + lo

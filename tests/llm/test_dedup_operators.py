@@ -94,3 +94,25 @@ def test_suffix_dedup(odd, none):
         got = suffix_dedup(odd, length=length, core=core, shard_strings=shard)
         assert sorted([tuple(r) for r in got.select(*cols).collect()], key=key) == want[length]
     assert suffix_dedup(none).count() == 0
+
+
+def test_words_of_two_letters_in_the_order_of_thue_and_morse(spark):
+    """Sums of powers modulo 2**64 don't tell such a word from its complement; the operators do."""
+    import numpy as np
+    from strata.llm.common import flat
+    from strata.llm.words import words
+    import pyarrow as pa
+    bits = np.array([0])
+    for _ in range(12):
+        bits = np.concatenate([bits, 1 - bits])
+    pairs = []
+    for n in (64, 256, 257, 1024, 2048, 4096):
+        a = "".join("ab"[b] for b in bits[:n])
+        pairs += [a, a.translate(str.maketrans("ab", "ba"))]
+    assert len(set(words(*flat(pa.array(pairs)), lower=False)[0].tolist())) == len(pairs)
+    docs = spark.createDataFrame(list(enumerate(pairs)), "doc_id bigint, text string")
+    assert all(r.component_id == r.doc_id for r in similar_sets(docs, n_words=3, percent=90).collect())
+    long_ = pairs[-2:]
+    rows = [(0, " ".join([long_[0]] * 50)), (1, " ".join([long_[1]] * 50)), (2, " ".join([long_[1]] * 50))]
+    got = {r.doc_id: r.n_removed for r in substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {0: 0, 1: 0, 2: 50}
