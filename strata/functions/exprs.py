@@ -24,11 +24,6 @@ NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType
                  T.DoubleType, T.DecimalType)
 
 
-def nan_to_null(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.nanvl(c, F.lit(None).cast("double"))
-
-
 def normalize_floats(df: DataFrame) -> DataFrame:
     """NaN -> null on every floating column (pandas has one missing marker, Spark two)."""
     cols = []
@@ -102,54 +97,10 @@ def safe_corr(a: Column | str, b: Column | str) -> Column:
         F.try_divide(F.covar_pop(xa, xb), F.nullif(denom, F.lit(0.0))))
 
 
-# Rounding to d decimals as floor(x * 10^d + 0.5) / 10^d in binary floating point.  Spark's
-# round() rounds half up on the shortest decimal form of a double and other engines round the
-# scaled binary value, so the two disagree on values whose decimal form ends in 5 at the cut;
-# this definition is the same IEEE arithmetic everywhere (``fround_sql`` is its SQL twin).
-_EXACT_INT = 4503599627370496.0  # 2^52: from here on doubles are integers already
-
-
 def fround(c: Column | str, d: int) -> Column:
+    """``c`` to d decimals, halves to even on the scaled binary value, as numpy and pandas round:
+    ``rint(c * 10^d) / 10^d``.  ``plans.sqlgen.fround_sql`` is its SQL twin; Spark's ``round`` works on the shortest
+    decimal form instead, and the two differ where that form ends in 5 at the cut."""
     c = F.col(c) if isinstance(c, str) else c
     m = F.lit(float(10 ** d))
-    y = c.cast("double") * m
-    return F.when(F.abs(y) < F.lit(_EXACT_INT), F.floor(y + F.lit(0.5)).cast("double")).otherwise(y) / m
-
-
-def fround_sql(expr: str, d: int) -> str:
-    m = f"CAST({10 ** d} AS DOUBLE)"
-    y = f"(CAST({expr} AS DOUBLE) * {m})"
-    return f"(CASE WHEN abs({y}) < {_EXACT_INT!r} THEN floor({y} + 0.5) ELSE {y} END / {m})"
-
-
-def rewrite_round_sql(sql: str) -> str:
-    """Replace every ``round(expr, d)`` with d >= 1 (outside string literals) by ``fround_sql``."""
-    out, i, n = [], 0, len(sql)
-    while i < n:
-        ch = sql[i]
-        if ch == "'":
-            j = sql.index("'", i + 1) + 1
-            out.append(sql[i:j])
-            i = j
-            continue
-        if (sql[i:i + 6].lower() == "round(" and (i == 0 or not (sql[i - 1].isalnum() or sql[i - 1] == "_"))):
-            j, depth, comma = i + 6, 1, None
-            while depth:
-                c = sql[j]
-                if c == "'":
-                    j = sql.index("'", j + 1)
-                elif c == "(":
-                    depth += 1
-                elif c == ")":
-                    depth -= 1
-                elif c == "," and depth == 1:
-                    comma = j
-                j += 1
-            digits = sql[comma + 1:j - 1].strip() if comma else ""
-            if digits.isdigit() and int(digits) >= 1:
-                out.append(fround_sql(rewrite_round_sql(sql[i + 6:comma]), int(digits)))
-                i = j
-                continue
-        out.append(ch)
-        i += 1
-    return "".join(out)
+    return F.rint(c.cast("double") * m) / m

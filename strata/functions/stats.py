@@ -153,59 +153,70 @@ def column_medians(df: DataFrame, cols: list[str], stored: bool = False) -> Data
     return q.select(*[F.col(f"`{_qname(c, 0.5)}`").alias(c) for c in cols])
 
 
-def _running(ordered: DataFrame, value_cols: list[str], prefix: str) -> DataFrame:
-    """Running sums within each partition, in its order, as one pass of numpy over Arrow batches."""
-    fields = list(ordered.schema.fields)
-    for v in value_cols:
-        whole = isinstance(ordered.schema[v].dataType, T.IntegralType)
-        fields.append(T.StructField(f"{prefix}{v}", T.LongType() if whole else T.DoubleType()))
+def _running(ordered: DataFrame, value_cols: list[str], prefix: str, previous: str | None) -> DataFrame:
+    """Running sums (and with ``previous`` the values of the row before) within each partition, in its order, as one
+    pass of numpy over Arrow batches."""
+    kinds = {v: T.LongType() if isinstance(ordered.schema[v].dataType, T.IntegralType) else T.DoubleType() for v in value_cols}
+    names = [f"{prefix}{v}" for v in value_cols] + ([f"{previous}{v}" for v in value_cols] if previous else [])
+    schema = T.StructType([*ordered.schema.fields, *[T.StructField(n, kinds[v]) for n, v in zip(names, value_cols * 2)]])
 
     def run(batches):
-        total = {v: 0 for v in value_cols}
+        total, last = {v: 0 for v in value_cols}, {v: None for v in value_cols}
         for batch in batches:
-            columns = list(batch.columns)
-            for v, field in zip(value_cols, fields[len(columns):]):
-                kind = np.int64 if isinstance(field.dataType, T.LongType) else np.float64
-                some = pc.fill_null(batch.column(v).cast(pa.from_numpy_dtype(kind)), 0).to_numpy(zero_copy_only=False)
-                sums = np.cumsum(some, dtype=kind) + total[v]
-                total[v] = sums[-1] if len(sums) else total[v]
-                columns.append(pa.array(sums))
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+            if not batch.num_rows:
+                continue
+            sums, before = [], []
+            for v in value_cols:
+                kind = np.int64 if isinstance(kinds[v], T.LongType) else np.float64
+                some = pc.fill_null(batch.column(v).cast(pa.from_numpy_dtype(kind)), 0)
+                run_sum = np.cumsum(some.to_numpy(zero_copy_only=False), dtype=kind) + total[v]
+                total[v] = run_sum[-1]
+                sums.append(pa.array(run_sum))
+                before.append(pa.concat_arrays([pa.array([last[v]], some.type), some.slice(0, len(some) - 1)]))
+                last[v] = some[len(some) - 1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, *sums, *(before if previous else [])], names=schema.names)
 
-    return ordered.mapInArrow(run, T.StructType(fields))
+    return ordered.mapInArrow(run, schema)
 
 
 def prefix_sums(df: DataFrame, order_cols: list[str], value_cols: list[str] = (),
                 descending: bool = False, partitions: int | None = None,
-                index_col: str = "_gidx", prefix: str = "cum_", bucket_col: str | None = None) -> DataFrame:
+                index_col: str = "_gidx", prefix: str = "cum_", bucket_col: str | None = None,
+                previous: str | None = None) -> DataFrame:
     """Add a 0-based global position ``index_col`` in the total order of ``order_cols`` and an
     inclusive running sum ``cum_<v>`` of each value column (whole numbers or doubles; nulls add nothing).
 
     One range shuffle; ``order_cols`` must give a total order (unique keys) for positions to be reproducible.
-    ``bucket_col`` also names the range that a row lies in, a stretch of positions.
+    ``bucket_col`` also names the range that a row lies in, a stretch of positions; ``previous`` prefixes columns
+    with the values of the row before (nulls as 0; null at the first row).
     """
     spark = df.sparkSession
+    value_cols = list(value_cols)
     ordered = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order_cols]
     ranged = df.repartitionByRange(partitions, *ordered) if partitions else df.repartitionByRange(*ordered)
-    placed = ranged.sortWithinPartitions(*ordered).withColumn("_place", F.monotonically_increasing_id())
+    placed = ranged.sortWithinPartitions(*ordered).withColumn("__place", F.monotonically_increasing_id())
     if value_cols:
-        placed = _running(placed, list(value_cols), "_run_")
+        placed = _running(placed, value_cols, "__run_", "__prev_" if previous else None)
     path = scratch_path(spark, "ordered")
     placed.write.parquet(path)  # freezes the ranges; lineage cut on shared storage
     table = spark.read.schema(placed.schema).parquet(path)
-    bucket = F.shiftright("_place", PLACE_BITS).cast("int")
-    totals = table.groupBy(bucket.alias("_bucket")).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t_{v}") for v in value_cols])
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
+    bucket = F.shiftright("__place", PLACE_BITS).cast("int")
+    totals = table.groupBy(bucket.alias("__bucket")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t_{v}") for v in value_cols],
+        *[F.max_by(F.coalesce(v, F.lit(0)), "__place").alias(f"_l_{v}") for v in value_cols if previous])
+    across = Window.orderBy("__bucket")  # over one row a range
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off_n"),
-        *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in value_cols])
-    out = table.withColumn("_bucket", bucket).join(F.broadcast(offsets), "_bucket")
-    place = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+        "__bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("__off_n"),
+        *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"__off_{v}") for v in value_cols],
+        *[F.lag(f"_l_{v}").over(across).alias(f"__edge_{v}") for v in value_cols if previous])
+    out = table.withColumn("__bucket", bucket).join(F.broadcast(offsets), "__bucket")
+    place = F.col("__place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     return out.select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("_off_n") + place).alias(index_col),
-        *[(F.col(f"_off_{v}") + F.col(f"_run_{v}")).alias(f"{prefix}{v}") for v in value_cols],
-        *([F.col("_bucket").alias(bucket_col)] if bucket_col else []))
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("__off_n") + place).alias(index_col),
+        *[(F.col(f"__off_{v}") + F.col(f"__run_{v}")).alias(f"{prefix}{v}") for v in value_cols],
+        *[F.coalesce(f"__prev_{v}", f"__edge_{v}").alias(f"{previous}{v}") for v in value_cols if previous],
+        *([F.col("__bucket").alias(bucket_col)] if bucket_col else []))
 
 
 def global_index(df: DataFrame, order_cols: list[str], descending: bool = False,

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import coerce_double, numeric_columns  # noqa: F401  (re-export B3)
 from ..functions.stats import column_medians
+from .joins import with_scalar
 
 
 def _c(name: str):
@@ -100,7 +101,7 @@ def _median_filled(df: DataFrame, col: str) -> DataFrame:
     base = df.withColumn(col, coerce_double(_c(col)) if isinstance(df.schema[col].dataType, T.StringType)
                          else _c(col).cast("double"))
     med = column_medians(base.select(col), [col]).select(F.col(col).alias("_median"))
-    return (base.crossJoin(F.broadcast(med))          # one-row aggregate (C5)
+    return (with_scalar(base, med)
             .withColumn(col, F.coalesce(_c(col), F.col("_median"))).drop("_median"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import column_medians
+from .joins import with_scalar
 
 
 def _c(name: str):
@@ -92,7 +93,7 @@ def standard_scale(df: DataFrame, cols: list[str]) -> DataFrame:
     stats = df.agg(*[e for c in cols for e in (
         F.avg(_c(c)).alias(f"_mean_{c}"),
         F.when(F.stddev_pop(_c(c)) == 0, F.lit(1.0)).otherwise(F.stddev_pop(_c(c))).alias(f"_sd_{c}"))])
-    joined = df.crossJoin(F.broadcast(stats))
+    joined = with_scalar(df, stats)
     return joined.select(*[(((_c(c) - F.col(f"`_mean_{c}`")) / F.col(f"`_sd_{c}`")).alias(c) if c in cols else _c(c))
                            for c in df.columns])
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import fround
 from ..session import reliable_checkpoint
 from .features import latest_per_entity
 
@@ -38,44 +37,83 @@ class LinearModel:
         return False
 
 
+#: Parameters that name what a stage reads, and what it makes.
+_READS = ("inputCol", "featuresCol", "inputCols")
+_MAKES = ("outputCol", "outputCols", "predictionCol", "probabilityCol", "rawPredictionCol", "varianceCol")
+
+
+def _names(stage, params: tuple[str, ...]) -> dict[str, list[str]]:
+    """Set column parameters of a stage, each as a list of names."""
+    out = {}
+    for name in params:
+        if stage.hasParam(name) and stage.isDefined(stage.getParam(name)):
+            value = stage.getOrDefault(name)
+            if value:
+                out[name] = [value] if isinstance(value, str) else list(value)
+    return out
+
+
+def _stages(model) -> list:
+    """Stages of a fitted model, pipelines within pipelines laid out flat."""
+    if not hasattr(model, "stages"):
+        return [model]
+    return [s for inner in model.stages for s in _stages(inner)]
+
+
 class SparkModelAdapter:
-    """Wrap a fitted Spark ML model (or PipelineModel) that reads a vector of ``features``."""
+    """A fitted Spark ML model, or a whole PipelineModel, as a step of a forecast.
+
+    A pipeline's stages are copied and re-wired: what they make gets names of its own, so that columns carried
+    from step to step (a prediction, a vector, an index of the same name) are neither read nor overwritten, and
+    what they read from the data stays.  A vector that no stage makes is assembled from ``features``, which
+    for a pipeline that makes its own may be left out.
+    """
 
-    def __init__(self, model, features: list[str], prediction_col: str = "prediction"):
-        self.model = model
-        self.features = list(features)
-        self.prediction_col = prediction_col
+    def __init__(self, model, features: list[str] | None = None, prediction_col: str = "prediction"):
+        self.stages, self.made, renamed = [], [], {}
+        read: list[str] = []
+        fitted = _stages(model)
+        for n, stage in enumerate(fitted):
+            copy = stage.copy()
+            for name, cols in _names(stage, _READS).items():
+                read += [c for c in cols if c not in renamed and c not in read]
+                self._rename(copy, name, cols, renamed)
+            fresh = {name: [f"_m{n}_{c}" for c in cols] for name, cols in _names(stage, _MAKES).items()}
+            for name, cols in _names(stage, _MAKES).items():
+                renamed |= dict(zip(cols, fresh[name]))
+                self._rename(copy, name, cols, renamed)
+                self.made += fresh[name]
+            self.stages.append(copy)
+        if prediction_col not in renamed:
+            raise ValueError(f"the model makes no column {prediction_col!r}")
+        self.prediction = renamed[prediction_col]
+        vectors = _names(fitted[-1], ("featuresCol",)).get("featuresCol", [])
+        #: The vector to assemble, if the model reads one that it doesn't make.
+        self.vector = vectors[0] if vectors and vectors[0] in read else None
+        self.features = list(features) if features is not None else [c for c in read if c != self.vector]
+        if self.vector and not self.features:
+            raise ValueError("a model without an assembler needs the names of its features")
+
+    @staticmethod
+    def _rename(stage, name: str, cols: list[str], renamed: dict[str, str]) -> None:
+        new = [renamed.get(c, c) for c in cols]
+        if new != cols:
+            stage._set(**{name: new if name.endswith("s") else new[0]})
 
     def predict(self, df: DataFrame, out: str = "_pred") -> DataFrame:
-        from pyspark.ml.feature import VectorAssembler
-        vec = VectorAssembler(inputCols=self.features, outputCol="_fx", handleInvalid="keep").transform(df)
-        model = self.model.copy()
-        try:
-            model.setFeaturesCol("_fx")
-            model.setPredictionCol("_mlpred")
-        except AttributeError:
-            pass
-        scored = model.transform(vec)
-        return scored.withColumn(out, F.col("_mlpred").cast("double")).drop(
-            "_fx", "_mlpred", "rawPrediction", "probability")
+        work = df
+        if self.vector:
+            from pyspark.ml.feature import VectorAssembler
+            work = VectorAssembler(inputCols=self.features, outputCol="_m_features", handleInvalid="keep").transform(work)
+            work = work.withColumn(self.vector, F.col("_m_features")).drop("_m_features")
+        for stage in self.stages:
+            work = stage.transform(work)
+        return work.select(*[F.col(f"`{c}`") for c in df.columns if c != out], F.col(self.prediction).cast("double").alias(out))
 
     def needs_checkpoint(self) -> bool:
         return True
 
 
-def fit_linear_1d(df: DataFrame, y: str, x: str, slope_decimals: int | None = None,
-                  intercept_decimals: int | None = None) -> LinearModel:
-    """Least-squares line of ``y`` on one feature (``regr_slope``/``regr_intercept``), optionally
-    with rounded coefficients so that other engines reproduce every prediction bit for bit."""
-    slope, icpt = F.regr_slope(y, x), F.regr_intercept(y, x)
-    if slope_decimals is not None:
-        slope = fround(slope, slope_decimals)
-    if intercept_decimals is not None:
-        icpt = fround(icpt, intercept_decimals)
-    row = df.agg(slope.alias("b"), icpt.alias("a")).first()
-    return LinearModel(row["a"], {x: row["b"]})
-
-
 def _maybe_checkpoint(state: DataFrame, model, step: int, every: int) -> DataFrame:
     if model.needs_checkpoint() and step % every == 0:
         return reliable_checkpoint(state)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import prefix_sums
-from ..session import reliable_checkpoint
 
 
 def prediction_counts(df: DataFrame, col: str = "prediction") -> DataFrame:
@@ -92,27 +91,25 @@ def roc_points(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
 def roc_curve(df: DataFrame, y: str = "y", score: str = "score", drop_intermediate: bool = True) -> DataFrame:
     """(idx, threshold, fpr, tpr) at each distinct score from high to low, starting at the
     origin (idx 0, threshold null).  ``drop_intermediate`` removes points that are collinear
-    with both neighbours (second difference of both counts is 0), as scikit-learn does."""
-    pts = roc_points(df, y, score)
-    n = df.where(F.col(score).isNotNull()).agg(F.sum(F.col(y).cast("long")).alias("P"), F.sum((1 - F.col(y)).cast("long")).alias("N"))
-    pts = pts.select("threshold", F.col("_gidx").alias("i"), F.col("cum_tp").alias("ctp"), F.col("cum_fp").alias("cfp"))
+    with both neighbours (second difference of both counts is 0), as scikit-learn does.
+
+    The step to a point is its score's own counts, and the step after it those of the next lower score, which in
+    ascending order is the row before: one pass in that order gives sums and steps, without a self-join.
+    """
+    totals = _score_totals(df, y, score)
+    pts = prefix_sums(totals, ["threshold"], ["tp", "fp"], previous="next_")
+    n = pts.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"), F.count(F.lit(1)).alias("_scores"))  # one row
+    pts = pts.crossJoin(F.broadcast(n)).withColumn("i", F.col("_scores") - 1 - F.col("_gidx"))
     if drop_intermediate:
-        # read four times below (points, previous, next, last index): written once
-        pts = reliable_checkpoint(pts)
-        last = pts.agg(F.max("i").alias("last_i"))
-        prev = pts.select((F.col("i") + 1).alias("i"), F.col("ctp").alias("p_tp"), F.col("cfp").alias("p_fp"))
-        nxt = pts.select((F.col("i") - 1).alias("i"), F.col("ctp").alias("n_tp"), F.col("cfp").alias("n_fp"))
-        j = pts.join(prev, "i", "left").join(nxt, "i", "left").crossJoin(F.broadcast(last))
-        keep = ((F.col("i") == 0) | (F.col("i") == F.col("last_i"))
-                | (F.col("n_fp") - 2 * F.col("cfp") + F.col("p_fp") != 0)
-                | (F.col("n_tp") - 2 * F.col("ctp") + F.col("p_tp") != 0))
-        pts = j.where(keep).select("threshold", "i", "ctp", "cfp")
-    origin = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"), F.lit(-1).cast("long").alias("i"),
-                                             F.lit(0).cast("long").alias("ctp"), F.lit(0).cast("long").alias("cfp"))
-    allp = pts.unionByName(origin).crossJoin(F.broadcast(n))
-    return allp.select((F.col("i") + 1).alias("idx"), "threshold",
-                       F.try_divide(F.col("cfp").cast("double"), F.col("N")).alias("fpr"),
-                       F.try_divide(F.col("ctp").cast("double"), F.col("P")).alias("tpr"))
+        pts = pts.where((F.col("i") == 0) | (F.col("i") == F.col("_scores") - 1)
+                        | (F.col("next_tp") != F.col("tp")) | (F.col("next_fp") != F.col("fp")))
+    ctp, cfp = F.col("P") - F.col("cum_tp") + F.col("tp"), F.col("N") - F.col("cum_fp") + F.col("fp")
+    rate = lambda c, of: F.try_divide(c.cast("double"), F.col(of))
+    points = pts.select((F.col("i") + 1).alias("idx"), F.col("threshold").cast("double").alias("threshold"),
+                        rate(cfp, "N").alias("fpr"), rate(ctp, "P").alias("tpr"))
+    origin = n.select(F.lit(0).cast("long").alias("idx"), F.lit(None).cast("double").alias("threshold"),
+                      rate(F.lit(0), "N").alias("fpr"), rate(F.lit(0), "P").alias("tpr"))
+    return origin.unionByName(points)
 
 
 def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:

@@ -9,13 +9,16 @@ import logging
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import fround, numeric_columns
 from ..functions.stats import column_quantiles
-from ..session import scratch_path
+from ..session import scratch_path, stored
 
 log = logging.getLogger(__name__)
 
@@ -140,29 +143,90 @@ def describe_panel(df: DataFrame, cols: list[str] | None = None, decimals: int =
                                          for s in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
+#: Rows of which one block of moments is made, and the relative variance below which a column may be constant.
+MOMENT_ROWS, NEARLY_CONSTANT = 4096, 1e-9
+
+
+def _block_moments(x: np.ndarray, out: np.ndarray) -> None:
+    """Add the moments of a block (rows x columns, NaN for null) to ``out`` (4, columns, columns).
+
+    Entry [., a, b] belongs to the rows in which both columns have a value: their number, the sums of a and of a
+    squared, and the sum of a * b.  Rows with an infinite value are taken one by one, as 0 * inf is no 0.
+    """
+    there = ~np.isnan(x)
+    odd = np.isinf(x).any(1)
+    m, v = there[~odd].astype(float), np.where(there[~odd], x[~odd], 0.0)
+    out[0] += m.T @ m
+    out[1] += v.T @ m
+    out[2] += (v * v).T @ m
+    out[3] += v.T @ v
+    with np.errstate(invalid="ignore"):
+        for row, ok in zip(x[odd], there[odd]):
+            at = np.flatnonzero(ok)
+            both = np.ix_(at, at)
+            out[0][both] += 1
+            out[1][both] += row[at, None]
+            out[2][both] += row[at, None] ** 2
+            out[3][both] += row[at, None] * row[None, at]
+
+
+def pair_moments(table: DataFrame, cols: list[str], centre: dict[str, float]) -> DataFrame:
+    """(i, j, n, sa, sb, saa, sbb, sab) for each pair i <= j of ``cols``: moments over the rows in which both have a
+    value, of values less ``centre``.  One pass; a task multiplies blocks of columns and gives out one row a pair."""
+    shift = np.array([centre[c] for c in cols])
+
+    def run(batches):
+        total = np.zeros((4, len(cols), len(cols)))
+        for batch in batches:
+            for a in range(0, batch.num_rows, MOMENT_ROWS):
+                some = batch.slice(a, MOMENT_ROWS)
+                _block_moments(np.stack([pc.cast(some.column(c), pa.float64()).to_numpy(zero_copy_only=False) for c in cols], 1) - shift, total)
+        i, j = np.triu_indices(len(cols))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[0][i, j].astype(np.int64)),
+             *[pa.array(x) for x in (total[1][i, j], total[1][j, i], total[2][i, j], total[2][j, i], total[3][i, j])]],
+            names=["i", "j", "n", "sa", "sb", "saa", "sbb", "sab"])
+
+    sums = table.select(*[_c(c).cast("double").alias(c) for c in cols]).mapInArrow(
+        run, "i int, j int, n bigint, sa double, sb double, saa double, sbb double, sab double")
+    return sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+
+
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None, decimals: int | None = 6) -> DataFrame:
     """Pearson correlation of every pair (pairwise complete), long form, mirrored.
 
-    Each row is expanded into one (pair, x, y) record per column pair on the fly and the
-    moments are aggregated per pair: a handful of aggregate functions per group keeps the
-    aggregation inside whole-stage codegen (one wide aggregate with hundreds of functions
-    falls back to interpreted evaluation), and partial aggregation shrinks the expanded
-    stream to one row per pair and task before the shuffle.
+    The columns are written once.  One pass over them gives the moments of all pairs by products of column
+    blocks (``pair_moments``; values are centred by their column's mean, so that sums of squares keep their digits);
+    rows are not expanded, and one row a pair and task is shuffled.  A pair in which a column has one value only
+    has no correlation; the few pairs whose variance is nearly 0 are looked at by minimum and maximum.
     """
     cols = cols or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    recs = []
-    for a, b in pairs:
-        both = _c(a).isNotNull() & _c(b).isNotNull()
-        recs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             F.when(both, _c(a).cast("double")).alias("xa"),
-                             F.when(both, _c(b).cast("double")).alias("xb")))
-    long = df.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
-    xa, xb = F.col("xa"), F.col("xb")
-    degenerate = (F.count(xa) < 2) | (F.min(xa) == F.max(xa)) | (F.min(xb) == F.max(xb))
-    corr = F.when(degenerate, F.lit(None).cast("double")).otherwise(
-        F.try_divide(F.covar_pop(xa, xb), F.nullif(F.stddev_pop(xa) * F.stddev_pop(xb), F.lit(0.0))))
-    upper = long.groupBy("col_a", "col_b").agg(corr.alias("corr"))
+    spark = df.sparkSession
+    plain = [f"c{i}" for i in range(len(cols))]
+    kept = stored(df.select(*[_c(c).cast("double").alias(x) for c, x in zip(cols, plain)]), "correlation")
+    mean = kept.agg(*[F.avg(x).alias(x) for x in plain]).first()
+    centre = {x: mean[x] if mean[x] is not None and math.isfinite(mean[x]) else 0.0 for x in plain}
+    sums = stored(pair_moments(kept, plain, centre), "moments")
+    va, vb = (F.col("n") * F.col(f"s{x}{x}") - F.col(f"s{x}") * F.col(f"s{x}") for x in "ab")
+    flat = (va <= NEARLY_CONSTANT * F.col("n") * F.col("saa")) | (vb <= NEARLY_CONSTANT * F.col("n") * F.col("sbb"))
+    doubtful = [(r["i"], r["j"]) for r in sums.where(F.col("n") >= 2).where(flat).select("i", "j").collect()]
+    constant: list[tuple[int, int]] = []
+    for start in range(0, len(doubtful), 50):
+        some = doubtful[start:start + 50]
+        ends = kept.agg(*[e for k, (i, j) in enumerate(some) for x, y in ((i, j), (j, i)) for e in (
+            F.min(F.when(F.col(plain[y]).isNotNull(), F.col(plain[x]))).alias(f"lo{k}_{x}_{y}"),
+            F.max(F.when(F.col(plain[y]).isNotNull(), F.col(plain[x]))).alias(f"hi{k}_{x}_{y}"))]).first()
+        constant += [(i, j) for k, (i, j) in enumerate(some) if any(
+            ends[f"lo{k}_{x}_{y}"] == ends[f"hi{k}_{x}_{y}"] for x, y in ((i, j), (j, i)))]
+    name = F.array(*[F.lit(c) for c in cols])
+    no = F.lit(False) if not constant else F.struct("i", "j").isin(
+        [F.struct(F.lit(i).cast("int").alias("i"), F.lit(j).cast("int").alias("j")) for i, j in constant])
+    n = F.col("n")
+    covariance = n * F.col("sab") - F.col("sa") * F.col("sb")
+    corr = F.when((n < 2) | no, F.lit(None).cast("double")).otherwise(
+        F.try_divide(covariance, F.nullif(F.sqrt(va) * F.sqrt(vb), F.lit(0.0))))
+    upper = sums.select(name[F.col("i")].alias("col_a"), name[F.col("j")].alias("col_b"),
+                        F.when(F.col("i") == F.col("j"), F.when(corr.isNotNull(), F.lit(1.0) + corr * 0)).otherwise(corr).alias("corr"))
     mirrored = upper.where("col_a <> col_b").select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
     out = upper.unionByName(mirrored)
     return out.withColumn("corr", fround("corr", decimals)) if decimals is not None else out

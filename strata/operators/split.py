@@ -1,7 +1,8 @@
 """Reproducible splits, folds and search spaces.
 
 Draws come from md5 of (seed, key) – the same value in any engine and on any re-run –
-never from ``rand()``.  Exact per-class cuts use a global position in (class, draw, key)
+never from ``rand()``.  Exact cuts of a class come from counts of its draws and an order of the few rows
+near the cut; folds, which need every row's rank, use a global position in (class, draw, key)
 order from the K2 helper instead of one window per class, so a class holding most rows is
 still spread over many tasks.
 """
@@ -16,15 +17,12 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import hash_uniform
 from ..functions.stats import global_index
+from ..session import stored
 
 
-def _rank_in_class(df: DataFrame, y: str, key: str, seed: int, min_rows: int = 0) -> DataFrame:
+def _rank_in_class(df: DataFrame, y: str, key: str, seed: int) -> DataFrame:
     drawn = df.withColumn("_u", hash_uniform(key, seed))
     counts = drawn.groupBy(y).agg(F.count(F.lit(1)).alias("_n_class"))
-    if min_rows:
-        # checked inside the plan (no extra job): fails the query when a class is too small
-        counts = counts.where(F.assert_true(F.col("_n_class") >= min_rows,
-                                            f"a class has fewer than {min_rows} rows").isNull())
     # class offsets from the per-class counts (one row per class): smaller labels come first
     before = Window.orderBy(F.col(y).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(y, "_n_class", F.coalesce(F.sum("_n_class").over(before), F.lit(0)).alias("_off"))
@@ -36,19 +34,59 @@ def _rank_in_class(df: DataFrame, y: str, key: str, seed: int, min_rows: int = 0
             .drop("_gidx", "_off"))
 
 
+#: Equal parts of [0, 1) into which draws are counted by class.
+DRAW_PARTS = 4096
+
+
+def class_cuts(df: DataFrame, y: str, key: str, share: float, seed: int) -> DataFrame:
+    """(_class, _cut_u, _cut_key): of each class the last row, by (draw, key), of its round(share x rows) first ones;
+    null where that is none.
+
+    Draws are counted by class and part of [0, 1): the part that holds the last row is known from counts alone, and
+    only the rows in it, one in ``DRAW_PARTS``, are put in order.
+    """
+    drawn = df.select(F.col(y).alias("_class"), F.col(key).alias("_key"), hash_uniform(key, seed).alias("_u"))
+    part = F.floor(F.col("_u") * DRAW_PARTS).cast("int")
+    counts = stored(drawn.groupBy("_class", part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")), "draws")
+    classes = counts.groupBy("_class").agg(F.sum("_n").alias("_rows")).withColumn(
+        "_want", F.round(F.lit(float(share)) * F.col("_rows")).cast("long"))
+    # checked inside the plan (no extra job): fails the query when a class is too small
+    classes = classes.where(F.assert_true(F.col("_rows") >= 2, "a class has fewer than 2 rows").isNull())
+    upto = Window.partitionBy("_class").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = null_safe_join(counts.withColumn("_upto", F.sum("_n").over(upto)), classes, "_class").where(
+        (F.col("_want") <= F.col("_upto")) & (F.col("_want") > F.col("_upto") - F.col("_n"))).select(
+        "_class", "_part", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_nth"))  # one row a class
+    near = null_safe_join(drawn.withColumn("_part", part), edge.withColumnRenamed("_part", "_edge"), "_class").where(
+        F.col("_part") == F.col("_edge")).select("_class", "_u", "_key", "_nth")
+    ranked = global_index(near, ["_class", "_u", "_key"], index_col="_at")
+    first = ranked.groupBy("_class").agg(F.min("_at").alias("_first"))
+    last = null_safe_join(ranked, first, "_class").where(F.col("_at") - F.col("_first") == F.col("_nth") - 1)
+    return null_safe_join(classes.select("_class"), last.select("_class", F.col("_u").alias("_cut_u"), F.col("_key").alias("_cut_key")),
+                          "_class", "left")
+
+
+def null_safe_join(a: DataFrame, b: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join on one column in which null equals null; ``b`` has a row a class."""
+    right = b.withColumnRenamed(on, "_on")
+    return a.join(right, F.col(on).eqNullSafe(F.col("_on")), how).drop("_on")
+
+
 def stratified_split(df: DataFrame, y: str, key: str, test: float = 0.2, seed: int = 42,
                      mode: str = "exact", split_col: str = "split") -> DataFrame:
-    """G1: per class, the round(test x n_class) rows with the smallest draw go to ``test``.
+    """G1: per class, the round(test x n_class) rows with the smallest (draw, key) go to ``test``.
 
-    ``mode="approx"`` keeps only the hash threshold (draw < test): no exact counts, no extra
-    pass.  A class with fewer than two rows fails the query (as scikit-learn refuses it).
+    ``class_cuts`` finds each class's last test row; every row is then compared with its class's (one row a class
+    is joined), so rows are neither ordered nor, as a rule, shuffled.  ``mode="approx"`` keeps only the hash threshold
+    (draw < test): no exact counts, no extra pass.  A class with fewer than two rows fails the query (as
+    scikit-learn refuses it); rows without a label are a class of their own.
     """
     if mode == "approx":
         return df.withColumn(split_col, F.when(hash_uniform(key, seed) < F.lit(test), "test").otherwise("train"))
-    ranked = _rank_in_class(df, y, key, seed, min_rows=2)
-    cut = F.round(F.lit(float(test)) * F.col("_n_class"))
-    return ranked.withColumn(split_col, F.when(F.col("_rank") < cut, "test").otherwise("train")) \
-                 .drop("_u", "_rank", "_n_class")
+    cuts = class_cuts(df, y, key, test, seed)
+    drawn = df.withColumn("_u", hash_uniform(key, seed))
+    met = drawn.join(cuts, F.col(y).eqNullSafe(F.col("_class")))
+    inside = (F.col("_u") < F.col("_cut_u")) | ((F.col("_u") == F.col("_cut_u")) & (F.col(key) <= F.col("_cut_key")))
+    return met.withColumn(split_col, F.when(inside, "test").otherwise("train")).drop("_u", "_class", "_cut_u", "_cut_key")
 
 
 def temporal_split(df: DataFrame, period: str = "period", cut: int = 2021, split_col: str = "split",

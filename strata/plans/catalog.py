@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import NA_TOKENS, fround, rewrite_round_sql
+from ..functions.exprs import NA_TOKENS, fround
 from ..operators import clean, joins, profile, impute, features
 from ..session import scratch_path, stored
 from ..sources import fixtures as fx
@@ -20,7 +20,7 @@ from ..sources.csv_io import scan_csv, sink_csv
 from ..sources.tables import read_table
 from . import fixture_sql as fs
 from .sqlgen import (corr_pairs_sql, interp_sql, nullity_corr_sql, nullity_distance_sql,
-                     union_per_column)
+                     rewrite_round_sql, union_per_column)
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -1053,3 +1053,15 @@ def q_tune_expanding(spark, sf):
     _, scores = tune_expanding(fdf, "spend", F_FEATS, maps, folds, kind="forest")
     return spark.createDataFrame([(i, str(maps[i]), float(s)) for i, s in scores],
                                  "param_map int, params string, mean_r2 double")
+
+
+@register("search_halving", None)
+def q_search_halving(spark, sf):
+    """Twenty draws of the boosted classifier's whole search space over five folds, by successive halving."""
+    from ..operators.models import BOOSTED_SPACE, tune_halving
+    from ..operators.split import random_params, stratified_folds
+    d = stratified_folds(fx.doc_classes(spark, sf), "toxic", "doc_id", 5, 42)
+    maps = random_params(BOOSTED_SPACE, 20, 42)
+    _, history = tune_halving(d, "toxic", D_FEATS, maps, "fold")
+    return spark.createDataFrame([(r, i, str(maps[i]), n, float(s)) for r, i, n, s in history],
+                                 "rung int, param_map int, params string, trees int, mean_auc double")

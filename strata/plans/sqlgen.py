@@ -84,3 +84,42 @@ def interp_sql(cols: list[str], src: str, entity: str, period: str, all_cols: li
         return filled
     final = [f"coalesce({c}, (SELECT median({c}) FROM ({filled}) f2)) AS {c}" if c in outer else c for c in all_cols]
     return f"SELECT {', '.join(final)} FROM ({filled}) f1"
+
+
+def fround_sql(expr: str, d: int) -> str:
+    """Rounding to d decimals, halves to even on the scaled binary value (``functions.exprs.fround``)."""
+    m = f"CAST({10 ** d} AS DOUBLE)"
+    return f"(round_even(CAST({expr} AS DOUBLE) * {m}, 0) / {m})"
+
+
+def rewrite_round_sql(sql: str) -> str:
+    """Replace every ``round(expr, d)`` with d >= 1 (outside string literals) by ``fround_sql``."""
+    out, i, n = [], 0, len(sql)
+    while i < n:
+        ch = sql[i]
+        if ch == "'":
+            j = sql.index("'", i + 1) + 1
+            out.append(sql[i:j])
+            i = j
+            continue
+        if (sql[i:i + 6].lower() == "round(" and (i == 0 or not (sql[i - 1].isalnum() or sql[i - 1] == "_"))):
+            j, depth, comma = i + 6, 1, None
+            while depth:
+                c = sql[j]
+                if c == "'":
+                    j = sql.index("'", j + 1)
+                elif c == "(":
+                    depth += 1
+                elif c == ")":
+                    depth -= 1
+                elif c == "," and depth == 1:
+                    comma = j
+                j += 1
+            digits = sql[comma + 1:j - 1].strip() if comma else ""
+            if digits.isdigit() and int(digits) >= 1:
+                out.append(fround_sql(rewrite_round_sql(sql[i + 6:comma]), int(digits)))
+                i = j
+                continue
+        out.append(ch)
+        i += 1
+    return "".join(out)

@@ -33,6 +33,11 @@ def _stored_keys(spark: SparkSession, sink_path: str, key: str) -> DataFrame | N
         return None
 
 
+def of_buckets(stored: DataFrame, buckets: list[int]) -> DataFrame:
+    """The part of the store in some buckets: their folders only are listed and read."""
+    return stored.where(F.col("_bucket").isin(sorted(buckets)))
+
+
 def stream_score(spark: SparkSession, source_dir: str, schema: T.StructType | str,
                  score: Callable[[DataFrame], DataFrame], sink_path: str, checkpoint_path: str,
                  key: str = "user_id", event_time: str = "ts", tie: str | None = None,
@@ -57,10 +62,14 @@ def stream_score(spark: SparkSession, source_dir: str, schema: T.StructType | st
         scored = score(first.select(*batch.columns)).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
         stored = _stored_keys(batch.sparkSession, sink_path, key)
         if stored is not None:
+            # at most ``buckets`` numbers, as a literal filter: an anti join by itself prunes no folders
+            mine = [r[0] for r in batch.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).distinct().collect()]
+            stored = of_buckets(stored, mine)
             known = stored.select(F.col(key).alias("_key"), F.col("_bucket").alias("_known_bucket"))
             scored = scored.join(known, (F.col("_bucket") == F.col("_known_bucket")) & F.col(key).eqNullSafe(F.col("_key")),
                                  "left_anti")
-        scored.withColumn("_epoch", F.lit(epoch_id)).write.mode("append").partitionBy("_bucket").parquet(sink_path)
+        # one file a bucket and micro-batch
+        scored.withColumn("_epoch", F.lit(epoch_id)).repartition(buckets, "_bucket").write.mode("append").partitionBy("_bucket").parquet(sink_path)
 
     q = (timed.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint_path)

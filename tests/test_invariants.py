@@ -285,3 +285,30 @@ def test_record_sink_appends_only_new_keys(spark, tmp_shared):
     out = sink_predictions(spark, path, new(["b", "c"]))
     assert sorted((r.client_id, r.id) for r in out.collect()) == [("a", 1), ("b", 2), ("c", 3)]
     assert set(first) <= set(out.inputFiles())
+
+
+def test_writers_at_the_same_time_get_distinct_ids(spark, tmp_shared):
+    from concurrent.futures import ThreadPoolExecutor
+    from strata.sources import sink_predictions
+    from strata.sources.records import lease_ids
+    path = f"{tmp_shared}/leased"
+    new = lambda w: spark.createDataFrame([(f"{w}-{i}", 1.0, 2.0, 3.0, 4.0) for i in range(5)],
+                                          "client_id string, income double, expenses double, debt double, assets double")
+    sink_predictions(spark, path, new("first"))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda w: sink_predictions(spark, path, new(w)), range(4)))
+    ids = [r.id for r in spark.read.parquet(path).collect()]
+    assert len(ids) == 25 and len(set(ids)) == 25 and min(ids) == 1
+    with ThreadPoolExecutor(6) as pool:
+        tops = sorted(pool.map(lambda n: (lease_ids(spark, path, n), n), [3, 1, 4, 1, 5, 9]))
+    assert all(a + n <= b for (a, n), (b, _) in zip(tops, tops[1:])) and tops[0][0] >= 25
+
+
+def test_stream_reads_the_batch_s_buckets_only(spark, tmp_shared):
+    from strata.streaming.scoring import of_buckets
+    path = f"{tmp_shared}/buckets"
+    spark.range(100).selectExpr("id AS k", "cast(id % 8 AS int) AS _bucket").write.partitionBy("_bucket").parquet(path)
+    some = of_buckets(spark.read.parquet(path), [3, 1])
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_bucket" in text and "IN (1,3)" in text
+    assert some.count() == 26

@@ -103,3 +103,45 @@ def test_training_records_its_run(spark, rows, tmp_shared):
     assert run["param_max_depth"] == 2 and run["rows_after_0"] == run["rows_after_1"] >= run["rows_before_1"]
     assert abs(run["best_cv_auc"] - res.cv_scores[0]) < 1e-12 and run["best_cv_auc"] > 0.8 and run["positive_weight"] > 0
     assert res.version == 1
+
+
+def test_halving_drops_the_worst_first(spark):
+    from strata.operators.models import BOOSTED_SPACE, tune_halving
+    from strata.operators.split import random_params
+    df = spark.range(300).selectExpr("id % 3 AS fold", "IF(id * 37 % 100 > 50, 1, 0) AS y", "id * 37 % 100 * 1.0D AS x", "id % 7 * 1.0D AS z")
+    # a map that may not split at all scores 0.5 and goes first
+    maps = [{"max_depth": 2, "n_estimators": 5}, {"max_depth": 2, "n_estimators": 3, "gamma": 1e9}, {"max_depth": 1, "n_estimators": 1}]
+    best, history = tune_halving(df, "y", ["x", "z"], maps, "fold", trees=1, times=2, rungs=3)
+    assert [(r, i, n) for r, i, n, _ in history][:3] == [(0, 0, 1), (0, 1, 1), (0, 2, 1)]
+    assert len(history) == 3 + 2 and {i for r, i, _, _ in history if r == 1} == {0, 2}
+    assert {(i, n) for r, i, n, _ in history if r == 1} == {(0, 2), (2, 1)}  # never more trees than the map's own
+    assert best in (maps[0], maps[2]) and dict((i, s) for r, i, _, s in history if r == 0)[1] == 0.5
+    draws = random_params(BOOSTED_SPACE, 50, 1)
+    assert all(100 <= d["n_estimators"] < 500 and 3 <= d["max_depth"] < 10 and 0.01 <= d["learning_rate"] <= 0.11 for d in draws)
+
+
+def test_expanding_search_scores_later_blocks(spark):
+    """The mean over folds of R squared on the next block, fold by fold, and the best map refitted on all rows."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from strata.operators.models import train_forest_regressor, tune_expanding
+    from strata.operators.split import expanding_folds
+    df = spark.range(400).selectExpr("cast(2000 + id % 8 AS int) AS period", "id % 50 * 2.0D AS x", "(id % 50) * (id % 50) * 1.0D AS y")
+    folds = expanding_folds(df, "period", 3)
+    maps = [{"n_estimators": 3, "max_depth": 1}, {"n_estimators": 3, "max_depth": 5}]
+    model, scores = tune_expanding(df, "y", ["x"], maps, folds)
+    ev = RegressionEvaluator(labelCol="y", predictionCol="prediction", metricName="r2")
+    for i, pm in enumerate(maps):
+        each = []
+        for f in range(3):
+            past = df.where(F.col("period") < 2002 + 2 * f)
+            block = df.where(F.col("period").between(2002 + 2 * f, 2003 + 2 * f))
+            each.append(ev.evaluate(train_forest_regressor(past, "y", ["x"], pm, seed=42).transform(block)))
+        assert abs(scores[i][1] - sum(each) / 3) < 0.05
+    assert scores[1][1] > scores[0][1] and model.stages[-1].getMaxDepth() == 5
+
+
+def test_top_importances(spark):
+    from strata.operators.topk import top_importances
+    df = spark.createDataFrame([("b", 0.2), ("a", 0.2), ("c", 0.5), ("d", 0.0), ("e", 0.1)], "feature string, importance double")
+    assert [tuple(r) for r in top_importances(df, 3).collect()] == [("c", 0.5), ("a", 0.2), ("b", 0.2)]
+    assert len(top_importances(df, 50).collect()) == 5

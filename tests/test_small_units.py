@@ -109,7 +109,8 @@ def test_period_bound_is_enforced(spark, monkeypatch):
 
 def test_rounding_is_identical_in_spark_and_sql(spark):
     import duckdb
-    from strata.functions.exprs import fround, fround_sql, rewrite_round_sql
+    from strata.functions.exprs import fround
+    from strata.plans.sqlgen import fround_sql, rewrite_round_sql
     vals = [470186.02325, 0.145, 123.455, -2.675, 1.005, 2.5, -0.5, 1e17, float("inf"), None]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     for d in (2, 4, 6):
@@ -122,6 +123,16 @@ def test_rounding_is_identical_in_spark_and_sql(spark):
     assert rewrite_round_sql("SELECT round(a, 0), 'round(b, 2)' AS s") == "SELECT round(a, 0), 'round(b, 2)' AS s"
 
 
+def test_halves_round_to_even(spark):
+    """As numpy does on the scaled value: 0.125 to two decimals is 0.12."""
+    import numpy as np
+    from strata.functions.exprs import fround
+    vals = [0.125, 0.375, -0.125, 2.5, 0.5, 1.5, 12.345, 1 / 3, 1e16 + 2]
+    got = spark.createDataFrame([(v,) for v in vals], "x double").select(fround("x", 2).alias("a"), fround("x", 0).alias("b")).collect()
+    assert [r["a"] for r in got] == [float(np.round(v, 2)) for v in vals] and got[0]["a"] == 0.12
+    assert [r["b"] for r in got] == [float(np.round(v)) for v in vals]
+
+
 def test_stratified_split_rejects_a_one_row_class(spark):
     from strata.operators.split import stratified_split
     df = spark.createDataFrame([(i, 0) for i in range(5)] + [(9, 1)], "k long, y int")
