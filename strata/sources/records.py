@@ -107,6 +107,21 @@ def lease_ids(spark, path: str, n: int, least: int = 0) -> int:
     raise TimeoutError(f"no lease of ids in {folder.toString()} after {LEASE_TRIES} tries")
 
 
+def _add_files(spark, df: DataFrame, path: str) -> None:
+    """Write ``df`` beside the store and move its files, whose names are unique, into it.  Two appends to one folder
+    would share its folder of unfinished files, which the first to end deletes."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    own, store = path_of(f"{path.rstrip('/')}.incoming-{uuid.uuid4().hex}"), path_of(path)
+    df.write.parquet(own.toString())
+    fs = store.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(store)
+    for status in fs.listStatus(own):
+        name = status.getPath().getName()
+        if name.startswith("part-") and not fs.rename(status.getPath(), path_of(store, name)):
+            raise OSError(f"could not move {name} into {path}")
+    fs.delete(own, True)
+
+
 def sink_predictions(spark, path: str, new: DataFrame, key: str = "client_id", clock: Column | None = None) -> DataFrame:
     """A6 as a sink: append to the Parquet store at ``path`` the records whose key isn't stored, and nothing else.
 
@@ -124,7 +139,7 @@ def sink_predictions(spark, path: str, new: DataFrame, key: str = "client_id", c
     n, least = fresh.count(), top.first()["m"]
     if n:
         start = lease_ids(spark, path, n, least)
-        _numbered(fresh, F.lit(start), key, "id", clock).write.mode("append").parquet(path)
+        _add_files(spark, _numbered(fresh, F.lit(start), key, "id", clock), path)
     return spark.read.schema(PREDICTION_SCHEMA).parquet(path)
 
 
