@@ -410,6 +410,12 @@ def q_interpolate_linear(spark, sf):
     return impute.interpolate_linear(fx.panel_null(spark, sf), P_MEASURES)
 
 
+@register("interpolate_segmented", W(interp_sql(P_MEASURES, "n", "entity_id", "period", P_COLS, mode="interp"), "n"))
+def q_interpolate_segmented(spark, sf):
+    """The same fill with a bound of rows a window so low that many entities go through the segmented scan."""
+    return impute.interpolate_linear(fx.panel_null(spark, sf), P_MEASURES, hot_rows=5)
+
+
 @register("forward_fill", W(interp_sql(P_MEASURES, "p", "entity_id", "period", P_COLS, mode="ffill"), "p"))
 def q_forward_fill(spark, sf):
     return impute.forward_fill(fx.panel(spark, sf), P_MEASURES)
@@ -428,6 +434,11 @@ def q_lag_features(spark, sf):
     return features.lag_features(fx.panel(spark, sf), ["spend", "units"], [1, 2])
 
 
+@register("lag_segmented", REGISTRY["lag_features"][1])
+def q_lag_segmented(spark, sf):
+    return features.lag_features(fx.panel(spark, sf), ["spend", "units"], [1, 2], hot_rows=5)
+
+
 @register("latest_per_entity", W(
     "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY period DESC) AS rn "
     "FROM p) WHERE rn = 1", "p"))
