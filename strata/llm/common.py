@@ -33,17 +33,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
 made: list[str] = []
 
 
+#: Spark removes the shuffle files of a query when it ends; the table that it wrote is all that later jobs read.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written_path(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     made.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    was = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_TIDY) if was is None else spark.conf.set(_TIDY, was)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that nothing reads any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in made:
+        made.remove(path)
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import flat, load, marked, null_safe, row_id, ship, written
+from strata.llm.common import drop_path, flat, load, marked, null_safe, row_id, ship, written_path
 from strata.llm.components import components
 from strata.llm.words import mix, range_hashes, prefix_hashes, words
 
@@ -18,6 +18,8 @@ LIST_COST = 4
 _LARGEST_SMALL = 48
 #: Words of 64 bits in a set's sketch.
 SKETCH = 8
+#: A set of more elements than this has a wide sketch besides, of at least two bits an element.
+_NARROW = 32 * SKETCH
 
 
 class Plan:
@@ -123,15 +125,39 @@ def _sets(batch_column, n_words: int):
             yield range_hashes(prefix, np.array([a]), np.array([b])) if b > a else np.zeros(0, np.uint64)
 
 
-def sketch(s: np.ndarray) -> list[int]:
-    """One bit for each of ``SKETCH`` * 64 hash values: how often, odd or even, an element of the set has it.  Two sets
+def sketch(s: np.ndarray, size: int = SKETCH) -> list[int]:
+    """One bit for each of ``size`` * 64 hash values: how often, odd or even, an element of the set has it.  Two sets
     differ in at least as many elements as bits."""
-    at = mix(s, 55) % np.uint64(64 * SKETCH)
-    odd = np.bincount(at.astype(np.int64), minlength=64 * SKETCH).astype(np.uint64) & np.uint64(1)
-    words = (odd.reshape(SKETCH, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+    at = mix(s, 55) % np.uint64(64 * size)
+    odd = np.bincount(at.astype(np.int64), minlength=64 * size).astype(np.uint64) & np.uint64(1)
+    words = (odd.reshape(size, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
     return words.view(np.int64).tolist()
 
 
+def wide_sketch(s: np.ndarray) -> list[int]:
+    """A sketch whose words are the power of two times ``SKETCH`` that gives two bits an element; none for a set that
+    the narrow one serves.  Halves of a sketch, one xor the other, are the sketch of half as many words."""
+    size = SKETCH
+    while 32 * size < len(s):
+        size *= 2
+    return sketch(s, size) if len(s) > _NARROW else []
+
+
+def _apart(a: str, b: str) -> F.Column:
+    """Bits in which two wide sketches differ, the longer one folded to the words of the shorter one; 0 if one is empty."""
+    least = F.least(F.size(a), F.size(b))
+
+    def folded(c):
+        part = lambda i: F.slice(c, i * least + 1, least)
+        # sequence(1, 0) counts down, so a sketch that needs no folding must not come there.
+        more = F.aggregate(F.sequence(F.lit(1), F.floor(F.size(c) / least).cast("int") - 1), part(F.lit(0)),
+                           lambda acc, i: F.zip_with(acc, part(i), lambda x, y: x.bitwiseXOR(y)))
+        return F.when(F.size(c) == least, F.col(c)).otherwise(more)
+
+    differ = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.when(least > 0, F.aggregate(differ, F.lit(0), lambda acc, x: acc + x)).otherwise(0)
+
+
 def _identity(s: np.ndarray) -> tuple[int, int]:
     return (int(mix(s, 901).sum(dtype=np.uint64).astype(np.int64)), int(mix(s, 902).sum(dtype=np.uint64).astype(np.int64)))
 
@@ -151,7 +177,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     In a list, a few pivots (those with the longest lists, so the centres of crowds) meet the others, links are
     merged into components, and rounds with more pivots go on only while a list holds untested members of
     different components: so a crowd of near copies is linked by about as many pairs as it has members, and no
-    link between components is lost.  Candidates are verified on whole sets.
+    link between components is lost.  Candidates are verified on whole sets, of more than 256 elements only if their
+    wide sketches, which grow with the sets, don't prove them too different.
 
     With ``links``, documents also get ``n_links``, the number of other documents that they are linked with, and a
     second table (``a``, ``b``; a < b) holds every link between classes: all pairs that share a list and pass the
@@ -164,6 +191,19 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship(spark)
     kind = dict(docs.dtypes)[id_col]
     plan = Plan(percent, 100)
+    scratch = {}  # tables that the result doesn't read; they go before it is returned
+
+    def written(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
+        table, path = written_path(df, name)
+        if not kept:
+            scratch[path] = name
+        return table
+
+    def dropped(*names: str) -> None:
+        for path in [p for p, n in scratch.items() if not names or n in names]:
+            drop_path(spark, path)
+            del scratch[path]
+
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     source = docs.select((F.col(row_col) if row_col else row_id()).alias("_row"), F.col(id_col).alias("doc_id"),
                          text.alias("_t"))
@@ -194,11 +234,11 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     named = written(
         source.mapInArrow(name, f"_row bigint, doc_id {kind}, n bigint, h1 bigint, h2 bigint, sk array<bigint>, "
                           "keys array<bigint>"), "sets")
-    facts = named.select("_row", "doc_id", "n", "h1", "h2")
+    facts = written(named.select("_row", "doc_id", "n", "h1", "h2"), "facts", kept=True)
     classes = written(named.where("n > 0").groupBy("n", "h1", "h2").agg(
         F.min("_row").alias("class_row"), F.min_by("doc_id", "_row").alias("class_doc"),
         F.min("doc_id").alias("least_id"), F.first("n").alias("size"), F.min_by("sk", "_row").alias("sk"),
-        F.count(F.lit(1)).alias("copies")), "classes")
+        F.count(F.lit(1)).alias("copies")), "classes", kept=True)
     # Copies, all but one of a class, take no part; most documents are surely none and need no join to know it.
     copies = written(facts.where("n > 0").join(classes.where("copies > 1").select("n", "h1", "h2", "class_row"), ["n", "h1", "h2"])
                      .where("_row <> class_row").select("_row", "doc_id"), "copies")
@@ -240,6 +280,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     entries = (heads.select(F.explode("keys").alias("key"), F.col("_row").alias("row"))
                .repartition("key").sortWithinPartitions("key", "row"))
     members = written(entries.mapInArrow(lists, "key bigint, row bigint, place bigint").select("key", "row"), "lists")
+    dropped("sets", "copies")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("row").alias("a"), F.max("row").alias("b"))
     sizes = written(sizes, "list_sizes")
     about = classes.select(F.col("class_row").alias("row"), "size", "sk")
@@ -273,13 +314,14 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             every = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([i[0] for i in ids], pa.int64()), pa.array([i[1] for i in ids], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(at), pa.array(every))], names=["class_doc", "h1", "h2", "s"])
+                 pa.array([wide_sketch(s) for s in rows], pa.list_(pa.int64())),
+                 pa.ListArray.from_arrays(pa.array(at), pa.array(every))], names=["class_doc", "h1", "h2", "wide", "s"])
 
     texts = marked(source.select("doc_id", "_t"), [F.col("doc_id")], wanted, [F.col("class_doc")]).where("_maybe").select(
         "doc_id", "_t").alias("t").join(wanted.select("class_doc").distinct().alias("w"),
                                         F.col("t.doc_id").eqNullSafe(F.col("w.class_doc")), "left_semi")
-    found = texts.mapInArrow(sets, f"class_doc {kind}, h1 bigint, h2 bigint, s array<bigint>")
-    content = written(null_safe(wanted, found, ["class_doc", "h1", "h2"]).select("class_row", "s")
+    found = texts.mapInArrow(sets, f"class_doc {kind}, h1 bigint, h2 bigint, wide array<bigint>, s array<bigint>")
+    content = written(null_safe(wanted, found, ["class_doc", "h1", "h2"]).select("class_row", F.col("_n").alias("size"), "wide", "s")
                       .dropDuplicates(["class_row"]), "contents")
 
     def rooted(df: DataFrame, row: str, root: str) -> DataFrame:
@@ -288,26 +330,35 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         of = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
         return df.join(of, F.col(row) == F.col("_node"), "left").withColumn(root, F.coalesce("_root", row)).drop("_node", "_root")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, kept: bool = False) -> DataFrame:
+        # Wide sketches, a sixteenth of the sets or less, leave few pairs that aren't similar; whole sets then decide.
         ids = pairs.select(F.col("a").alias("class_row")).unionByName(pairs.select(F.col("b").alias("class_row"))).distinct()
-        some = marked(content, [F.col("class_row")], ids, [F.col("class_row")]).where("_maybe")
-        one = pairs.join(some.select(F.col("class_row").alias("a"), F.col("s").alias("sa")), "a")
-        two = one.join(some.select(F.col("class_row").alias("b"), F.col("s").alias("sb")), "b")
+        some = marked(content.select("class_row", "size", "wide"), [F.col("class_row")], ids, [F.col("class_row")]).where("_maybe")
+        x, y = (some.select(*[F.col(c).alias(f"{c}_{e}") for c in ("class_row", "size", "wide")]) for e in "ab")
+        sketched = pairs.select("a", "b").join(x, F.col("a") == F.col("class_row_a")).join(y, F.col("b") == F.col("class_row_b"))
+        close = written(sketched.where(_apart("wide_a", "wide_b") <= spread).select("a", "b"), "close")
+        ends = close.select(F.col("a").alias("class_row")).unionByName(close.select(F.col("b").alias("class_row"))).distinct()
+        whole = marked(content.select("class_row", "s"), [F.col("class_row")], ends, [F.col("class_row")]).where("_maybe")
+        one = close.join(whole.select(F.col("class_row").alias("a"), F.col("s").alias("sa")), "a")
+        two = one.join(whole.select(F.col("class_row").alias("b"), F.col("s").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
-        return written(two.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b"), "edges")
+        good = two.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * percent).select("a", "b")
+        return written(good, "edges", kept=kept)
 
     def linked(out: DataFrame) -> DataFrame | tuple[DataFrame, DataFrame]:
         if not links:
+            dropped()
             return out
         one, two = (crowds.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("row", "size", "sk")]) for x in "ab")
         every = one.join(two, "key").where((F.col("row_a") < F.col("row_b")) & near).select(
             F.col("row_a").alias("a"), F.col("row_b").alias("b"))
-        pairs = verified(written(every.unionByName(couples.select("a", "b")).distinct(), "pairs"))
+        pairs = verified(written(every.unionByName(couples.select("a", "b")).distinct(), "pairs"), kept=True)
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         others = both.join(classes.select(F.col("class_row").alias("b"), "copies"), "b").groupBy("a").agg(
             F.sum("copies").alias("others"))
         counts = classes.join(others, F.col("class_row") == F.col("a"), "left").select(
             F.col("class_row").alias("_c"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+        dropped()
         return out.join(counts, F.col("class_row") == F.col("_c"), "left").drop("_c").withColumn(
             "n_links", F.coalesce("n_links", F.lit(0))), pairs
 
@@ -355,7 +406,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     joined = classes.join(roots, F.col("class_row") == F.col("node"))
     least = joined.groupBy("root").agg(F.min("least_id").alias("_least"))
     of_class = joined.join(least, "root").select(F.col("class_row").alias("_c"), "root", "_least")
-    return linked(own.join(written(of_class, "class_roots"), F.col("class_row") == F.col("_c"), "left").select(
+    return linked(own.join(written(of_class, "class_roots", kept=True), F.col("class_row") == F.col("_c"), "left").select(
         "_row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_row", "_row").alias("class_row"),
         F.coalesce("root", "class_row", "_row").alias("root_row"),
         F.coalesce("_least", "least_id", "doc_id").alias("component_id")))

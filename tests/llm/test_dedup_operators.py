@@ -1,9 +1,11 @@
 """Exact dedup, Jaccard join, repeated windows and repeated strings against plain versions."""
+import numpy as np
+
 from brute import exact, similar, strings, windows
 from llm_cases import none, odd, odd_rows  # noqa: F401
 
 from strata.llm.exact_dedup import exact_dedup
-from strata.llm.jaccard_join import Plan, similar_sets
+from strata.llm.jaccard_join import Plan, _apart, similar_sets, wide_sketch
 from strata.llm.substring_dedup import substring_dedup
 from strata.llm.suffix_dedup import suffix_dedup
 
@@ -53,6 +55,50 @@ def test_small_sets_and_large_sets_meet(spark):
     assert got == similar([(d, d, t) for d, t in docs], 1, 90)
 
 
+def test_wide_sketches_bound_the_difference(spark):
+    """Wide sketches of different lengths never show more bits than elements, and tell unlike sets apart."""
+    rng = np.random.default_rng(5)
+    rows, differ = [], []
+    for n, common in ((300, 280), (257, 200), (512, 512), (500, 450), (2000, 1990), (1024, 0), (100, 90), (1200, 300)):
+        every = rng.integers(0, 2**63, 4 * n, dtype=np.uint64)
+        for m in (n, n + n // 8):
+            a, b = every[:n], np.r_[every[:common], every[2 * n:2 * n + m - common]]
+            rows.append((wide_sketch(a), wide_sketch(b)))
+            differ.append(n + m - 2 * common)
+    frame = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a array<bigint>, b array<bigint>")
+    got = dict(frame.select("i", _apart("a", "b").alias("d")).collect())
+    assert all(got[i] <= d for i, d in enumerate(differ))
+    assert all(got[i] >= d / 4 for i, d in enumerate(differ) if rows[i][0] and rows[i][1])
+    assert any(len(a) != len(b) and a for a, b in rows) and any(not a for a, _ in rows)
+
+
+def test_long_sets_that_share_passages(spark):
+    """Long documents that share passages, some of them near copies: links as by brute force at both thresholds."""
+    rng = np.random.default_rng(11)
+    shared = [f"s{i}" for i in range(400)]
+    docs = []
+    for i in range(24):
+        own = [f"d{i}_{j}" for j in range(int(rng.integers(200, 900)))]
+        docs.append((10 * i, " ".join(shared + own)))
+        for k, cut in enumerate((2, 12, 60)):
+            docs.append((10 * i + k + 1, " ".join(shared + own[:-cut] + [f"t{i}_{k}_{j}" for j in range(cut // 2)])))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for n_words, percent in ((1, 80), (3, 90)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_sets(df, n_words=n_words, percent=percent).collect()}
+        assert got == similar([(d, d, t) for d, t in docs], n_words, percent)
+
+
+def test_scratch_tables_go(spark):
+    """Only the tables that the result reads are left, and the setting for shuffle files is as it was."""
+    from strata.llm.common import _TIDY, made
+    docs = spark.createDataFrame([(i, f"a b c d e f g h i{i // 2}") for i in range(40)], "doc_id bigint, text string")
+    before, was = len(made), spark.conf.get(_TIDY, None)
+    out = similar_sets(docs, n_words=2, percent=80)
+    left = {path.split("/strata-")[-1].rsplit("-", 1)[0] for path in made[before:]}
+    assert not left & {"sets", "copies", "lists", "contents", "couples", "crowds", "wanted", "pairs", "close", "edges"}
+    assert out.count() == 40 and spark.conf.get(_TIDY, None) == was
+
+
 def test_links_of_crowds(spark):
     """All links between classes and their numbers by document, also within a component that is linked already."""
     texts = [" ".join(f"w{j}" if j != i else f"x{i}" for j in range(60)) for i in range(8)]
