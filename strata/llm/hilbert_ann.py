@@ -8,8 +8,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.llm.common import flat, load, ship, written
+from strata.llm.common import load, ship, written
 
 CURVES, DIMS, BITS = 14, 6, 5
 REACH = 0.05
@@ -72,16 +73,22 @@ class Curves:
         return hilbert_keys(np.clip(cells, 0, (1 << self.bits) - 1), self.bits)
 
 
-def _matrix(column, width: int) -> np.ndarray:
-    data, at = flat(column)
-    return np.frombuffer(data.tobytes()[at[0]:at[-1]], np.float32).reshape(-1, width)
+def best(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
+    """Places of each row's ``top`` largest scores, in no order; of equal scores those of the smallest ids."""
+    at = np.argpartition(-scores, top - 1, axis=1)[:, :top]
+    edge = np.take_along_axis(scores, at, axis=1).min(axis=1)
+    for r in np.flatnonzero((scores >= edge[:, None]).sum(axis=1) > top):
+        tied = np.flatnonzero(scores[r] >= edge[r])
+        at[r] = tied[np.lexsort((ids[tied], -scores[r, tied]))[:top]]
+    return at
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
             curves: int = CURVES, dims: int = DIMS, bits: int = BITS, reach: float = REACH, block: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: the ``k`` nearest found of rows whose id divides by ``every``.
 
-    Nearness is the inner product in double precision, ties go to the smaller id.  Each curve orders all
+    Nearness is the inner product in double precision, of single or double vectors as they are; ties go to the smaller
+    id, also where a block's best are cut.  Each curve orders all
     vectors by the Hilbert key of a random projection on a shifted grid, by range partitioning; the order is cut
     into blocks, and the queries of a block meet the blocks that hold the next ``reach`` of all rows on either
     side, as matrix products.  Blocks may be of any size: their places on the curve are running sums of their rows.
@@ -98,7 +105,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     spark = vectors.sparkSession
     ship(spark)
     v = F.col("v")
-    rows = (vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("v"))
+    single = vectors.schema[vec_col].dataType.elementType == T.FloatType()
+    kind = np.float32 if single else np.float64
+    rows = (vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>" if single else "array<double>").alias("v"))
             .where(F.col("id").isNotNull() & v.isNotNull()
                    & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                    & F.exists(v, lambda x: x != 0)).distinct())
@@ -128,7 +137,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
             if not batch.num_rows:
                 continue
             x = batch.column("v").flatten().to_numpy().reshape(-1, width).astype(np.float64)
-            blob = pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())
+            blob = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
             ask = batch.column("ask").to_numpy(zero_copy_only=False)
             for query in (False, True):
                 pick = np.flatnonzero(ask) if query else np.arange(len(x))
@@ -190,11 +199,11 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
             out = ([], [], [])
             for ids, xs, q_ids, qs in zip(*(batch.column(n) for n in ("ids", "xs", "q_ids", "qs"))):
                 ids, q_ids = np.frombuffer(ids.as_py(), np.int64), np.frombuffer(q_ids.as_py(), np.int64)
-                x = np.frombuffer(xs.as_py(), np.float32).reshape(-1, width).astype(np.float64)
-                q = np.frombuffer(qs.as_py(), np.float32).reshape(-1, width).astype(np.float64)
+                x = np.frombuffer(xs.as_py(), kind).reshape(-1, width).astype(np.float64)
+                q = np.frombuffer(qs.as_py(), kind).reshape(-1, width).astype(np.float64)
                 s = q @ x.T
                 top = min(k + 1, len(ids))
-                at = np.argpartition(-s, top - 1, axis=1)[:, :top]
+                at = best(s, ids, top)
                 out[0].extend(q_ids.tolist())
                 out[1].extend(ids[at].tolist())
                 out[2].extend(np.take_along_axis(s, at, axis=1).tolist())
@@ -205,7 +214,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     found = met.mapInArrow(score, "q bigint, reps array<bigint>, scores array<double>")
 
     def merge(batches):
-        now, best = None, {}
+        now, held = None, {}
 
         def cut(b):
             return dict(sorted(b.items(), key=lambda t: (-t[1], t[0]))[:k + 1])
@@ -215,15 +224,15 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
             for q, reps, scores in zip(*(batch.column(n).to_pylist() for n in ("q", "reps", "scores"))):
                 if q != now:
                     if now is not None:
-                        done.append((now, cut(best)))
-                    now, best = q, {}
+                        done.append((now, cut(held)))
+                    now, held = q, {}
                 for r, s in zip(reps, scores):
-                    best.setdefault(r, s)
-                if len(best) > 40 * (k + 1):
-                    best = cut(best)
+                    held.setdefault(r, s)
+                if len(held) > 40 * (k + 1):
+                    held = cut(held)
             yield rows_of(done)
         if now is not None:
-            yield rows_of([(now, cut(best))])
+            yield rows_of([(now, cut(held))])
 
     def rows_of(done):
         flatten = [(q, r, s) for q, b in done for r, s in b.items()]

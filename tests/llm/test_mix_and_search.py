@@ -108,6 +108,27 @@ def test_nearest_copies_and_bad_vectors(spark):
     assert hilbert_ann.nearest(df.limit(0)).count() == 0 and hilbert_ann.nearest(df.where("vec_id = 200")).count() == 0
 
 
+def test_nearest_ties_at_the_edge_of_a_block(spark):
+    """Vectors of -1, 0 and 1 tie by the hundred; one curve whose windows hold all rows gives the smallest ids."""
+    x = np.random.default_rng(8).integers(-1, 2, (1500, 12)).astype(float)
+    x = x[(x != 0).any(axis=1)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in hilbert_ann.nearest(df, k=7, curves=1, reach=1.0, block=64).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    ids = np.arange(len(x))
+    assert got == {q: np.lexsort((ids, -s[q]))[:7].tolist() for q in range(0, len(x), 20)}
+
+
+def test_nearest_scores_double_vectors_as_they_are(spark):
+    x = np.random.default_rng(9).standard_normal((200, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    rows = hilbert_ann.nearest(df, k=5, reach=1.0).collect()
+    assert len(rows) == 50 and all(abs(r.score - x[r.query_id] @ x[r.vec_id]) < 1e-14 for r in rows)
+
+
 def test_nearest_recall_by_partitions(spark):
     """Windows are whole however many partitions cut the curves."""
     x = np.random.default_rng(5).standard_normal((1000, 8)).astype(np.float32)
