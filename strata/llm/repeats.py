@@ -5,12 +5,14 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.functions.stats import global_index
 from strata.llm import anchors
 from strata.llm.common import flat, marked, null_safe, written
-from strata.llm.words import mix, prefix_hashes, range_hashes, words
+from strata.llm.words import prefix_hashes, range_hashes, words
 
 _LAST = (1 << 63) - 1
 VERDICT = ["anchor", "content", "k", "n"]
@@ -26,32 +28,73 @@ def items(column: pa.Array, unit: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
-    """``id``, ``th`` and the text as bytes: id and text hash name a row in every scan, and rows that share both
-    are repeated rows with one result."""
+    """``_id``, its place ``id`` among all ids, ``th`` and the text as bytes: id and text hash name a row in every scan,
+    and rows that share both are repeated rows with one result.  Whole numbers are their own place; ids of another
+    type are numbered in their order by one sort of the distinct ids."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("_t"),
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("th"), text.cast("binary").alias("_t"),
                        *([F.col(row_col).alias("_row")] if row_col else []))
+    if isinstance(rows.schema["_id"].dataType, T.IntegralType):
+        return rows.withColumn("id", F.col("_id").cast("bigint"))
+    ids = written(global_index(rows.select("_id").where(F.col("_id").isNotNull()).distinct(), ["_id"], index_col="id"), "ids")
+    return rows.join(ids.withColumnRenamed("_id", "_of"), F.col("_id") == F.col("_of"), "left").drop("_of")
+
+
+def stretches(runs: pa.Array, first: np.ndarray, length: int):
+    """Where the items of the windows in each text's runs begin and end among the items of all texts, neighbouring runs
+    as one, and the text of each such stretch."""
+    sizes = runs.value_lengths().to_numpy(zero_copy_only=False)
+    flat_runs = runs.flatten()
+    b, m = (flat_runs.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("b", "m"))
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.lexsort((b, text))
+    b, m, text = b[at], m[at], text[at]
+    new = np.r_[True, (text[1:] != text[:-1]) | (b[1:] != (b + m)[:-1])]
+    last = np.r_[new[1:], True]
+    begin = first[text[new]] + b[new]
+    return begin, first[text[last]] + (b + m)[last] + length - 1, text[new]
 
 
 def segment_table(source: DataFrame, unit: str, length: int, core: int) -> DataFrame:
-    """Segments of all texts: ``id``, ``th``, ``anchor``, ``content``, ``a`` (begin), ``c`` (windows), ``o`` (anchor's offset)."""
+    """Segments of all texts: ``id``, ``th``, ``anchor``, ``content``, ``a`` (begin), ``c`` (windows), ``o`` (anchor's offset).
+
+    Where ``source`` has ``runs`` (of windows, (b, m)), only these windows are cut into segments."""
+    some = "runs" in source.columns
+
     def cut(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             values, first = items(batch.column("_t"), unit)
-            text, a, c, o, anchor, content = anchors.segments(values, first, length, core)
+            if some:
+                begin, end, of = stretches(batch.column("runs"), first, length)
+                starts = np.r_[0, np.cumsum(end - begin)]
+                pick = np.repeat(begin - starts[:-1], end - begin) + np.arange(starts[-1])
+                text, a, c, o, anchor, content = anchors.segments(values[pick], starts, length, core)
+                a, text = a + (begin - first[of])[text], of[text]
+            else:
+                text, a, c, o, anchor, content = anchors.segments(values, first, length, core)
             pick = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pick), batch.column("th").take(pick), pa.array(anchor, pa.int64()),
                  pa.array(content, pa.int64()), pa.array(a.astype(np.int32)), pa.array(c.astype(np.int32)),
                  pa.array(o.astype(np.int32))], names=["id", "th", "anchor", "content", "a", "c", "o"])
 
-    kind = dict(source.dtypes)["id"]
-    return source.select("id", "th", "_t").mapInArrow(
-        cut, f"id {kind}, th bigint, anchor bigint, content bigint, a int, c int, o int")
+    return source.select("id", "th", "_t", *(["runs"] if some else [])).mapInArrow(
+        cut, "id bigint, th bigint, anchor bigint, content bigint, a int, c int, o int")
+
+
+def with_candidates(source: DataFrame, segs: DataFrame) -> DataFrame:
+    """Texts with windows in ``segs``, and these windows as ``runs``; no other text is shuffled."""
+    runs = written(segs.groupBy("id", "th").agg(F.collect_set(F.struct(F.col("a").alias("b"), F.col("c").alias("m"))).alias("runs")),
+                   "candidates")
+    key = [F.col("id"), F.col("th")]
+    likely = marked(source.select("id", "th", "_t"), key, runs, key).where("_maybe").drop("_maybe")
+    return null_safe(likely, runs, ["id", "th"])
 
 
 def order_of(id_col: Column) -> Column:
-    return F.coalesce(id_col.cast("bigint"), F.lit(_LAST))
+    return F.coalesce(id_col, F.lit(_LAST))
 
 
 def repeated_anchors(segs: DataFrame, across: bool) -> DataFrame:
@@ -77,93 +120,62 @@ def content_classes(segs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes, open_
 
 
-def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int, small: int) -> DataFrame:
-    """Content of each open class, read from one of its documents: ``s``, the bytes or word hashes; for words, classes
-    of anchors with at most ``small`` contents have the hashes of their windows instead (``w``)."""
+def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int) -> DataFrame:
+    """Content of each open class, read from one of its documents: its bytes (``s``), or the hashes of its windows of
+    words (``w``)."""
     fields = ["anchor", "content", "contents", "n", "ord", "a", "c", "o"]
     per = open_.groupBy("id", "th").agg(F.collect_list(F.struct(*fields)).alias("segs"))
     key = [F.col("id"), F.col("th")]
     likely = marked(source.select("id", "th", "_t"), key, open_, key).where("_maybe").drop("_maybe")
     met = null_safe(likely, per, ["id", "th"]).select("_t", "segs")
-    kind = "binary" if unit == "bytes" else "array<bigint>"
     types = {"anchor": pa.int64(), "content": pa.int64(), "contents": pa.int64(), "n": pa.int64(), "ord": pa.int64(),
              "a": pa.int32(), "c": pa.int32(), "o": pa.int32()}
+    name, kind, held_as = ("w", "array<bigint>", pa.list_(pa.int64())) if unit == "words" else ("s", "binary", pa.binary())
 
     def read(batches):
         for batch in batches:
             if unit == "words":
                 values, first = items(batch.column("_t"), unit)
-                prefix, values = prefix_hashes(values), values.view(np.int64)
+                prefix = prefix_hashes(values)
             else:
                 values, first = flat(batch.column("_t"))
             out = {f: [] for f in fields}
-            held, windows = [], []
+            held = []
             for j, segs in enumerate(batch.column("segs").to_pylist()):
                 for s in segs:
                     for f in fields:
                         out[f].append(s[f])
                     a = first[j] + s["a"]
-                    if unit == "words" and s["contents"] <= small:
+                    if unit == "words":
                         begin = np.arange(a, a + s["c"])
-                        windows.append(range_hashes(prefix, begin, begin + length).view(np.int64))
-                        held.append(None)
-                        continue
-                    part = values[a:a + s["c"] - 1 + length]
-                    held.append(part.tobytes() if unit == "bytes" else part)
-                    windows.append(None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[f], types[f]) for f in fields]
-                + [pa.array(held, pa.binary() if unit == "bytes" else pa.list_(pa.int64())), pa.array(windows, pa.list_(pa.int64()))],
-                names=[*fields, "s", "w"])
+                        held.append(range_hashes(prefix, begin, begin + length).view(np.int64))
+                    else:
+                        held.append(values[a:a + s["c"] - 1 + length].tobytes())
+            yield pa.RecordBatch.from_arrays([*(pa.array(out[f], types[f]) for f in fields), pa.array(held, held_as)],
+                                             names=[*fields, name])
 
     return written(met.mapInArrow(
-        read, "anchor bigint, content bigint, contents bigint, n bigint, ord bigint, a int, c int, o int, s " + kind
-        + ", w array<bigint>"), "contents")
-
-
-def by_windows(reps: DataFrame, together: int = 200_000) -> DataFrame:
-    """Verdicts on the classes with window hashes: windows that a class with a smaller least id has too.  Classes of an
-    anchor meet in one task, a bounded number of them; many anchors are settled at once."""
-    def settle(batches):
-        held, n = [], 0
-
-        def verdicts(rows):
-            anchor, content, order = (np.array([r[i] for r in rows], np.int64) for i in range(3))
-            sizes = np.array([len(r[3]) for r in rows])
-            owner = np.repeat(np.arange(len(rows)), sizes)
-            window = mix(np.concatenate([r[3] for r in rows]).view(np.uint64) ^ mix(anchor[owner].view(np.uint64)))
-            at = np.lexsort((order[owner], window))
-            new = np.r_[True, window[at][1:] != window[at][:-1]]
-            least = np.empty(len(at), np.int64)
-            least[at] = order[owner[at]][np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
-            hit = least < order[owner]
-            k = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            edge = np.flatnonzero(hit & np.r_[True, ~(hit[:-1] & (owner[1:] == owner[:-1]))])
-            stop = np.flatnonzero(hit & np.r_[~(hit[1:] & (owner[1:] == owner[:-1])), True])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(anchor[owner[edge]]), pa.array(content[owner[edge]]), pa.array(k[edge].astype(np.int32)),
-                 pa.array((stop - edge + 1).astype(np.int32))], names=VERDICT)
+        read, "anchor bigint, content bigint, contents bigint, n bigint, ord bigint, a int, c int, o int, " + f"{name} {kind}"),
+        "contents")
 
-        for batch in batches:
-            hashes, ends = batch.column("w").flatten().to_numpy(), batch.column("w").value_lengths().to_numpy().cumsum()
-            for anchor, content, order, end, size in zip(*(batch.column(c).to_numpy() for c in ("anchor", "content", "ord")), ends,
-                                                         batch.column("w").value_lengths().to_numpy()):
-                if n > together and anchor != held[-1][0]:
-                    yield verdicts(held)
-                    held, n = [], 0
-                if held and (anchor, content) == held[-1][:2]:
-                    continue  # repeated rows give a content twice
-                held.append((anchor, content, order, hashes[end - size:end]))
-                n += size
-        if held:
-            yield verdicts(held)
-
-    rows = reps.where(F.col("w").isNotNull()).select("anchor", "content", "ord", "w")
-    return written(rows.repartition("anchor").sortWithinPartitions("anchor", "content").mapInArrow(
-        settle, "anchor bigint, content bigint, k int, n int"), "by_windows")
-
-
-def level_wise(reps: DataFrame, unit: str, length: int, core: int,
+
+def repeated_windows(reps: DataFrame) -> DataFrame:
+    """Verdicts (``VERDICT``) on the classes with window hashes: windows that a class with a smaller least id has too.
+
+    Windows are counted by aggregates, so no group meets in one task; only repeated ones are shuffled again."""
+    rows = reps.select("anchor", "content", "ord", F.posexplode("w").alias("k", "window"))
+    at = ["anchor", "window"]
+    least = written(rows.groupBy(*at).agg(F.min("ord").alias("least"), F.max("ord").alias("most"))
+                    .where("least < most").drop("most"), "repeated_windows")
+    key = [F.col(c) for c in at]
+    hits = (marked(rows, key, least, key).where("_maybe").join(least, at).where("least < ord")
+            .select("anchor", "content", "k").distinct())
+    run = F.col("k") - F.row_number().over(Window.partitionBy("anchor", "content").orderBy("k"))  # at most a segment's windows
+    return written(hits.withColumn("_run", run).groupBy("anchor", "content", "_run").agg(
+        F.min("k").alias("k"), (F.max("k") - F.min("k") + 1).alias("n")).drop("_run"), "verdicts")
+
+
+def level_wise(reps: DataFrame, length: int, core: int,
                repeated: Callable[[Column, Column, Column], Column]) -> DataFrame:
     """Verdicts (``VERDICT``: windows k .. k + n - 1 of the segments of a class) by extending repeated strings.
 
@@ -178,7 +190,7 @@ def level_wise(reps: DataFrame, unit: str, length: int, core: int,
     size = 1
     while size < width:
         size *= 2
-    cut = (lambda p, n: F.substring(F.col("s"), p + 1, n)) if unit == "bytes" else (lambda p, n: F.slice("s", p + 1, n))
+    cut = lambda p, n: F.substring(F.col("s"), p + 1, n)
     rows = reps.dropDuplicates(["anchor", "content"]).select(
         "anchor", "content", "n", "ord", "c", "o", "s").withColumn("lo", F.lit(0))
     verdicts = None

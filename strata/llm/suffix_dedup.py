@@ -48,15 +48,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     neighbours.  Shards of more than ``shard_strings`` different segments, which grow with the corpus, are not
     gathered: they go through ``level_wise``, with the same verdicts.
 
-    Null and empty texts have no bytes; repeated rows repeat each other; null ids are ids; an empty table gives
-    an empty result; extra columns are not read.  Strings compare by 64-bit hashes within equal 64-bit anchors.
+    Null and empty texts have no bytes; repeated rows repeat each other; null ids are ids, and ids may be of
+    any type that sorts; an empty table gives an empty result; extra columns are not read.  Strings compare by 64-bit hashes within equal 64-bit anchors.
     """
     ship(docs.sparkSession)
     source = identified(docs, id_col, text_col, row_col)
     every, path = written_path(segment_table(source, "bytes", length, core), "segments")
     segs = repeated_anchors(every, across=False)
     classes, open_ = content_classes(segs)
-    reps = with_items(open_, source, "bytes", length, 0)
+    reps = with_items(open_, source, "bytes", length)
 
     def sort_shards(batches):
         def judge(groups):
@@ -91,7 +91,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     small = (reps.where(F.col("contents") <= shard_strings).select("anchor", "content", "s")
              .repartition("anchor").sortWithinPartitions("anchor", "content"))
     by_array = written(small.mapInArrow(sort_shards, "anchor bigint, content bigint, k int, n int"), "by_array")
-    by_level = level_wise(reps.where(F.col("contents") > shard_strings), "bytes", length, core,
+    by_level = level_wise(reps.where(F.col("contents") > shard_strings), length, core,
                           lambda n, least, own: n > 1)
     whole = classes.where("n > 1").select("anchor", "content", F.lit(0).cast("bigint").alias("least"))
     partial = by_array.unionByName(by_level.select("anchor", "content", "k", F.col("n").cast("int").alias("n")))
@@ -115,7 +115,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 if texts:
                     kept.append(left)
             yield pa.RecordBatch.from_arrays(
-                [*([batch.column("_row")] if row_col else []), batch.column("id"), *(pa.array(c, pa.int64()) for c in counts),
+                [*([batch.column("_row")] if row_col else []), batch.column("_id"), *(pa.array(c, pa.int64()) for c in counts),
                  pa.array(digests, pa.string()), *([pa.array(kept, pa.binary())] if texts else [])],
                 names=[*(["_row"] if row_col else []), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256",
                        *(["kept"] if texts else [])])

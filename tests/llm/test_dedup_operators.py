@@ -6,7 +6,7 @@ from llm_cases import none, odd, odd_rows  # noqa: F401
 
 from strata.llm.exact_dedup import exact_dedup
 from strata.llm.jaccard_join import Plan, _apart, similar_sets, wide_sketch
-from strata.llm.substring_dedup import substring_dedup
+from strata.llm.substring_dedup import level_counts, levels, substring_dedup
 from strata.llm.suffix_dedup import suffix_dedup
 
 PAIRS = [(r[0], r[1]) for r in odd_rows()]
@@ -126,13 +126,53 @@ def test_plan_costs():
 
 
 def test_substring_dedup(odd, none):
-    for window, together in ((50, 256), (50, 1), (9, 256), (9, 3)):
-        got = substring_dedup(odd, window=window, together=together)
+    assert levels(50, 12) == [13, 25] and levels(50, 1)[:3] == [1, 2, 4] and levels(50, 26) == [25] and levels(1, 1) == [1]
+    for window, start in ((50, 12), (50, 50), (9, 2), (9, 5), (50, 3)):
+        got = substring_dedup(odd, window=window, start=start)
         have = [tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()]
         assert sorted(have, key=key) == sorted(windows(PAIRS, window), key=key)
     assert substring_dedup(none).count() == 0
 
 
+def test_levels_leave_fewer_candidates(spark):
+    """Every level reads what the one before left; all windows that are removed get to the last."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = level_counts(docs).collect()
+    every = docs.selectExpr("size(filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w != '')) AS n").collect()
+    assert [r.length for r in rows] == [13, 25]
+    assert rows[0].windows == sum(max(0, r.n - 49) for r in every)
+    assert rows[0].windows > rows[0].survivors >= rows[1].windows >= rows[1].survivors > 0
+
+
+def test_ids_of_other_types(spark):
+    """Text ids in their own order ('10' before '9'), and decimals with fractions; null ids last."""
+    texts = [(t, i) for i, (_, t) in enumerate(PAIRS)]
+    name = lambda i: None if i % 11 == 3 else str(i)
+    text_rows = [(name(i), t) for t, i in texts]
+    place = {d: n for n, d in enumerate(sorted({d for d, _ in text_rows if d is not None}))}
+    want = windows([(place.get(d), t) for d, t in text_rows], 50)
+    df = spark.createDataFrame(text_rows, "doc_id string, text string")
+    cols = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    got = [tuple(r) for r in substring_dedup(df).select(*cols).collect()]
+    assert sorted([(place.get(r[0]), *r[1:]) for r in got], key=key) == sorted(want, key=key)
+    part = df.selectExpr("CAST(doc_id AS decimal(10,2)) / 4 AS doc_id", "text")
+    assert sum(r.n_removed for r in substring_dedup(part).collect()) == sum(
+        r[2] for r in windows([(None if d is None else int(d), t) for d, t in text_rows], 50))
+    cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    have = [tuple(r) for r in suffix_dedup(df).select(*cols).collect()]
+    assert sorted([(place.get(r[0]), *r[1:]) for r in have], key=key) == sorted(
+        strings([(place.get(d), t) for d, t in text_rows], 400), key=key)
+
+
+def test_one_passage_in_many_documents(spark):
+    """A passage that all documents share, each with its own words around: gone from all but the first."""
+    passage = " ".join(f"p{i}" for i in range(70))
+    docs = spark.range(0, 900, 1, 12).selectExpr(
+        "id AS doc_id", f"concat_ws(' ', concat('a', id), concat('b', id), '{passage}', concat('c', id)) AS text")
+    got = {r.doc_id: r.n_removed for r in substring_dedup(docs).collect()}
+    assert got == {i: 70 if i else 0 for i in range(900)}
+
+
 def test_suffix_dedup(odd, none):
     want = {n: sorted(strings(PAIRS, n), key=key) for n in (400, 40)}
     cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
