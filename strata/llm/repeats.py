@@ -27,6 +27,24 @@ def items(column: pa.Array, unit: str) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0]:at[-1]], at - at[0]
 
 
+#: Bytes of texts that a task works on at once; a longer text goes alone.
+PIECE = 1 << 22
+
+
+def pieces(batches, most: int = PIECE):
+    """Batches cut so that each holds at most ``most`` bytes of texts, or one text: numbers made of them (hashes, places)
+    take many times their room."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, at = flat(batch.column("_t"))
+        begin = 0
+        while begin < batch.num_rows:
+            end = max(begin + 1, int(np.searchsorted(at, at[begin] + most, side="right")) - 1)
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def identified(docs: DataFrame, id_col: str, text_col: str, row_col: str | None) -> DataFrame:
     """``_id``, its place ``id`` among all ids, ``th`` and the text as bytes: id and text hash name a row in every scan,
     and rows that share both are repeated rows with one result.  Whole numbers are their own place; ids of another
@@ -62,9 +80,7 @@ def segment_table(source: DataFrame, unit: str, length: int, core: int) -> DataF
     some = "runs" in source.columns
 
     def cut(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in pieces(batches):
             values, first = items(batch.column("_t"), unit)
             if some:
                 begin, end, of = stretches(batch.column("runs"), first, length)
@@ -133,7 +149,7 @@ def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int) -> D
     name, kind, held_as = ("w", "array<bigint>", pa.list_(pa.int64())) if unit == "words" else ("s", "binary", pa.binary())
 
     def read(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             if unit == "words":
                 values, first = items(batch.column("_t"), unit)
                 prefix = prefix_hashes(values)

@@ -6,6 +6,7 @@ from llm_cases import none, odd, odd_rows  # noqa: F401
 
 from strata.llm.exact_dedup import exact_dedup
 from strata.llm.jaccard_join import Plan, _apart, similar_sets, wide_sketch
+from strata.llm.repeats import pieces
 from strata.llm.substring_dedup import level_counts, levels, substring_dedup
 from strata.llm.suffix_dedup import suffix_dedup
 
@@ -134,6 +135,16 @@ def test_substring_dedup(odd, none):
     assert substring_dedup(none).count() == 0
 
 
+def test_pieces_hold_all_rows():
+    import pyarrow as pa
+    texts = [b"a" * n for n in (0, 0, 3, 50, 1, 1, 1, 0, 7, 10, 10, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["_t"])
+    for some in (batch, batch.slice(2), batch.slice(3, 5)):
+        got = [p.column("_t").to_pylist() for p in pieces([some, some.slice(0, 0)], 10)]
+        assert sum(got, []) == some.column("_t").to_pylist()
+        assert all(len(g) == 1 or sum(map(len, g)) <= 10 for g in got) and all(got)
+
+
 def test_levels_leave_fewer_candidates(spark):
     """Every level reads what the one before left; all windows that are removed get to the last."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
