@@ -122,30 +122,36 @@ def repeated_anchors(segs: DataFrame, across: bool) -> DataFrame:
     return marked(segs, [F.col("anchor")], again, [F.col("anchor")], bits=27).where("_maybe").drop("_maybe")
 
 
-def content_classes(segs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def content_classes(segs: DataFrame, counted: bool) -> tuple[DataFrame, DataFrame]:
     """Segments of equal content as one row, with the number of them, least and greatest id; and of these the ones
-    whose anchor has several contents, each with one place to read the content from."""
+    whose anchor has several contents, each with one place to read the content from.
+
+    ``counted`` adds the number of contents by a join on anchors.  Without it a bitmap tells the open ones (and lets a
+    few others through, which repeat nothing), so an anchor that any share of the contents has goes to no single task.
+    """
     one = F.min(F.struct(order_of(F.col("id")).alias("ord"), "th", "a"))
     classes = written(segs.groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("n"), one.alias("at"), F.max(order_of(F.col("id"))).alias("last"),
         F.min_by("id", order_of(F.col("id"))).alias("id"), F.first("c").alias("c"), F.first("o").alias("o")), "classes")
     several = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1")
-    open_ = written(classes.join(several, "anchor").select(
-        "anchor", "content", "contents", "n", F.col("at.ord").alias("ord"), "id", F.col("at.th").alias("th"),
-        F.col("at.a").alias("a"), "c", "o"), "open_classes")
+    key = [F.col("anchor")]
+    met = classes.join(several, "anchor") if counted else marked(classes, key, several, key, bits=27).where("_maybe")
+    open_ = written(met.select(
+        "anchor", "content", *(["contents"] if counted else []), "n", F.col("at.ord").alias("ord"), "id",
+        F.col("at.th").alias("th"), F.col("at.a").alias("a"), "c", "o"), "open_classes")
     return classes, open_
 
 
 def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int) -> DataFrame:
     """Content of each open class, read from one of its documents: its bytes (``s``), or the hashes of its windows of
     words (``w``)."""
-    fields = ["anchor", "content", "contents", "n", "ord", "a", "c", "o"]
+    types = {"anchor": pa.int64(), "content": pa.int64(), "contents": pa.int64(), "n": pa.int64(), "ord": pa.int64(),
+             "a": pa.int32(), "c": pa.int32(), "o": pa.int32()}
+    fields = [f for f in types if f in open_.columns]
     per = open_.groupBy("id", "th").agg(F.collect_list(F.struct(*fields)).alias("segs"))
     key = [F.col("id"), F.col("th")]
     likely = marked(source.select("id", "th", "_t"), key, open_, key).where("_maybe").drop("_maybe")
     met = null_safe(likely, per, ["id", "th"]).select("_t", "segs")
-    types = {"anchor": pa.int64(), "content": pa.int64(), "contents": pa.int64(), "n": pa.int64(), "ord": pa.int64(),
-             "a": pa.int32(), "c": pa.int32(), "o": pa.int32()}
     name, kind, held_as = ("w", "array<bigint>", pa.list_(pa.int64())) if unit == "words" else ("s", "binary", pa.binary())
 
     def read(batches):
@@ -170,9 +176,8 @@ def with_items(open_: DataFrame, source: DataFrame, unit: str, length: int) -> D
             yield pa.RecordBatch.from_arrays([*(pa.array(out[f], types[f]) for f in fields), pa.array(held, held_as)],
                                              names=[*fields, name])
 
-    return written(met.mapInArrow(
-        read, "anchor bigint, content bigint, contents bigint, n bigint, ord bigint, a int, c int, o int, " + f"{name} {kind}"),
-        "contents")
+    schema = ", ".join(f"{f} {'int' if types[f] == pa.int32() else 'bigint'}" for f in fields)
+    return written(met.mapInArrow(read, f"{schema}, {name} {kind}"), "contents")
 
 
 def repeated_windows(reps: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     paths = []
     for _, _, path, segs in candidates(source, window, start):
         paths.append(path)
-    classes, open_ = content_classes(segs)
+    classes, open_ = content_classes(segs, counted=False)
     partial = repeated_windows(with_items(open_, source, "words", window))
     whole = classes.where(F.col("last") > F.col("at.ord")).select("anchor", "content", F.col("at.ord").alias("least"))
     runs = written(windows_of(segs, whole, partial, order_of(F.col("id")) > F.col("least")), "runs")

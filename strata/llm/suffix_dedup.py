@@ -55,7 +55,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     source = identified(docs, id_col, text_col, row_col)
     every, path = written_path(segment_table(source, "bytes", length, core), "segments")
     segs = repeated_anchors(every, across=False)
-    classes, open_ = content_classes(segs)
+    classes, open_ = content_classes(segs, counted=True)
     reps = with_items(open_, source, "bytes", length)
 
     def sort_shards(batches):
