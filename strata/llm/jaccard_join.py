@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import drop_path, flat, load, marked, null_safe, row_id, ship, written_path
 from strata.llm.components import components
+from strata.llm.repeats import pieces
 from strata.llm.words import mix, range_hashes, prefix_hashes, words
 
 #: What a place in an inverted list costs beside a subset: it is read, probed and often verified.
@@ -18,6 +19,8 @@ LIST_COST = 4
 _LARGEST_SMALL = 48
 #: Words of 64 bits in a set's sketch.
 SKETCH = 8
+#: Bytes of texts whose sets a task makes at once; a longer text goes alone.
+PIECE = 1 << 20
 #: A set of more elements than this has a wide sketch besides, of at least two bits an element.
 _NARROW = 32 * SKETCH
 
@@ -125,6 +128,13 @@ def _sets(batch_column, n_words: int):
             yield range_hashes(prefix, np.array([a]), np.array([b])) if b > a else np.zeros(0, np.uint64)
 
 
+def set_pieces(batches, n_words: int):
+    """Batches cut to ``PIECE`` bytes of texts, each with the sets of its texts: hashes, places and prefix sums of a
+    whole batch's words would take many times its room."""
+    for batch in pieces(batches, PIECE):
+        yield batch, list(_sets(batch.column("_t"), n_words))
+
+
 def sketch(s: np.ndarray, size: int = SKETCH) -> list[int]:
     """One bit for each of ``size`` * 64 hash values: how often, odd or even, an element of the set has it.  Two sets
     differ in at least as many elements as bits."""
@@ -214,9 +224,9 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     small = plan.boundary({r["n"]: r["count"] for r in few})
 
     def name(batches):
-        for batch in batches:
+        for batch, rows in set_pieces(batches, n_words):
             n, h1, h2, keys, sketches = [], [], [], [], []
-            for s in _sets(batch.column("_t"), n_words):
+            for s in rows:
                 a, b = _identity(s)
                 n.append(len(s))
                 h1.append(a)
@@ -307,8 +317,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "class_row", "class_doc", F.col("n").alias("_n"), "h1", "h2"), "wanted")
 
     def sets(batches):
-        for batch in batches:
-            rows = list(_sets(batch.column("_t"), n_words))
+        for batch, rows in set_pieces(batches, n_words):
             ids = [_identity(s) for s in rows]
             at = np.concatenate([[0], np.cumsum([len(s) for s in rows])]).astype(np.int32)
             every = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
