@@ -1,6 +1,7 @@
 """SentencePiece BPE, encoded by a merge-type prefix table and decoded again."""
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import load, row_id, ship
 
 SPACE = "▁"
-CACHE = 400_000
+#: Units of one generation of the cache, and pairs whose fit is kept; both bound a worker's memory.
+CACHE = 120_000
+PAIRS = 300_000
 SLICE = 1 << 20
 
 
@@ -36,15 +39,21 @@ class Pieces:
 
 
 class _Units(dict):
-    """Encodings of units as (decimal ids with a space behind each, decoded text), made when first asked for."""
+    """Encodings of units as (decimal ids with a space behind each, decoded text), made when first asked for.  When
+    full it begins anew and keeps what it held as the generation before, from which units in use come back."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.before = make, {}
 
     def __missing__(self, unit):
-        got = self.make(unit)
+        got = self.before.get(unit)
+        if got is None:
+            got = self.make(unit)
         if len(unit) <= 32:
+            if len(self) >= CACHE:
+                self.before = dict(self)
+                self.clear()
             self[unit] = got
         return got
 
@@ -55,19 +64,32 @@ class PrefixTable:
     In the encoding of a text every two neighbours are compatible (merging their joint text alone gives just
     these two), and a sequence in which all neighbours are compatible is the encoding.  So of the tokens that
     end at a place, found by an automaton, exactly one is compatible with the token stored for the prefix
-    before it; ids are then read off backwards.  Time is linear in the text for bounded piece lengths.
+    before it, or its last character stands alone; ids are then read off backwards.  Time is linear in the text for
+    bounded piece lengths.
+
+    A token is stored as its node: a dictionary of the nodes of the tokens that may follow it (false: may not), made
+    when first asked for, with (length, decimal ids, bytes) of the token itself under ``None``.
     """
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.automaton = ahocorasick.Automaton()
         for p in pieces.ids:
-            if len(p) == 1 or self._merged(p) == [p]:  # a piece that no merges lead to is never a token
-                self.automaton.add_word(p, len(p))
+            if len(p) > 1 and self._merged(p) == [p]:  # a piece that no merges lead to is never a token
+                self.automaton.add_word(p, (p, len(p)))
         self.automaton.make_automaton()
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.forget()
+
+    def forget(self):
+        """Drop what was learned from texts."""
         self.known = _Units(self._unit)
-        self.parts: dict[str, list[str]] = {}
+        self._begin()
+        gc.collect()  # nodes refer to each other
+
+    def _begin(self):
+        self.nodes: dict[str, dict] = {}
+        self.root: dict = {None: (0, "", b"")}  # what may begin a text: any token
+        self.pairs = 0
 
     def _merged(self, text: str) -> list[str]:
         """Merges of a short text: the best-scored joint piece first, the leftmost of equal ones."""
@@ -83,73 +105,49 @@ class PrefixTable:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fit(self, a: str, b: str) -> bool:
-        got = self.fits.get((a, b))
-        if got is None:
-            if len(self.fits) > 4 * CACHE:
-                self.fits.clear()
-            got = self.fits[a, b] = self._merged(a + b) == [a, b]
+    def _node(self, token: str) -> dict:
+        node = self.nodes.get(token)
+        if node is None:
+            i = self.pieces.ids.get(token)
+            ids = [i] if i is not None else [self.pieces.bytes[b] for b in token.encode()]
+            node = self.nodes[token] = {None: (len(token), "".join([f"{i} " for i in ids]),
+                                               b"".join([self.pieces.text[i] for i in ids]))}
+        return node
+
+    def _follow(self, before: dict, last: str, token: str) -> dict | bool:
+        """The node of ``token`` if it may follow ``last``, whose node is ``before``; kept there."""
+        if self.pairs > PAIRS:
+            self._begin()  # nodes in use serve their unit to its end
+        self.pairs += 1
+        fits = not last or self._merged(last + token) == [last, token]
+        got = before[token] = self._node(token) if fits else False
         return got
 
-    def split(self, text: str) -> list[str]:
-        """Tokens of one unit, by the prefix table."""
-        n = len(text)
-        table = [""] * (n + 1)
-        fits, done = self.fits, 0
-        for end, size in self.automaton.iter(text):  # by end, longer matches first
-            end += 1
-            if table[end]:
-                continue
-            if done < end - 1:
-                self._bare(text, table, done, end - 1)
-            start = end - size
-            token = text[start:end]
-            if not start:
-                table[end] = token
-            else:
+    def split(self, text: str) -> list[tuple[int, str, bytes]]:
+        """Tokens of one unit (length, decimal ids, bytes), by the prefix table."""
+        table: list[dict | None] = [None] * len(text) + [self.root]  # by last place; the root at -1
+        for end, (token, size) in self.automaton.iter(text):  # by end, longer matches first
+            if table[end] is None:
+                start = end - size
                 before = table[start]
-                fit = fits.get((before, token))
-                if self._fit(before, token) if fit is None else fit:
-                    table[end] = token
-            done = end if table[end] else end - 1
-        self._bare(text, table, done, n)
-        out, i = [], n
-        while i:
-            out.append(table[i])
-            i -= len(table[i])
+                if before is None:
+                    before = table[start] = self._node(text[start])
+                node = before.get(token)
+                if node is None:
+                    node = self._follow(before, text[start + 1 - before[None][0]:start + 1], token)
+                if node:
+                    table[end] = node
+        out, i = [], len(text) - 1
+        while i >= 0:
+            node = table[i]
+            token = (self._node(text[i]) if node is None else node)[None]
+            out.append(token)
+            i -= token[0]
         return out[::-1]
 
-    @staticmethod
-    def _bare(text, table, done, to):
-        """Characters without a token of their own that fits stand alone; bytes spell them."""
-        for i in range(done, to):
-            table[i + 1] = table[i + 1] or text[i]
-
-    def _ids(self, token: str) -> list[int]:
-        i = self.pieces.ids.get(token)
-        return [i] if i is not None else [self.pieces.bytes[b] for b in token.encode()]
-
     def _unit(self, unit: str) -> tuple[str, str]:
-        glued, parts, a = self.pieces.glued, [], 0
-        for i in range(1, len(unit)):
-            if unit[i - 1:i + 1] not in glued:
-                parts.append(unit[a:i])
-                a = i
-        parts.append(unit[a:])
-        ids: list[int] = []
-        for p in parts:
-            tokens = self.parts.get(p)
-            if tokens is None:
-                tokens = self.split(p)
-                if len(p) <= 32:
-                    if len(self.parts) > CACHE:
-                        self.parts.clear()
-                    self.parts[p] = tokens
-            for t in tokens:
-                ids += self._ids(t)
-        if len(self.known) > CACHE:
-            self.known.clear()
-        return "".join([f"{i} " for i in ids]), b"".join(map(self.pieces.text.__getitem__, ids)).decode("utf-8", "replace")
+        _, ids, texts = zip(*self.split(unit))
+        return "".join(ids), b"".join(texts).decode("utf-8", "replace")
 
     _units = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
@@ -220,6 +218,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 [batch.column("_row"), batch.column("doc_id"), pa.array(counts, pa.int64()),
                  pa.array(left, pa.string() if digests else pa.list_(pa.int32())), pa.array(right, pa.string())],
                 names=["_row", "doc_id", "n_tokens", "a", "b"])
+        table.forget()  # the worker lives on and may serve other operators
 
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select((F.col(row_col) if row_col else row_id()).alias("_row"), F.col(id_col).alias("doc_id"),

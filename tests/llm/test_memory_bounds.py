@@ -4,8 +4,9 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 
-from strata.llm import jaccard_join
+from strata.llm import jaccard_join, sentencepiece_bpe as sp
 
 
 def peak_mb(run) -> float:
@@ -39,3 +40,23 @@ def test_sets_of_a_large_batch_take_bounded_memory():
     assert peak_mb(run) < 60
     # Without pieces the same batch takes several times that.
     assert peak_mb(lambda: list(jaccard_join._sets(batch.column("_t"), 3))) > 60
+
+
+def test_encoder_keeps_units_in_use_and_its_caches_are_bounded(monkeypatch):
+    monkeypatch.setattr(sp, "CACHE", 60)
+    monkeypatch.setattr(sp, "PAIRS", 200)
+    library = sentencepiece.SentencePieceProcessor(model_file=sp.default_model())
+    with open(sp.default_model(), "rb") as f:
+        table = sp.PrefixTable(sp.Pieces(f.read()))
+    made = []
+    make = table.known.make
+    table.known.make = lambda unit: made.append(unit) or make(unit)
+    rng = random.Random(8)
+    for _ in range(200):
+        text = "kept words stay here " + " ".join("".join(rng.choices("abcdeéß,.", k=rng.randint(3, 12))) for _ in range(30))
+        parts = list(table.encode(text))
+        ids = [int(i) for p in parts for i in p[0].split()]
+        assert ids == library.encode(text, add_eos=True)
+        assert "".join(p[2] for p in parts) == library.decode(ids)
+        assert len(table.known) <= 60 and len(table.known.before) <= 60 and table.pairs <= 201
+    assert made.count("▁words") == 1
