@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 
-from strata.llm import jaccard_join, sentencepiece_bpe as sp
+from strata.llm import jaccard_join, sentencepiece_bpe as sp, suffix_dedup
+from strata.llm.suffix_array import long_repeats
 
 
 def peak_mb(run) -> float:
@@ -42,6 +43,28 @@ def test_sets_of_a_large_batch_take_bounded_memory():
     assert peak_mb(lambda: list(jaccard_join._sets(batch.column("_t"), 3))) > 60
 
 
+def test_shards_sorted_together_take_bounded_memory():
+    rng = random.Random(5)
+    groups = []
+    for _ in range(1500):
+        core = bytes(rng.choices(b"abcdefgh ", k=rng.randint(390, 640)))
+        groups.append([core + bytes(rng.choices(b"xyz", k=rng.randint(0, 60))) for _ in range(rng.randint(2, 4))])
+    sized = [(sum(map(len, g)), i, [], g) for i, g in enumerate(groups)]
+    found = {}
+
+    def run():
+        for some in suffix_dedup._batches(sized, suffix_dedup.TOGETHER):
+            for (_, i, _, _), hits in zip(some, long_repeats([g[3] for g in some], 400)):
+                found[i] = hits
+
+    assert peak_mb(run) < 120
+    assert len(found) == len(groups)
+    for i in rng.sample(range(len(groups)), 40):
+        every = [s[k:k + 400] for s in groups[i] for k in range(len(s) - 399)]
+        want = [[every.count(s[k:k + 400]) > 1 for k in range(len(s) - 399)] for s in groups[i]]
+        assert [list(h) for h in found[i]] == want
+
+
 def test_encoder_keeps_units_in_use_and_its_caches_are_bounded(monkeypatch):
     monkeypatch.setattr(sp, "CACHE", 60)
     monkeypatch.setattr(sp, "PAIRS", 200)
