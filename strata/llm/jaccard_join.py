@@ -19,6 +19,9 @@ LIST_COST = 4
 _LARGEST_SMALL = 48
 #: Words of 64 bits in a set's sketch.
 SKETCH = 8
+#: Parts, by key, in which the lists are shuffled one after the other, so that the shuffle files of one part alone are
+#: on disk beside the sets.
+PARTS = 3
 #: Bytes of texts whose sets a task makes at once; a longer text goes alone.
 PIECE = 1 << 20
 #: A set of more elements than this has a wide sketch besides, of at least two bits an element.
@@ -287,9 +290,13 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array(r[keep]), pa.array(places[keep])],
                                              names=["key", "row", "place"])
 
-    entries = (heads.select(F.explode("keys").alias("key"), F.col("_row").alias("row"))
-               .repartition("key").sortWithinPartitions("key", "row"))
-    members = written(entries.mapInArrow(lists, "key bigint, row bigint, place bigint").select("key", "row"), "lists")
+    members = None
+    for part in range(PARTS):
+        keys = F.filter("keys", lambda k: F.pmod(k, F.lit(PARTS)) == part)  # noqa: B023
+        entries = (heads.select(F.explode(keys).alias("key"), F.col("_row").alias("row"))
+                   .repartition("key").sortWithinPartitions("key", "row"))
+        some = written(entries.mapInArrow(lists, "key bigint, row bigint, place bigint").select("key", "row"), "lists")
+        members = some if members is None else members.unionByName(some)
     dropped("sets", "copies")
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("row").alias("a"), F.max("row").alias("b"))
     sizes = written(sizes, "list_sizes")

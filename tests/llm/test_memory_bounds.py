@@ -83,3 +83,13 @@ def test_encoder_keeps_units_in_use_and_its_caches_are_bounded(monkeypatch):
         assert "".join(p[2] for p in parts) == library.decode(ids)
         assert len(table.known) <= 60 and len(table.known.before) <= 60 and table.pairs <= 201
     assert made.count("▁words") == 1
+
+
+def test_lists_are_shuffled_in_parts_with_the_same_links(odd, monkeypatch):
+    names, write = [], jaccard_join.written_path
+    monkeypatch.setattr(jaccard_join, "written_path", lambda df, name: names.append(name) or write(df, name))
+    key = lambda: sorted(map(str, jaccard_join.similar_sets(odd).select("_row", "root_row").collect()))
+    got = key()
+    assert names.count("lists") == jaccard_join.PARTS > 1
+    monkeypatch.setattr(jaccard_join, "PARTS", 1)
+    assert key() == got
