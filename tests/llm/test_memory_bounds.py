@@ -5,6 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+from llm_cases import odd  # noqa: F401
 
 from strata.llm import jaccard_join, sentencepiece_bpe as sp, suffix_dedup
 from strata.llm.suffix_array import long_repeats
