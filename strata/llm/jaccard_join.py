@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop_path, flat, load, marked, null_safe, row_id, ship, written_path
+from strata.llm.common import drop_path, flat, load, marked, row_id, ship, written_path
 from strata.llm.components import components
 from strata.llm.repeats import pieces
 from strata.llm.words import mix, range_hashes, prefix_hashes, words
@@ -24,6 +24,8 @@ SKETCH = 8
 PARTS = 3
 #: Bytes of texts whose sets a task makes at once; a longer text goes alone.
 PIECE = 1 << 20
+#: Texts that go to Python at once; Spark's 10,000 take tens of MB, on both sides and for each task.
+TEXTS = 500
 #: A set of more elements than this has a wide sketch besides, of at least two bits an element.
 _NARROW = 32 * SKETCH
 
@@ -206,8 +208,8 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     plan = Plan(percent, 100)
     scratch = {}  # tables that the result doesn't read; they go before it is returned
 
-    def written(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
-        table, path = written_path(df, name)
+    def written(df: DataFrame, name: str, kept: bool = False, rows: int | None = None) -> DataFrame:
+        table, path = written_path(df, name, rows)
         if not kept:
             scratch[path] = name
         return table
@@ -246,7 +248,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     named = written(
         source.mapInArrow(name, f"_row bigint, doc_id {kind}, n bigint, h1 bigint, h2 bigint, sk array<bigint>, "
-                          "keys array<bigint>"), "sets")
+                          "keys array<bigint>"), "sets", rows=TEXTS)
     facts = written(named.select("_row", "doc_id", "n", "h1", "h2"), "facts", kept=True)
     classes = written(named.where("n > 0").groupBy("n", "h1", "h2").agg(
         F.min("_row").alias("class_row"), F.min_by("doc_id", "_row").alias("class_doc"),
@@ -321,7 +323,7 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     paired = couples.select(F.col("a").alias("row")).unionByName(couples.select(F.col("b").alias("row"))).unionByName(
         crowds.select("row")).distinct()
     wanted = written(paired.join(classes, F.col("row") == F.col("class_row")).select(
-        "class_row", "class_doc", F.col("n").alias("_n"), "h1", "h2"), "wanted")
+        "class_row", "class_doc", "n", "h1", "h2"), "wanted")
 
     def sets(batches):
         for batch, rows in set_pieces(batches, n_words):
@@ -329,16 +331,15 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             at = np.concatenate([[0], np.cumsum([len(s) for s in rows])]).astype(np.int32)
             every = np.concatenate(rows).view(np.int64) if rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([i[0] for i in ids], pa.int64()), pa.array([i[1] for i in ids], pa.int64()),
-                 pa.array([wide_sketch(s) for s in rows], pa.list_(pa.int64())),
-                 pa.ListArray.from_arrays(pa.array(at), pa.array(every))], names=["class_doc", "h1", "h2", "wide", "s"])
-
-    texts = marked(source.select("doc_id", "_t"), [F.col("doc_id")], wanted, [F.col("class_doc")]).where("_maybe").select(
-        "doc_id", "_t").alias("t").join(wanted.select("class_doc").distinct().alias("w"),
-                                        F.col("t.doc_id").eqNullSafe(F.col("w.class_doc")), "left_semi")
-    found = texts.mapInArrow(sets, f"class_doc {kind}, h1 bigint, h2 bigint, wide array<bigint>, s array<bigint>")
-    content = written(null_safe(wanted, found, ["class_doc", "h1", "h2"]).select("class_row", F.col("_n").alias("size"), "wide", "s")
-                      .dropDuplicates(["class_row"]), "contents")
+                [pa.array([len(s) for s in rows], pa.int64()), pa.array([i[0] for i in ids], pa.int64()),
+                 pa.array([i[1] for i in ids], pa.int64()), pa.array([wide_sketch(s) for s in rows], pa.list_(pa.int64())),
+                 pa.ListArray.from_arrays(pa.array(at), pa.array(every))], names=["n", "h1", "h2", "wide", "s"])
+
+    # Sets are shuffled once, by their class, and texts never: the bitmap lets few others through, which meet no class.
+    texts = marked(source.select("doc_id", "_t"), [F.col("doc_id")], wanted, [F.col("class_doc")]).where("_maybe").select("_t")
+    found = texts.mapInArrow(sets, "n bigint, h1 bigint, h2 bigint, wide array<bigint>, s array<bigint>")
+    content = written(found.join(wanted, ["n", "h1", "h2"]).dropDuplicates(["n", "h1", "h2"]).select(
+        "class_row", F.col("n").alias("size"), "wide", "s"), "contents", rows=TEXTS)
 
     def rooted(df: DataFrame, row: str, root: str) -> DataFrame:
         if roots is None:

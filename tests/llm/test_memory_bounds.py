@@ -94,3 +94,27 @@ def test_lists_are_shuffled_in_parts_with_the_same_links(odd, monkeypatch):
     assert names.count("lists") == jaccard_join.PARTS > 1
     monkeypatch.setattr(jaccard_join, "PARTS", 1)
     assert key() == got
+
+
+def test_near_duplicates_shuffle_sets_once_and_texts_never(spark, monkeypatch):
+    """Sets on their way to their classes meet one exchange, whatever the number of documents that can be paired."""
+    rng = random.Random(5)
+    base = [" ".join(rng.choices([f"w{i}" for i in range(500)], k=120)) for _ in range(12)]
+    rows = [(i, base[i % 12] + f" end{i // 24}") for i in range(48)] + [(None, base[0]), (None, base[0]), (3, base[5])]
+    plans, real, was = {}, jaccard_join.written_path, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def seen(df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name, *more)
+
+    monkeypatch.setattr(jaccard_join, "written_path", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jaccard_join.similar_sets(spark.createDataFrame(rows, "doc_id long, text string"), n_words=5, percent=80)
+        got = sorted((r["n_shingles"], r["root_row"]) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len(got) == 51 and len({root for _, root in got}) == 12
+    dealt = [x for x in plans["contents"].splitlines() if "Exchange hashpartitioning" in x]
+    assert sum("n#" in x and "h1#" in x for x in dealt) == 2  # sets, and their classes' names
+    assert not any("doc_id" in x or "class_row" in x for x in dealt)
